@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import bpe, mixing, quality, simhash, toxicity, units
-from gamelake.llm.common import table
+from gamelake.llm import bpe, langid, mixing, quality, simhash, telephony, topk, toxicity, units
+from gamelake.llm.common import materialise, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = materialise(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "vectors")
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = units.drop_repeated_chunks(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("removed_spans", lambda s: F.concat_ws("-", s["start_char"].cast("string"), s["end_char"].cast("string"))), ",")
@@ -31,6 +36,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telephony.features(telephony.store_texts(table(spark, sf_dir, "documents")))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"))
 
@@ -44,4 +58,79 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_line_dedup, op4_mixing, op5_toxicity, op8_bpe, op9_simhash, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality)}
+
+#: DuckDB SQL for the operators that SQL can express.
+ORACLE_SQL = {
+    "op1_substring_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
+), pos AS (
+  SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line,
+         unnest(list_transform(range(len(ls)), lambda i: CAST(coalesce(list_sum(list_transform(ls[1:i], lambda x: length(x) + 1)), 0) AS BIGINT))) AS start_char
+  FROM lines
+), unit AS (
+  SELECT doc_id, line_no, start_char, start_char + length(line) AS end_char, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm FROM pos
+), longer AS (
+  SELECT *, len(string_split(norm, ' ')) AS n_words, md5(norm) AS digest FROM unit WHERE len(string_split(norm, ' ')) >= 25
+), ranked AS (
+  SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS kept_doc_id, first_value(start_char) OVER w AS kept_start_char
+  FROM longer WINDOW w AS (PARTITION BY digest ORDER BY doc_id, start_char)
+)
+SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(start_char AS INT) AS start_char, CAST(end_char AS INT) AS end_char,
+       CAST(n_words AS INT) AS n_words, digest, kept_doc_id, CAST(kept_start_char AS INT) AS kept_start_char
+FROM ranked WHERE n > 1""",
+    "op2_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op3_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, CAST(i AS INT) AS i, ls[i + 1] AS line, len(ls) AS n,
+         CAST('0x' || md5(ls[i + 1])[1:8] AS BIGINT) AS h
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL)
+), place AS (
+  SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char,
+         (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4294967296 AS roll
+  FROM lines
+), ends AS (
+  SELECT *, i = n - 1 OR coalesce(roll < lag(roll) OVER w AND roll <= lead(roll) OVER w, false) AS is_end FROM place WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT *, coalesce(sum(CAST(is_end AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends
+), chunks AS (
+  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS k, min(start_char) AS start_char, min(start_char) + sum(length(line) + 1) - 1 AS end_char
+  FROM numbered GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start_char) AS n FROM chunks WHERE k > 1 AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) <> ''
+), kept AS (
+  SELECT d.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
+  FROM documents d LEFT JOIN (SELECT nb.* FROM numbered nb LEFT JOIN ranked r ON nb.doc_id = r.doc_id AND nb.chunk = r.chunk AND r.n > 1 WHERE r.doc_id IS NULL) l ON l.doc_id = d.doc_id
+  GROUP BY d.doc_id
+), gone AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(CAST(CAST(start_char AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(end_char AS BIGINT) AS VARCHAR), ',' ORDER BY start_char) AS removed_spans FROM ranked WHERE n > 1 GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(g.n_removed, 0) AS n_removed, coalesce(g.removed_spans, '') AS removed_spans
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN gone g ON g.doc_id = d.doc_id""",
+    "op4_mixing": """
+WITH RECURSIVE n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (SELECT source, CAST((SELECT count(*) FROM documents) AS DOUBLE) * 1.0 / CAST((SELECT count(*) FROM n) AS DOUBLE) / n AS rate FROM n),
+parts AS (SELECT source, greatest(1, CAST(ceil(rate / 16.0) AS INT)) AS parts, rate / greatest(1, CAST(ceil(rate / 16.0) AS INT)) AS mean FROM rates),
+cdf AS (
+  SELECT source, parts, mean, 0 AS k, exp(-mean) AS term, exp(-mean) AS total FROM parts
+  UNION ALL
+  SELECT source, parts, mean, k + 1, term * mean / (k + 1), total + term * mean / (k + 1) FROM cdf WHERE k < CAST(mean + 12.0 * sqrt(mean) + 40.0 AS INT)
+),
+drawn AS (
+  SELECT d.doc_id, d.source, j, (CAST('0x' || md5('42:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(j AS VARCHAR))[1:13] AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  FROM documents d JOIN parts p ON p.source = d.source, unnest(range(1, p.parts + 1)) AS t(j)
+),
+counts AS (
+  SELECT doc_id, sum(k) AS times FROM (SELECT w.doc_id, w.j, min(c.k) AS k FROM drawn w JOIN cdf c ON c.source = w.source AND c.total >= w.u GROUP BY w.doc_id, w.j) GROUP BY doc_id
+)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, CAST(c AS INT) AS copy, md5('42:order:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(c AS VARCHAR)) AS mix_key
+FROM documents d JOIN counts USING (doc_id), unnest(range(1, CAST(times AS BIGINT) + 1)) AS t(c)""",
+}
