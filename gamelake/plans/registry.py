@@ -1,4 +1,6 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, with SQL for the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from gamelake.plans import boards, facts, ingest, models, series  # noqa: F401  they register their queries
+from gamelake.plans.base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
