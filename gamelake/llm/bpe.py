@@ -179,7 +179,7 @@ def join_chunks(c: Codec, body: bytes, cuts: list[int], parts: list) -> list[int
 
 def _ids(lists: list) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)])
-    flat = np.fromiter((i for x in lists for i in x), np.int32, int(ends[-1]))
+    flat = np.concatenate([np.empty(0, np.int32), *lists])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
@@ -266,7 +266,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> Encoded:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             kept = [i for i, t in enumerate(texts) if not cut(t, bitmap)[3].any()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(kept, pa.int32())), _ids([c.encode(texts[i] or "") for i in kept])], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(kept, pa.int32())), _ids([np.array(c.encode(texts[i] or ""), np.int32) for i in kept])], ["doc_id", "ids"])
 
     chunk = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("seq", pa.int32()), ("digest", pa.binary()), ("chunk", pa.binary())])
 
@@ -286,21 +286,23 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> Encoded:
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(content.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), _ids([c.encode(b.decode("utf-8")) for b in batch.column("chunk").to_pylist()])], ["digest", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), _ids([np.array(c.encode(b.decode("utf-8")), np.int32) for b in batch.column("chunk").to_pylist()])], ["digest", "ids"])
 
     shared = cut_up.filter("digest is not null").groupBy("digest").agg(F.first("chunk").alias("chunk")).mapInArrow(once, "digest binary, ids array<int>")
     refs = cut_up.filter("digest is not null").select("text_key", "seq", "digest").distinct().join(shared, "digest").select("text_key", "seq", "ids", F.lit(None).cast("binary").alias("chunk"))
-    rest = cut_up.filter("digest is null").groupBy("text_key", "seq").agg(F.first("chunk").alias("chunk")).select("text_key", "seq", F.lit(None).cast("array<int>").alias("ids"), "chunk")
+    # a chunk without a digest occurs once in the corpus, so these rows are distinct as they are
+    rest = cut_up.filter("digest is null").select("text_key", "seq", F.lit(None).cast("array<int>").alias("ids"), "chunk")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(content.value)
         for batch in batches:
             done = []
-            for parts in batch.column("parts").to_pylist():
+            for row in batch.column("parts"):  # one document's ids at a time as Python numbers
+                parts = row.as_py()
                 parts.sort(key=lambda p: p["seq"])
                 bodies = [p["chunk"] if p["ids"] is None else b"".join(map(c.bytes_of.__getitem__, p["ids"])) for p in parts]
                 ids = [c.encode(b.decode("utf-8")) if p["ids"] is None else p["ids"] for p, b in zip(parts, bodies, strict=True)]
-                done.append(join_chunks(c, b"".join(bodies), np.cumsum([len(b) for b in bodies]).tolist(), ids))
+                done.append(np.array(join_chunks(c, b"".join(bodies), np.cumsum([len(b) for b in bodies]).tolist(), ids), np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("text_key"), _ids(done)], ["text_key", "ids"])
 
     texts = refs.union(rest).groupBy("text_key").agg(F.collect_list(F.struct("seq", "ids", "chunk")).alias("parts")).mapInArrow(assemble, "text_key binary, ids array<int>")

@@ -35,7 +35,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     work nor depend on the executors that did it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
