@@ -26,8 +26,6 @@ from gamelake.llm.common import bounded_batches, materialise
 #: The pattern that splits texts before byte-level merges, and the special token of the vocabulary file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEAST, MASK = 256, 0xFF
-#: Words that a Python worker remembers; the memory is emptied when it is full.
-REMEMBER = 200_000
 #: Bits (as a power of two) of the filter of shared chunks: 16 MB that are sent to each executor, whatever
 #: the input. Wrong hits only send a document the longer way.
 FILTER_BITS = 27
@@ -61,40 +59,13 @@ class Codec:
             ranks.pop(t.encode(), None)
         self.bytes_of = {i: b for b, i in ranks.items()} | {i: t.encode() for t, i in self.special.items()}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        got = self.known.get(word)
-        if got is None:
-            got = tuple(self.encoding.encode_ordinary(word))
-            if len(word) < 64:
-                if len(self.known) >= REMEMBER:
-                    self.known.clear()
-                self.known[word] = got
-        return got
-
-    def plain(self, text: str) -> list[int]:
-        """Ids of a text without special tokens. A single blank between two characters that are not
-        white space always starts a new piece, so what lies between such blanks is encoded by itself."""
-        out: list[int] = []
-        pieces = text.split(" ")
-        held = pieces[0]
-        for piece in pieces[1:]:
-            if held and piece and not held[-1].isspace() and not piece[0].isspace():
-                out += self._word(held)
-                held = f" {piece}"
-            else:
-                held = f"{held} {piece}"
-        if held:
-            out += self._word(held)
-        return out
 
     def encode(self, text: str) -> list[int]:
         found = [(text.find(t), -len(t), t) for t in self.special if t in text]
         if not found:
-            return self.plain(text)
+            return self.encoding.encode_ordinary(text)
         at, _, token = min(found)
-        return self.plain(text[:at]) + [self.special[token]] + self.encode(text[at + len(token) :])
+        return self.encoding.encode_ordinary(text[:at]) + [self.special[token]] + self.encode(text[at + len(token) :])
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -190,7 +161,7 @@ def _spots(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digests(body: bytes, cuts: list[int]) -> list[bytes]:
-    return [hashlib.md5(body[x:y]).digest() for x, y in zip([0, *cuts[:-1]], cuts, strict=True)]
+    return [hashlib.md5(body[x:y]).digest() for x, y in zip([0, *cuts], cuts)]
 
 
 def _shared_filter(docs: DataFrame) -> bytes:

@@ -46,10 +46,10 @@ def repetition_rates(docs: DataFrame, group: str, weights: DataFrame | None = No
     return shared.select(group, (F.lit(wanted) * F.col("weight") / F.lit(float(weights_sum)) / F.col("n")).alias("rate"))
 
 
-def mix(docs: DataFrame, group: str = "source", weights: DataFrame | None = None, size: float | None = None, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, group: str = "source", weights: DataFrame | None = None, size: float | None = None, seed: int = SEED, added: tuple[str, str] = ("copy", "mix_key")) -> DataFrame:
     """Each document as often as its Poisson count says, in a random order over all partitions.
 
-    Added columns: copy (from 1) and mix_key, a hash that orders the whole mix. The counts depend on
+    Added columns (``added``): copy (from 1) and mix_key, a hash that orders the whole mix. The counts depend on
     seed, doc_id and the rates only; rows with the same id get the same count. Null sources are one
     source; null ids count as the text "null". Null and empty texts are kept like others. An empty
     table gives an empty one. Columns of docs with the added names are replaced."""
@@ -62,8 +62,8 @@ def mix(docs: DataFrame, group: str = "source", weights: DataFrame | None = None
     parts = F.greatest(F.lit(1), F.ceil(F.col(rate) / PART)).cast("int")
     one = lambda j: poisson_inverse(uniform(F.lit(str(seed)), ident, j.cast("string")), F.col(rate) / parts)
     count = F.aggregate(F.transform(F.sequence(F.lit(1), parts), one), F.lit(0), lambda a, b: a + b)
-    taken = docs.drop("copy", "mix_key").join(rates, docs[group].eqNullSafe(F.col(g)))
-    columns = [c for c in docs.columns if c not in ("copy", "mix_key")]
-    copies = taken.withColumn(times, count).filter(F.col(times) > 0).select(*columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias("copy"))
-    mixed = copies.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), ident, F.col("copy").cast("string"))))
-    return mixed.repartition("mix_key").sortWithinPartitions("mix_key")
+    taken = docs.drop(*added).join(rates, docs[group].eqNullSafe(F.col(g)))
+    columns = [c for c in docs.columns if c not in added]
+    copies = taken.withColumn(times, count).filter(F.col(times) > 0).select(*columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(added[0]))
+    mixed = copies.withColumn(added[1], F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), ident, F.col(added[0]).cast("string"))))
+    return mixed.repartition(added[1]).sortWithinPartitions(added[1])

@@ -77,11 +77,14 @@ class Buckets:
 
 
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, spec: Spec) -> np.ndarray:
-    count = {c: np.full(1 << spec.bits, spec.alpha) for c in (0, 1)}
+    """Log ratio of the shares of documents of either class that hold the n-gram. The smoothing counts
+    are dealt to the classes by their size, so an n-gram that tells nothing has ratio 0."""
+    many = np.array([(y == 0).sum(), (y == 1).sum()], float)
+    count = np.zeros((2, 1 << spec.bits))
     for row, label in zip(rows, y, strict=True):
         count[int(label)][row] += 1
-    ratios = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
-    return np.where(count[0] + count[1] - 2 * spec.alpha >= spec.least, ratios, 0.0)
+    share = (count + spec.alpha * (many / many.sum())[:, None]) / many[:, None]
+    return np.where(count.sum(0) >= spec.least, np.log(share[1]) - np.log(share[0]), 0.0)
 
 
 def descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, spec: Spec) -> tuple[np.ndarray, float]:
@@ -121,8 +124,8 @@ def descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, spec: Spe
                 w[r] += (new - a) * sign[i] * v
                 bias += (new - a) * sign[i]
                 alpha[i] = new
-                most = max(most, abs(new - a) / c)
-        if most < 1e-3:
+                most = max(most, abs(new - a) * norm[i])
+        if most < 1e-2:  # the largest change of a margin that one step made
             break
     return w, bias
 

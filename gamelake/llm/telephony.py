@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,12 +164,12 @@ def to_pcm(table: DataFrame, media: str = "media", rate: int = 16_000) -> DataFr
     bounded_batches(table.sparkSession)
 
     @F.pandas_udf("binary")
-    def converted(parts: Iterator) -> Iterator:
+    def converted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             files = [read_wave(m) for m in part]
             good = [f for f in files if f]
             pcm = iter([wave(PCM, resample(p, f[1], rate).astype("<i2").tobytes(), rate) if len(p) else wave(PCM, b"", rate) for p, f in zip(decode_all(good), good, strict=True)])
-            yield part.__class__([next(pcm) if f else None for f in files], dtype=object)
+            yield pd.Series([next(pcm) if f else None for f in files], dtype=object)
 
     return table.withColumn("pcm", converted(F.col(media)))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gamelake.llm.common import fold
 from gamelake.llm.nb_linear import Model, Spec, fit, score
 
-SPEC = Spec(orders=(3, 4, 5), loss="logistic", bits=20, cost=1.0, epochs=12)
+SPEC = Spec(orders=(3, 4, 5), loss="logistic", bits=20, alpha=10.0, cost=1.0, epochs=8)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, spec: Spec = SPEC) -> Model:
