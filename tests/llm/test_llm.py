@@ -207,8 +207,8 @@ def test_dual_descent_against_definition():
     for i, r in enumerate(rows):
         dense[i, r] = 1
         assert len(set(r)) == len(r)
-    p, q = dense[y == 1].sum(0) + 1, dense[y == 0].sum(0) + 1
-    assert np.allclose(ratios, np.where(p + q > 2, np.log(p / p.sum()) - np.log(q / q.sum()), 0))
+    p, q = dense[y == 1].sum(0), dense[y == 0].sum(0)  # 30 documents of either class, half a smoothing count for each
+    assert np.allclose(ratios, np.where(p + q > 0, np.log((p + 0.5) / 30) - np.log((q + 0.5) / 30), 0))
     w, bias = nb_linear.descend(rows, y, ratios, spec)
     x, s = np.hstack([dense * ratios, np.ones((60, 1))]), np.where(y > 0, 1, -1)
     full = np.append(w, bias)
