@@ -90,20 +90,20 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, spec: Spec) -> np.nd
 def descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, spec: Spec) -> tuple[np.ndarray, float]:
     """Weights and bias by dual coordinate descent, one document at a time in a random order."""
     sign = np.where(y > 0, 1.0, -1.0)
-    values = [ratios[r] for r in rows]
-    norm = np.array([v @ v + 1.0 for v in values])
+    norm = np.array([np.square(ratios[r]).sum() + 1.0 for r in rows])
     w, bias = np.zeros(len(ratios)), 0.0
     upper = spec.cost * (len(y) / (2.0 * np.maximum(1, np.where(y > 0, (y > 0).sum(), (y == 0).sum()))) if spec.loss == "hinge" else np.ones(len(y)))
     alpha = np.zeros(len(y)) if spec.loss == "hinge" else np.minimum(1e-3 * upper, 1e-8)
     if spec.loss != "hinge":
-        for r, v, a, s in zip(rows, values, alpha, sign, strict=True):
-            w[r] += a * s * v
+        for r, a, s in zip(rows, alpha, sign, strict=True):
+            w[r] += a * s * ratios[r]
             bias += a * s
     rng = np.random.default_rng(42)
     for _ in range(spec.epochs):
         most = 0.0
         for i in rng.permutation(len(y)):
-            r, v, c, a = rows[i], values[i], upper[i], alpha[i]
+            r, c, a = rows[i], upper[i], alpha[i]
+            v = ratios[r]
             m = sign[i] * (w[r] @ v + bias)
             if spec.loss == "hinge":
                 new = min(max(a - (m - 1.0) / norm[i], 0.0), c)
