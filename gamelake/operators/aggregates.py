@@ -33,8 +33,7 @@ def date_ranges(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
 def is_active(df: DataFrame, key: str, date: str) -> DataFrame:
     """Whether the key's last date is the table's last date. The second aggregate runs over the first."""
     last = df.groupBy(key).agg(F.max(date).alias("last_date"))
-    top = last.agg(F.max("last_date").alias("_top"))
-    return last.join(F.broadcast(top), F.col("last_date") == F.col("_top"), "left").select(key, "last_date", F.col("_top").isNotNull().alias("is_active"))
+    return last.withColumn("is_active", F.coalesce(F.col("last_date") == last.agg(F.max("last_date")).scalar(), F.lit(False)))
 
 
 def bucketed_fact(df: DataFrame, keys: Sequence[str], sums: Sequence[str] = (), avgs: Sequence[str] = (), bucket: Column | None = None, bucket_name: str = "bucket") -> DataFrame:
@@ -156,7 +155,7 @@ def correlations(df: DataFrame, by: Sequence[str], pairs: Sequence[tuple[str, st
 def share_of_total(df: DataFrame, by: Sequence[str], measure: str, digits: int = 6) -> DataFrame:
     """Each group's share of the whole; the total is taken over the groups, not the rows."""
     g = df.groupBy(*by).agg(F.sum(measure).alias("total"))
-    return g.join(F.broadcast(g.agg(F.sum("total").alias("_all")))).select(*by, "total", F.round(F.col("total").cast("double") / F.col("_all"), digits).alias("share"))
+    return g.withColumn("share", F.round(F.col("total").cast("double") / g.agg(F.sum("total")).scalar(), digits))
 
 
 def kpi(df: DataFrame, measure: str, digits: int = 4) -> DataFrame:

@@ -43,11 +43,10 @@ def current_rows(df: DataFrame, flag: str = "is_current") -> DataFrame:
 
 
 def latest_season(df: DataFrame, season: str) -> DataFrame:
-    """Rows of the latest season, by the first four characters of its name. The maximum is one row, so
-    it is broadcast; nothing reaches the driver."""
+    """Rows of the latest season, by the first four characters of its name. The maximum is a scalar
+    subquery, so it is one value in the scan's filter."""
     year = F.substring(F.col(season).cast("string"), 1, 4).cast("int")
-    last = df.agg(F.max(year).alias("_last_year"))
-    return df.join(F.broadcast(last), year == F.col("_last_year"), "left_semi")
+    return df.filter(year == df.agg(F.max(year)).scalar())
 
 
 def sane(df: DataFrame, key: str, measure: str) -> DataFrame:
@@ -87,10 +86,9 @@ def tag(df: DataFrame, name: str, value) -> DataFrame:
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], low: float = 0.05, high: float = 0.95, accuracy: int = 10_000) -> DataFrame:
-    """Columns cut at their approximate percentiles, all found in one pass and joined as one row."""
-    bounds = df.agg(*(F.percentile_approx(c, [low, high], accuracy).alias(f"_b_{c}") for c in cols))
-    cut = {c: F.least(F.greatest(F.col(c), F.col(f"_b_{c}")[0]), F.col(f"_b_{c}")[1]) for c in cols}
-    return df.join(F.broadcast(bounds)).withColumns(cut).drop(*(f"_b_{c}" for c in cols))
+    """Columns cut at their approximate percentiles, all found by one scalar subquery."""
+    bounds = df.agg(F.struct(*(F.percentile_approx(c, [low, high], accuracy).alias(c) for c in cols))).scalar()
+    return df.withColumns({c: F.least(F.greatest(F.col(c), bounds[c][0]), bounds[c][1]) for c in cols})
 
 
 def clean_doubles(df: DataFrame) -> DataFrame:

@@ -101,8 +101,8 @@ def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], col:
 def time_holdout(df: DataFrame, date: str, ratio: float = 0.1, accuracy: int = 10_000) -> DataFrame:
     """is_holdout for the most recent share of rows: a cutoff date by an approximate quantile, found in
     one aggregate, instead of a global sort."""
-    cut = df.agg(F.percentile_approx(F.unix_date(F.to_date(date)), 1.0 - ratio, accuracy).alias("_cut"))
-    return df.join(F.broadcast(cut)).withColumn("is_holdout", F.unix_date(F.to_date(date)) > F.col("_cut")).drop("_cut")
+    day = F.unix_date(F.to_date(date))
+    return df.withColumn("is_holdout", day > df.agg(F.percentile_approx(day, 1.0 - ratio, accuracy)).scalar())
 
 
 def adjust_pvalues(df: DataFrame, group: Sequence[str], p: str, tie: str) -> DataFrame:

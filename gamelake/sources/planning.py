@@ -13,8 +13,7 @@ def high_water_mark(df: DataFrame, date: str, default: str) -> DataFrame:
 
 def advance_mark(old: DataFrame, rows: DataFrame, date: str) -> DataFrame:
     """The mark after a batch: it moves forward, and only if rows came."""
-    new = rows.agg(F.max(F.to_date(date)).alias("_new"))
-    return old.join(F.broadcast(new)).select(F.greatest("high_water_mark", "_new").alias("high_water_mark"))
+    return old.select(F.greatest("high_water_mark", rows.agg(F.max(F.to_date(date))).scalar()).alias("high_water_mark"))
 
 
 def season_bounds(seasons: DataFrame, start_year: str = "start_year") -> DataFrame:
