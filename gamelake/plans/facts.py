@@ -370,3 +370,52 @@ def play_rollup(spark: S, sf: str) -> DataFrame:
 def batting_totals(spark: S, sf: str) -> DataFrame:
     t = aggregates.bucketed_fact(box(spark, sf), ["member_id", "season"], ["fgm", "fga"])
     return t.withColumn("average", scalars.safe_ratio(F.col("total_fgm"), F.col("total_fga")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem")
+def enrich_check(spark: S, sf: str) -> DataFrame:
+    """Sort-merge left join to a dimension that keeps the left columns only."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return joins.enrich_check(lines, table(spark, sf, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
+
+
+@query(f"WITH {_B1}, {_B2}, t AS (SELECT *, md5(id || '-' || status) AS h FROM b1), u AS (SELECT *, md5(id || '-' || status) AS h FROM b2) SELECT * FROM t WHERE NOT (id IN (SELECT id FROM u) AND h NOT IN (SELECT h FROM u))")
+def delete_changed(spark: S, sf: str) -> DataFrame:
+    t, u = (b.withColumn("h", scalars.row_hash(["id", "status"])) for b in _batches(spark, sf))
+    return joins.delete_changed(t, u, "id", "h")
+
+
+@query(f"{WITH}, d AS (SELECT DISTINCT member_id, event_date FROM box) SELECT *, lead(event_date) OVER (PARTITION BY member_id ORDER BY event_date) AS next_start FROM d")
+def next_start(spark: S, sf: str) -> DataFrame:
+    return windows.next_start(box(spark, sf).select("member_id", "event_date").distinct(), ["member_id"], "event_date")
+
+
+@query("SELECT 'customer' AS dim, count(*) AS n FROM (SELECT DISTINCT o_custkey FROM orders) UNION ALL SELECT 'status', count(*) FROM (SELECT DISTINCT o_orderstatus FROM orders) UNION ALL SELECT 'fact', count(*) FROM orders")
+def split_star(spark: S, sf: str) -> DataFrame:
+    parts = star.split_star(table(spark, sf, "orders"), {"customer": ["o_custkey"], "status": ["o_orderstatus"]}, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+    counts = [p.agg(F.count("*").alias("n")).select(F.lit(n).alias("dim"), "n") for n, p in parts.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey, coalesce(s.s_acctbal, 0.0) AS balance, coalesce(s.s_suppkey, -1) AS opponent_id FROM customer LEFT JOIN supplier s ON c_custkey = s_suppkey")
+def defaults_and_prefixes(spark: S, sf: str) -> DataFrame:
+    """Prefix stripping and null-safe defaults after an outer join."""
+    c = project.strip_prefix(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), "c_")
+    s = project.rename(table(spark, sf, "supplier").select("s_suppkey", "s_acctbal"), {"s_suppkey": "opponent_id", "s_acctbal": "balance"})
+    return project.with_defaults(c.join(s, F.col("custkey") == F.col("opponent_id"), "left"), {"balance": 0.0, "opponent_id": -1}).select("custkey", "name", "nationkey", "balance", "opponent_id")
+
+
+@query(f"{WITH} SELECT event_id, member_id, season, 'etl' AS created_by, TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM box WHERE outcome LIKE '%R%'")
+def audited_rows(spark: S, sf: str) -> DataFrame:
+    """Pattern filter and audit columns."""
+    return scd.audit(project.like(box(spark, sf), "outcome", "%R%").select("event_id", "member_id", "season"), "etl", "2024-01-01 00:00:00")
+
+
+@query(
+    f"""WITH {_B1}, {_B2} SELECT id, status, n, true AS is_current FROM b2 UNION ALL SELECT b1.id, b1.status, b1.n, b2.id IS NULL FROM b1 LEFT JOIN b2 ON b1.id = b2.id WHERE b2.id IS NULL OR b1.status <> b2.status OR b1.n <> b2.n"""
+)
+def scd2_merge_replayed(spark: S, sf: str) -> DataFrame:
+    """The second batch applied twice leaves the same current rows and the same history."""
+    b1, b2 = _batches(spark, sf)
+    once = scd.scd2_merge(scd.scd2_start(b1, ["id"], ["status", "n"], "1997-12-31"), b2, ["id"], ["status", "n"], "2001-12-31")
+    return scd.scd2_merge(once, b2, ["id"], ["status", "n"], "2002-12-31").select("id", "status", "n", "is_current")

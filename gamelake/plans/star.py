@@ -80,3 +80,11 @@ def group_advanced(groups: DataFrame, prefix: str = "opp_") -> DataFrame:
         advanced.effective_fg(c("fgm"), c("fg3m"), c("fga")).alias("effective_fg"),
         *advanced.group_rates(), *advanced.game_shares("", prefix, "game_share"),
     )
+
+
+def split_star(df: DataFrame, dims: dict[str, Sequence[str]], fact: Sequence[str]) -> dict[str, DataFrame]:
+    """Distinct dimension tables (the first column of each is its key) and the fact table of a batch.
+
+    In a stream, call it in foreachBatch and merge the dimensions with ``scd.scd2_merge``."""
+    out = {name: df.select(*cols).filter(F.col(cols[0]).isNotNull()).distinct() for name, cols in dims.items()}
+    return out | {"fact": df.select(*fact)}
