@@ -155,9 +155,10 @@ def profile(spark: S, sf: str) -> DataFrame:
     return A.profile(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
 
 
-@query(f"{WITH} SELECT member_id, list(pts ORDER BY event_date, event_id) AS series FROM box GROUP BY member_id")
+@query(f"{WITH} SELECT member_id, string_agg(CAST(pts AS VARCHAR), ',' ORDER BY event_date, event_id) AS series FROM box GROUP BY member_id")
 def series_arrays(spark: S, sf: str) -> DataFrame:
-    return A.collect_series(box(spark, sf), "member_id", ["event_date", "event_id"], "pts")
+    out = A.collect_series(box(spark, sf), "member_id", ["event_date", "event_id"], "pts")
+    return out.withColumn("series", F.concat_ws(",", F.col("series").cast("array<string>")))
 
 
 @query(f"{WITH} SELECT outcome, {', '.join(f'round(avg({c}), 4) AS {c}_mean, round(stddev_samp({c}), 4) AS {c}_stddev' for c in ('pts', 'fga', 'reb'))} FROM box GROUP BY outcome")
@@ -170,9 +171,10 @@ def winsorized(spark: S, sf: str) -> DataFrame:
     return project.winsorize(box(spark, sf).select("member_id", "season", "event_id", "pts"), ["pts"], accuracy=1_000_000)
 
 
-@query(f"{WITH} SELECT season, list_value(quantile_disc(pts, 0.25), quantile_disc(pts, 0.5), quantile_disc(pts, 0.9)) AS quantiles FROM box GROUP BY season")
+@query(f"{WITH} SELECT season, concat_ws(',', quantile_disc(pts, 0.25), quantile_disc(pts, 0.5), quantile_disc(pts, 0.9)) AS quantiles FROM box GROUP BY season")
 def approximate_quantiles(spark: S, sf: str) -> DataFrame:
-    return A.approx_quantiles(box(spark, sf), ["season"], "pts", [0.25, 0.5, 0.9], 1_000_000)
+    out = A.approx_quantiles(box(spark, sf), ["season"], "pts", [0.25, 0.5, 0.9], 1_000_000)
+    return out.withColumn("quantiles", F.concat_ws(",", F.col("quantiles").cast("array<string>")))
 
 
 _HALVES = "SELECT o_orderkey AS event_id, o_custkey AS id, o_orderstatus AS status"

@@ -103,13 +103,13 @@ def click_events(spark: S, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, list_filter([CASE WHEN NOT o_totalprice < 400000 THEN 'price' END, CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'status' END, CASE WHEN NOT o_orderkey % 50 > 0 THEN 'key' END], lambda x: x IS NOT NULL) AS errors
+    """SELECT o_orderkey, array_to_string(list_filter([CASE WHEN NOT o_totalprice < 400000 THEN 'price' END, CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'status' END, CASE WHEN NOT o_orderkey % 50 > 0 THEN 'key' END], lambda x: x IS NOT NULL), ',') AS errors
 FROM orders WHERE NOT (o_totalprice < 400000 AND o_orderstatus IN ('F', 'O') AND o_orderkey % 50 > 0)"""
 )
 def validate_rejects(spark: S, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     _, rejects = documents.validate(o, {"price": F.col("o_totalprice") < 400000, "status": F.col("o_orderstatus").isin("F", "O"), "key": F.col("o_orderkey") % 50 > 0})
-    return rejects.select("o_orderkey", "errors")
+    return rejects.select("o_orderkey", F.array_join("errors", ",").alias("errors"))
 
 
 @query("SELECT o_orderstatus AS status, max(CAST(o_orderdate AS DATE)) AS high_water_mark FROM orders GROUP BY 1 UNION ALL SELECT 'none', DATE '1990-01-01'")

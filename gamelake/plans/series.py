@@ -56,9 +56,10 @@ def longest_streaks(spark: S, sf: str) -> DataFrame:
     return windows.longest_streaks(_b(spark, sf, "outcome"), KEY, ORDER, F.col("outcome") == "R")
 
 
-@query(f"{WITH} SELECT {_ID}, list(pts) OVER ({_W} ROWS 6 PRECEDING) AS pts_last7 FROM box")
+@query(f"{WITH} SELECT {_ID}, array_to_string(list(pts) OVER ({_W} ROWS 6 PRECEDING), ',') AS pts_last7 FROM box")
 def trailing_array(spark: S, sf: str) -> DataFrame:
-    return windows.trailing_array(_b(spark, sf, "pts"), KEY, ORDER, "pts").drop("pts")
+    out = windows.trailing_array(_b(spark, sf, "pts"), KEY, ORDER, "pts").drop("pts")
+    return out.withColumn("pts_last7", F.concat_ws(",", F.col("pts_last7").cast("array<string>")))
 
 
 @query(f"{WITH} SELECT {_ID}, group_id, CASE WHEN row_number() OVER w > 1 AND group_id IS NOT DISTINCT FROM lag(group_id) OVER w THEN 0 ELSE 1 END AS changed FROM box WINDOW w AS ({_W})")
