@@ -27,7 +27,7 @@ from gamelake.llm.common import bounded_batches, materialise
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEAST, MASK = 256, 0xFF
 #: Bits (as a power of two) of the filter of shared chunks: 16 MB that are sent to each executor, whatever
-#: the input. Wrong hits only send a document the longer way.
+#: the input. Wrong hits only send a document the longer way; beyond some 10^8 shared chunks most take it.
 FILTER_BITS = 27
 
 
