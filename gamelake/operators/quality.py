@@ -60,11 +60,16 @@ def alert_below(metrics: DataFrame, value: str, threshold: float) -> DataFrame:
 
 def drift(a: DataFrame, b: DataFrame, col: str, low: float, high: float, bins: int, digits: int = 6) -> DataFrame:
     """Population stability index of a column between two tables; empty bins count as half a row."""
-    both = a.select(F.col(col), F.lit(1).alias("_a")).union(b.select(F.col(col), F.lit(0).alias("_a")))
-    n = both.groupBy(bin_of(F.col(col), low, high, bins).alias("bin")).agg(F.greatest(F.sum("_a").cast("double"), F.lit(0.5)).alias("x"), F.greatest(F.sum(1 - F.col("_a")).cast("double"), F.lit(0.5)).alias("y"))
-    # sum (x - y) ln(x / y) over shares, written with sums over the bins, so that one aggregate gives it
+    both = a.select(F.col(col), F.lit(True).alias("_in_a")).union(b.select(F.col(col), F.lit(False).alias("_in_a")))
+    return drift_within(both, F.col("_in_a"), col, low, high, bins, digits)
+
+
+def drift_within(df: DataFrame, in_a: Column, col: str, low: float, high: float, bins: int, digits: int = 6) -> DataFrame:
+    """The same between the rows of one table that meet a condition and those that don't; it is read once."""
+    n = df.groupBy(bin_of(F.col(col), low, high, bins).alias("bin")).agg(F.greatest(F.count_if(in_a).cast("double"), F.lit(0.5)).alias("x"), F.greatest(F.count_if(~in_a).cast("double"), F.lit(0.5)).alias("y"))
+    # sum (x - y) ln(x / y) over shares, written with sums over the bins, so that one aggregate gives it:
+    # the logarithm of the totals' ratio cancels, as both shares sum to one
     x, y, ln = F.col("x"), F.col("y"), F.log(F.col("x") / F.col("y"))
     sums = n.agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.sum(x * ln).alias("xl"), F.sum(y * ln).alias("yl"))
-    # ln of the ratio of shares is ln(x / y) - ln(sx / sy); the second part cancels, as both shares sum to one
     psi = F.col("xl") / F.col("sx") - F.col("yl") / F.col("sy")
     return sums.select(F.lit(col).alias("column"), F.round(psi, digits).alias("psi"))

@@ -259,8 +259,7 @@ def quality_report(spark: S, sf: str) -> DataFrame:
 t AS (SELECT sum(x) AS sx, sum(y) AS sy FROM n) SELECT 'fga' AS "column", round(sum((x / sx - y / sy) * ln((x / sx) / (y / sy))), 6) AS psi FROM n, t"""
 )
 def drift_psi(spark: S, sf: str) -> DataFrame:
-    b = box(spark, sf)
-    return quality.drift(b.filter("season < 1998"), b.filter("season >= 1998"), "fga", 0, 60, 10)
+    return quality.drift_within(box(spark, sf), F.col("season") < 1998, "fga", 0, 60, 10)
 
 
 @query(f"{WITH}, g AS (SELECT group_id, round(avg(pts), 4) AS average FROM box GROUP BY group_id) SELECT group_id, average, average < 28 AS is_alert FROM g")
