@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from gamelake.llm.common import bounded_batches, fold
 
+#: Characters that are scored in one call.
+TOGETHER = 1 << 18
 MULTIPLIER, BLANK, VOCABULARY = np.uint64(0x9E3779B97F4A7C15), 32, 65_536
 
 
@@ -94,15 +96,14 @@ def fit_language(texts: list[np.ndarray], order: int) -> list[Order]:
     hashed = [gram_hashes(p, order) for p in texts if len(p)]
     cat = lambda n, cut: np.concatenate([np.empty(0, np.uint64), *(cut(h[n - 1]) for h in hashed)])
     out: list[Order] = []
-    grams, at, counts = None, None, None
+    at = None
     # occurrences at each character of the text: grams that end there
     ends = lambda n: cat(n, lambda h: h[order - n :])
     contexts_of = lambda n: np.concatenate([np.empty(0, np.uint64), *((h[n - 2][order - n : len(h[n - 2]) - 1] if n > 1 else np.zeros(len(h[0]) - order + 1, np.uint64)) for h in hashed)])
     for n in range(order, 0, -1):
         seen, first, count = np.unique(ends(n), return_index=True, return_counts=True)
         if n < order:  # how many different characters stand before the gram, from the distinct longer ones
-            count = np.zeros(len(seen), np.int64)
-            np.add.at(count, np.searchsorted(seen, ends(n)[at]), 1)
+            count = np.bincount(np.searchsorted(seen, ends(n)[at]), minlength=len(seen))
         ctx, back = np.unique(contexts_of(n)[first], return_inverse=True)
         total, kinds = np.bincount(back, count), np.bincount(back)
         ones, twos = (count == 1).sum(), (count == 2).sum()
@@ -141,28 +142,39 @@ class Scorer:
         return np.stack([-np.log2(probabilities(self.m.orders[n], parts, contexts)) for n in self.names], 1).astype(np.float32)
 
     def entropies(self, texts: list[np.ndarray]) -> np.ndarray:
-        """(texts, languages): bits per character; infinite for texts without a letter."""
+        """(texts, languages): bits per character; infinite for texts without a letter. Texts are scored
+        together up to TOGETHER characters, so that the cost of a call is shared."""
         out = np.full((len(texts), len(self.names)), np.inf)
-        n = self.m.spec.order
+        part: list[int] = []
+        size = 0
         for i, plain in enumerate(texts):
-            if not len(plain) or not self.names:
-                continue
-            hashed = gram_hashes(plain, n)
-            full = hashed[-1]
-            slot = (full * np.uint64(0xD6E8FEB86659FD93)) >> self.shift
-            known = self.keys[slot] == full
-            bits = self.bits[slot]
-            if not known.all():
-                new, first = np.unique(full[~known], return_index=True)
-                at = np.flatnonzero(~known)[first]
-                parts = [h[at + n - k] for k, h in enumerate(hashed, 1)]
-                ctx = [np.zeros(len(at), np.uint64), *(hashed[k - 2][at + n - k] for k in range(2, n + 1))]
-                got = self._fresh(parts, ctx)
-                bits[~known] = got[np.searchsorted(new, full[~known])]
-                self.keys[slot[at]], self.bits[slot[at]] = new, got
-            out[i] = bits.sum(0, dtype=np.float64) / len(full)
+            if len(plain) and self.names:
+                part.append(i)
+                size += len(plain)
+            if part and (size >= TOGETHER or i == len(texts) - 1):
+                out[part] = self._together([texts[k] for k in part])
+                part, size = [], 0
         return out
 
+    def _together(self, texts: list[np.ndarray]) -> np.ndarray:
+        n = self.m.spec.order
+        each = [gram_hashes(t, n) for t in texts]
+        # the n-grams that end at each character, for n from 1 on
+        hashed = [np.concatenate([h[k - 1][n - k :] for h in each]) for k in range(1, n + 1)]
+        before = [np.concatenate([h[k - 2][n - k : -1] for h in each]) for k in range(2, n + 1)]
+        full = hashed[-1]
+        slot = (full * np.uint64(0xD6E8FEB86659FD93)) >> self.shift
+        known = self.keys[slot] == full
+        bits = self.bits[slot]
+        if not known.all():
+            new, first = np.unique(full[~known], return_index=True)
+            at = np.flatnonzero(~known)[first]
+            got = self._fresh([h[at] for h in hashed], [np.zeros(len(at), np.uint64), *(c[at] for c in before)])
+            bits[~known] = got[np.searchsorted(new, full[~known])]
+            self.keys[slot[at]], self.bits[slot[at]] = new, got
+        ends = np.cumsum([len(t) for t in texts])
+        return np.add.reduceat(bits.astype(np.float64), ends - [len(t) for t in texts], axis=0) / np.array([[len(t)] for t in texts])
+
 
 def posterior(entropy: np.ndarray, chars: np.ndarray, sharpness: float) -> np.ndarray:
     x = -sharpness * np.sqrt(chars)[:, None] * entropy
@@ -176,9 +188,13 @@ def fit(docs: DataFrame, spec: Spec = Spec()) -> Models:
     language, the max_docs documents with the smallest hashes of their ids; a fifth of it calibrates."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
-    sample = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("order")).withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "order", "n").distinct()
+    ids = known.select("doc_id", "lang", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("order"))
+    # only hashes that can be among the smallest go to the ranking, however common a language is
+    many = ids.groupBy("lang").agg(F.count("*").alias("many"))
+    low = ids.join(many, "lang").filter(F.col("order") / float(2**63) < 2.0 * spec.max_docs / F.col("many"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
+    sample = low.withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "order", "n").distinct()
     chosen = known.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
