@@ -33,9 +33,9 @@ def latest_n(spark: S, sf: str) -> DataFrame:
     return box(spark, sf).select("event_date", "member_id", "event_id", "pts").orderBy(F.col("event_date").desc(), F.col("event_id").desc(), F.col("member_id").desc()).limit(100)
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_regionkey, n_name")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_mktsegment, c_name, c_custkey")
 def global_order(spark: S, sf: str) -> DataFrame:
-    return table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_regionkey", "n_name")
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment").orderBy("c_mktsegment", "c_name", "c_custkey")
 
 
 @query(f"{WITH} SELECT member_id, season, count(DISTINCT event_id) AS events, round(avg(pts), 2) AS avg_pts, round(avg(reb), 2) AS avg_reb, round(avg(ast), 2) AS avg_ast FROM box GROUP BY ALL")
@@ -239,9 +239,6 @@ def future_routing(spark: S, sf: str) -> DataFrame:
     return project.tag(future, "route", "future").unionByName(project.tag(past, "route", "historical"))
 
 
-_HOT = "c_mktsegment = '{v}'"
-
-
 @query("SELECT c_custkey, " + ", ".join(f"CASE WHEN c_mktsegment = '{v}' THEN 1 ELSE 0 END AS c_mktsegment_{v}" for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + " FROM customer")
 def one_hot(spark: S, sf: str) -> DataFrame:
     hot = project.one_hot(table(spark, sf, "customer"), "c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"])

@@ -142,14 +142,11 @@ def missing_chunks(spark: S, sf: str) -> DataFrame:
     return planning.missing_chunks(planned.select("chunk_start", "chunk_end"), loaded)
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey, CAST(to_json(struct_pack(n_nationkey := n_nationkey, n_name := n_name, n_regionkey := n_regionkey)) AS VARCHAR) AS document FROM nation")
+@query("SELECT c_custkey, c_name, c_nationkey, CAST(to_json(struct_pack(c_custkey := c_custkey, c_name := c_name, c_nationkey := c_nationkey)) AS VARCHAR) AS document FROM customer")
 def json_documents(spark: S, sf: str) -> DataFrame:
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    n = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     docs = documents.to_json_documents(n, F.lit("2024-01-01").cast("timestamp"))
-    return docs.select(F.from_json("document", "n_nationkey int, n_name string, n_regionkey int").alias("d"), "document").select("d.*", "document")
-
-
-_SLIDE = "unnest([0, 1]) AS t(k)"
+    return docs.select(F.from_json("document", "c_custkey long, c_name string, c_nationkey int").alias("d"), "document").select("d.*", "document")
 
 
 @query(
