@@ -48,7 +48,8 @@ def wave_features(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 def spectral_features(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str], top: int = 3, history: int = 10_000) -> DataFrame:
     """Per entity and column: the largest Fourier magnitudes and the largest second-level Haar details
-    of its series. A series longer than ``history`` is cut into pieces of that length (rows ``piece``),
+    of its series (they describe a whole piece, so they say nothing that a row could have known before its
+    end; for that take ``wave_features``). A series longer than ``history`` is cut into pieces of that length (rows ``piece``),
     so that no group is unbounded."""
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
     cut = df.select(key, *dict.fromkeys([*order, *cols])).withColumn("_n", place).withColumn("piece", F.floor(F.col("_n") / history).cast("int"))
