@@ -26,6 +26,8 @@ from gamelake.llm.common import bounded_batches, materialise
 #: The pattern that splits texts before byte-level merges, and the special token of the vocabulary file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEAST, MASK = 256, 0xFF
+#: Digests of shared chunks that a task remembers, so as to write their bytes once.
+REMEMBER = 500_000
 #: Bits (as a power of two) of the filter of shared chunks: 16 MB that are sent to each executor, whatever
 #: the input. Wrong hits only send a document the longer way; beyond some 10^8 shared chunks most take it.
 FILTER_BITS = 27
@@ -58,6 +60,8 @@ class Codec:
         for t in self.special:
             ranks.pop(t.encode(), None)
         self.bytes_of = {i: b for b, i in ranks.items()} | {i: t.encode() for t, i in self.special.items()}
+        #: How ids are packed between stages: two bytes each if the vocabulary allows it.
+        self.packed = "<u2" if max(self.bytes_of) < 1 << 16 else "<u4"
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
@@ -242,14 +246,19 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> Encoded:
     chunk = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("seq", pa.int32()), ("digest", pa.binary()), ("chunk", pa.binary())])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(sent.value, np.uint8)
+        bitmap, written = np.frombuffer(sent.value, np.uint8), set()
         for batch in batches:
             out: list[tuple] = []
+            if len(written) > REMEMBER:  # what was written before may then be written once more
+                written.clear()
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 body, cuts, digests, flags = cut(text, bitmap)
                 if flags.any():
                     key = hashlib.md5(body).digest()
-                    out += [(doc, key, k, d if f else None, body[x:y]) for k, (x, y, d, f) in enumerate(zip([0, *cuts[:-1]], cuts, digests, flags, strict=True))]
+                    for k, (x, y, d, f) in enumerate(zip([0, *cuts[:-1]], cuts, digests, flags, strict=True)):
+                        out.append((doc, key, k, d if f else None, None if f and d in written else body[x:y]))
+                        if f:
+                            written.add(d)
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], chunk.types[k]) for k in range(5)], schema=chunk)
 
     cut_up = materialise(own.mapInArrow(chunks, "doc_id long, text_key binary, seq int, digest binary, chunk binary"), "chunks")
@@ -257,12 +266,13 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> Encoded:
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(content.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), _ids([np.array(c.encode(b.decode("utf-8")), np.int32) for b in batch.column("chunk").to_pylist()])], ["digest", "ids"])
+            packed = [np.array(c.encode(b.decode("utf-8")), c.packed).tobytes() for b in batch.column("chunk").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(packed, pa.binary())], ["digest", "ids"])
 
-    shared = cut_up.filter("digest is not null").groupBy("digest").agg(F.first("chunk").alias("chunk")).mapInArrow(once, "digest binary, ids array<int>")
+    shared = cut_up.filter("digest is not null and chunk is not null").groupBy("digest").agg(F.first("chunk").alias("chunk")).mapInArrow(once, "digest binary, ids binary")
     refs = cut_up.filter("digest is not null").select("text_key", "seq", "digest").distinct().join(shared, "digest").select("text_key", "seq", "ids", F.lit(None).cast("binary").alias("chunk"))
     # a chunk without a digest occurs once in the corpus, so these rows are distinct as they are
-    rest = cut_up.filter("digest is null").select("text_key", "seq", F.lit(None).cast("array<int>").alias("ids"), "chunk")
+    rest = cut_up.filter("digest is null").select("text_key", "seq", F.lit(None).cast("binary").alias("ids"), "chunk")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(content.value)
@@ -271,8 +281,8 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> Encoded:
             for row in batch.column("parts"):  # one document's ids at a time as Python numbers
                 parts = row.as_py()
                 parts.sort(key=lambda p: p["seq"])
-                bodies = [p["chunk"] if p["ids"] is None else b"".join(map(c.bytes_of.__getitem__, p["ids"])) for p in parts]
-                ids = [c.encode(b.decode("utf-8")) if p["ids"] is None else p["ids"] for p, b in zip(parts, bodies, strict=True)]
+                ids = [c.encode(p["chunk"].decode("utf-8")) if p["ids"] is None else np.frombuffer(p["ids"], c.packed).tolist() for p in parts]
+                bodies = [p["chunk"] if p["ids"] is None else b"".join(map(c.bytes_of.__getitem__, i)) for p, i in zip(parts, ids, strict=True)]
                 done.append(np.array(join_chunks(c, b"".join(bodies), np.cumsum([len(b) for b in bodies]).tolist(), ids), np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("text_key"), _ids(done)], ["text_key", "ids"])
 
