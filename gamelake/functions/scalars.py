@@ -105,7 +105,7 @@ def recode(c: Column, mapping: Mapping[str, str]) -> Column:
     return F.coalesce(out, c)
 
 
-#: Canonical codes of season types, from their URL-encoded names and short forms.
+#: Canonical codes of season types, from their URL-encoded names and short forms.
 SEASON_TYPES = {"Regular%20Season": "regular_season", "Regular Season": "regular_season", "Playoffs": "playoffs", "Pre%20Season": "pre_season", "Pre Season": "pre_season", "PlayIn": "play_in", "All%20Star": "all_star", "IST": "nba_cup"}
 
 
