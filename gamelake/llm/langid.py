@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gamelake.llm.common import bounded_batches, fold
+from gamelake.llm.common import bounded_batches, fold, materialise
 
+#: Languages up to which the table of their counts is broadcast (under 1 MB).
+BROADCAST_LANGUAGES = 10_000
 #: Characters that are scored in one call.
 TOGETHER = 1 << 18
 MULTIPLIER, BLANK, VOCABULARY = np.uint64(0x9E3779B97F4A7C15), 32, 65_536
@@ -191,7 +193,9 @@ def fit(docs: DataFrame, spec: Spec = Spec()) -> Models:
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
     ids = known.select("doc_id", "lang", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("order"))
     # only hashes that can be among the smallest go to the ranking, however common a language is
-    many = ids.groupBy("lang").agg(F.count("*").alias("many"))
+    many = materialise(ids.groupBy("lang").agg(F.count("*").alias("many")), "languages")
+    if many.count() <= BROADCAST_LANGUAGES:  # else joined by shuffle
+        many = F.broadcast(many)
     low = ids.join(many, "lang").filter(F.col("order") / float(2**63) < 2.0 * spec.max_docs / F.col("many"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     sample = low.withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "order", "n").distinct()
