@@ -16,6 +16,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op1_substring_dedup, for passages that begin and end anywhere; it has no SQL."""
+    spans = units.repeated_passages(table(spark, sf_dir, "documents"))
+    return spans.select(
+        "doc_id", F.col("unit").alias("line_no"), "start_char", "end_char", "n_lines", "n_words", F.lower(F.hex("digest")).alias("digest"), "kept_doc_id", "kept_start_char"
+    )
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = materialise(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "vectors")
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
@@ -58,7 +66,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op1_passage_dedup, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality)}
 
 #: DuckDB SQL for the operators that SQL can express.
 ORACLE_SQL = {

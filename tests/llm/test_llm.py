@@ -77,6 +77,53 @@ def test_repeated_lines_odd_rows(odd, empty):
     assert [original[a:b] for a, b in cleaned[5].removed_spans] == SHARED.split("\n")
 
 
+def found_by_passages(docs, least=units.MIN_WORDS):
+    """doc_id -> the removed spans."""
+    out = defaultdict(list)
+    for r in units.united(units.repeated_passages(docs, least)).orderBy("doc_id", "start_char").collect():
+        out[r.doc_id].append((r.start_char, r.end_char))
+    return out
+
+
+def test_repeated_passages_of_short_lines(spark, odd, empty):
+    wrapped = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(5)]  # 60 words, no line of 25
+    mixed = [" ".join(f"m{k}x{j}" for j in range(n)) for k, n in enumerate((10, 22, 93, 2))]
+    data = [(1, "\n".join(["top", *wrapped, "", "lone line", *mixed])), (2, "\n".join(["other", *mixed, "lone line", "x y z", *wrapped])), (3, "lone line\n" + wrapped[2])]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert units.repeated_lines(docs).count() == 1  # of all this, lines alone find one
+    out = found_by_passages(docs)
+    assert set(out) == {2} and [data[1][1][a:b] for a, b in out[2]] == ["\n".join(mixed), "\n".join(wrapped)]
+    assert units.repeated_passages(empty).count() == 0 and set(found_by_passages(odd)) == {5}
+
+
+def test_repeated_passages_inside_lines(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijé") for _ in range(rng.randint(1, 8)))
+    texts, places = [], []
+    passage = [word() for _ in range(80)]
+    for _ in range(60):
+        before, after = (" ".join(word() for _ in range(rng.randint(5, 90))) + rng.choice(("  ", "\n", " \u3000")) for _ in range(2))
+        body = " ".join(passage).upper()
+        places.append((len(before), len(before) + len(body)))
+        texts.append(before + body + " " + after)
+    found = found_by_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    covered = [sum(y - x for x, y in found[k]) / (b - a) for k, (a, b) in enumerate(places)]
+    assert not found[0] and min(covered[1:]) > 0.5
+    assert all(a <= x and y <= b for k, (a, b) in enumerate(places) for x, y in found[k])
+
+
+def test_repeated_passages_keep_one_of_each_word(spark):
+    rng = random.Random(2)
+    data = [(k, " ".join(rng.choice(("aa", "bb", "cc\n", "dd")) for _ in range(rng.randint(1, 30)))) for k in range(40)]
+    found, seen = found_by_passages(spark.createDataFrame(data, "doc_id long, text string"), 5), set()
+    for doc, text in data:
+        words, starts, ends, first = units.pieces(text)
+        assert words == text.lower().split() == [text[a:b] for a, b in zip(starts, ends, strict=True)]
+        for w, a in zip(words, starts.tolist(), strict=True):
+            assert w in seen or not any(x <= a < y for x, y in found[doc])
+            seen.add(w)
+
+
 def chunks_of(text):
     lines = (text or "").split("\n")
     if len(lines) < 2:
