@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -59,17 +60,20 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for t in self.special:
             ranks.pop(t.encode(), None)
+        #: Text and special tokens in turn; of those that start at one place the longest.
+        self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split
         self.bytes_of = {i: b for b, i in ranks.items()} | {i: t.encode() for t, i in self.special.items()}
         #: How ids are packed between stages: two bytes each if the vocabulary allows it.
         self.packed = "<u2" if max(self.bytes_of) < 1 << 16 else "<u4"
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        found = [(text.find(t), -len(t), t) for t in self.special if t in text]
-        if not found:
+        if not any(t in text for t in self.special):
             return self.encoding.encode_ordinary(text)
-        at, _, token = min(found)
-        return self.encoding.encode_ordinary(text[:at]) + [self.special[token]] + self.encode(text[at + len(token) :])
+        out: list[int] = []
+        for k, part in enumerate(self.split_special(text)):
+            out += [self.special[part]] if k % 2 else self.encoding.encode_ordinary(part)
+        return out
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")

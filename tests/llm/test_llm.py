@@ -432,6 +432,12 @@ def test_chunk_joins_are_exact(tokenizer):
         assert bpe.join_chunks(c, body, cuts, parts) == want
 
 
+def test_bpe_of_thousands_of_special_tokens(spark, tokenizer):
+    data = [(1, "<|endoftext|>" * 5000), (2, "it's <|endoftext|> a " * 5000)]
+    want = sorted((d, *summed(tokenizer, t)) for d, t in data)
+    assert rows_of(bpe.encode_and_decode(spark.createDataFrame(data, "doc_id long, text string"))) == want
+
+
 # 9: near-duplicates
 
 
