@@ -82,33 +82,55 @@ def stratified_sample(df: DataFrame, strata: Sequence[str], key: Sequence[str],
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).drop("_n")
 
 
-def grouped_ar(df: DataFrame, key: str, order: Sequence[str], y: str, max_order: int = 3, history: int = 10_000) -> DataFrame:
-    """Per entity an autoregression by least squares, its order by AIC: coefficients with normal-theory
-    p-values. Entities with fewer than three points have no rows; of a long series the last
-    ``history`` points are fitted, so that no group is unbounded."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*(F.col(c).desc() for c in order)))
-    recent = df.select(key, F.col(y).cast("double").alias("_y"), rank.alias("_n")).filter(F.col("_n") <= history)
+def grouped_ar(df: DataFrame, key: str, order: Sequence[str], y: str, max_order: int = 3) -> DataFrame:
+    """Per entity an autoregression by least squares over its whole series, its order by AIC: coefficients
+    with normal-theory p-values. Entities with fewer than three points have no rows; points that are
+    missing, or have a missing one among their lags, are left out.
+
+    Lags are windows, and of each entity only the sums of products go to the solver, one row whatever
+    its length. Values are taken from the entity's mean, so that the sums keep their digits."""
+    at = Window.partitionBy(key)
+    centred = df.select(key, *(c for c in dict.fromkeys(order) if c not in (key, y)), F.col(y).cast("double").alias("_y"), *([F.col(y)] if y in order and y != key else [])).withColumn("_m", F.avg("_y").over(at))
+    lagged = centred.select(key, "_m", *(F.lag(F.col("_y") - F.col("_m"), i).over(at.orderBy(*order)).alias(f"_z{i}") if i else (F.col("_y") - F.col("_m")).alias("_z0") for i in range(max_order + 1)))
+    sums, places = [F.first("_m").alias("_m"), F.count("_z0").alias("_points")], {}
+    for p in range(max_order + 1):
+        z = [F.lit(1.0), *(F.col(f"_z{i}") for i in range(p + 1))]
+        whole = F.lit(True)
+        for x in z[1:]:
+            whole = whole & x.isNotNull()
+        for i in range(p + 2):
+            for j in range(i, p + 2):
+                places[p, i, j] = places[p, j, i] = f"_s{p}_{i}_{j}"
+                sums.append(F.coalesce(F.sum(F.when(whole, z[i] * z[j])), F.lit(0.0)).alias(places[p, i, j]))
     kind = dict(df.dtypes)[key]
 
-    def model(pdf: pd.DataFrame) -> pd.DataFrame:
+    def models(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from math import erfc, log, sqrt
 
-        x = pdf.sort_values("_n", ascending=False)["_y"].to_numpy()
-        best = None
-        for p in range(0, min(max_order, (len(x) - 1) // 2) + 1) if len(x) >= 3 else ():
-            a = np.column_stack([np.ones(len(x) - p), *(x[p - i : len(x) - i] for i in range(1, p + 1))])
-            b = x[p:]
-            c, *_ = np.linalg.lstsq(a, b, rcond=None)
-            rss = float(((b - a @ c) ** 2).sum())
-            aic = len(b) * log(max(rss / len(b), 1e-12)) + 2 * (p + 1)
-            if best is None or aic < best[0]:
-                s2 = rss / max(1, len(b) - p - 1)
-                se = np.sqrt(np.maximum(np.diag(np.linalg.pinv(a.T @ a)) * s2, 1e-30))
-                best = (aic, p, c, [erfc(abs(z) / sqrt(2)) for z in c / se])
-        rows = [(pdf[key].iloc[0], best[1], i, float(v), float(q)) for i, (v, q) in enumerate(zip(best[2], best[3], strict=True))] if best else []
-        return pd.DataFrame(rows, columns=[key, "ar_order", "term", "coefficient", "p_value"])
-
-    return recent.groupBy(key).applyInPandas(model, f"{key} {kind}, ar_order int, term int, coefficient double, p_value double")
+        for part in parts:
+            rows = []
+            for r in part.to_dict("records"):
+                best = None
+                for p in range(0, min(max_order, (r["_points"] - 1) // 2) + 1) if r["_points"] >= 3 else ():
+                    s = np.array([[r[places[p, i, j]] for j in range(p + 2)] for i in range(p + 2)])
+                    n, use = s[0, 0], [0, *range(2, p + 2)]
+                    if n < p + 1:
+                        continue
+                    a, b = s[np.ix_(use, use)], s[use, 1]
+                    inverse = np.linalg.pinv(a, hermitian=True)
+                    c = inverse @ b
+                    rss = max(0.0, float(s[1, 1] - 2 * c @ b + c @ a @ c))
+                    aic = n * log(max(rss / n, 1e-12)) + 2 * (p + 1)
+                    if best is None or aic < best[0]:
+                        back = np.eye(p + 1)  # to the intercept of the values as they are
+                        back[0, 1:] = -r["_m"]
+                        se = np.sqrt(np.maximum(np.diag(back @ inverse @ back.T) * rss / max(1, n - p - 1), 1e-30))
+                        c = back @ c + np.append(r["_m"], np.zeros(p))
+                        best = (aic, p, c, [erfc(abs(z) / sqrt(2)) for z in c / se])
+                rows += [(r[key], best[1], i, float(v), float(q)) for i, (v, q) in enumerate(zip(best[2], best[3], strict=True))] if best else []
+            yield pd.DataFrame(rows, columns=[key, "ar_order", "term", "coefficient", "p_value"])
+
+    return lagged.groupBy(key).agg(*sums).mapInPandas(models, f"{key} {kind}, ar_order int, term int, coefficient double, p_value double")
 
 
 def embed_text(df: DataFrame, col: str, dim: int = 64, name: str = "vector") -> DataFrame:
