@@ -7,6 +7,7 @@ All windows are partitioned by an entity; a top-n filter on a rank is pushed int
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -87,12 +88,14 @@ def trailing_array(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return df.withColumn(f"{col}_last{n}", F.collect_list(col).over(_window(keys, order).rowsBetween(-(n - 1), 0)))
 
 
-def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], col: str, span: int = 3, memory: int = 64, digits: int = 6) -> DataFrame:
+def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], col: str, span: int = 3, memory: int | None = None, digits: int = 6) -> DataFrame:
     """Exponential moving average, s = a x + (1 - a) s' with a = 2 / (span + 1), from the first value on.
 
-    It runs over the last ``memory`` values, whose weights sum to one within (1 - a)**memory (below
-    1e-19 for a span of 3), so that a row costs the same however long its entity's history is."""
+    It runs over the last ``memory`` values, whose weights sum to one within (1 - a)**memory, so that a
+    row costs the same however long its entity's history is. By default as many as bring that below
+    1e-19, 64 at least: some 22 times the span."""
     a = 2.0 / (span + 1)
+    memory = memory or max(64, ceil(log(1e-19) / log(1 - a)) if a < 1 else 1)
     values = F.collect_list(F.col(col).cast("double")).over(_window(keys, order).rowsBetween(-(memory - 1), 0))
     s = F.aggregate(F.slice(values, 2, memory), F.element_at(values, 1), lambda s, x: F.lit(1 - a) * s + F.lit(a) * x)
     return df.withColumn(f"{col}_ema{span}", F.round(s, digits))

@@ -144,6 +144,13 @@ def test_ema_equals_recursion(spark):
     assert np.allclose(out, want, atol=1e-6)
 
 
+def test_ema_of_a_long_span_equals_recursion(spark):
+    x = [1000.0] + [0.0] * 199
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(x)], "k int, o int, v double")
+    out = [r.v_ema100 for r in windows.ema(df, ["k"], ["o"], "v", 100).orderBy("o").collect()]
+    assert np.allclose(out, [1000 * (1 - 2 / 101) ** i for i in range(200)], atol=1e-6)
+
+
 def test_adjust_pvalues(spark):
     p = [0.01, 0.02, 0.03, 0.04, 0.5]
     df = spark.createDataFrame([("g", i, v) for i, v in enumerate(p)], "g string, i int, p double")
