@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch. Texts are whole, so a batch of the default 10,000 rows could be large.
-BATCH_ROWS = 512
+#: Rows and bytes in one Arrow batch. Texts are whole, so a batch of the default 10,000 rows could be large.
+BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,14 +18,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Small Arrow batches for the session, so that long texts don't meet in one batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """Small Arrow batches for the session, so that long texts don't meet in one batch. Spark reads the
+    setting when a plan runs, not when it is declared, so it stays; smaller settings are kept."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = _bytes(spark.conf.get(name))
+        if not 0 < now <= most:
+            spark.conf.set(name, most)
+
+
+def _bytes(value: str) -> int:
+    found = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", value.strip().lower())
+    return int(found[1]) << 10 * " kmgtp".index(found[2] or " ") if found else 0
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where the session names none (tests)."""
+    """The folder of spark.checkpoint.dir. Where the session names none, a temporary one in local mode
+    (tests); on a cluster, where other machines could not read that, an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(named)
     return named

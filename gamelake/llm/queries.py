@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.llm import bpe, langid, mixing, quality, simhash, telephony, topk, toxicity, units
 from gamelake.llm.common import materialise, table
 
 
+def _shown(spans: str = "removed_spans") -> Column:
+    """Offsets as text: start-end, in order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start_char"].cast("string"), s["end_char"].cast("string"))), ",")
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = units.repeated_lines(table(spark, sf_dir, "documents"))
-    return spans.select(
-        "doc_id", F.col("unit").alias("line_no"), "start_char", "end_char", "n_words", F.lower(F.hex("digest")).alias("digest"), "kept_doc_id", "kept_start_char"
-    )
+    """The documents that lose something: their text without it, and its original offsets."""
+    docs = units.drop_repeated_passages(table(spark, sf_dir, "documents"), changed_only=True)
+    return docs.select("doc_id", "text", F.size("removed_spans").cast("long").alias("n_removed"), _shown().alias("removed_spans"))
 
 
-def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op1_substring_dedup, for passages that begin and end anywhere; it has no SQL."""
-    spans = units.repeated_passages(table(spark, sf_dir, "documents"))
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 on single lines only: each long line that repeats an earlier one."""
+    spans = units.repeated_lines(table(spark, sf_dir, "documents"))
     return spans.select(
-        "doc_id", F.col("unit").alias("line_no"), "start_char", "end_char", "n_lines", "n_words", F.lower(F.hex("digest")).alias("digest"), "kept_doc_id", "kept_start_char"
+        "doc_id", F.col("unit").alias("line_no"), "start_char", "end_char", "n_words", F.lower(F.hex("digest")).alias("digest"), "kept_doc_id", "kept_start_char"
     )
 
 
@@ -31,8 +35,7 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = units.drop_repeated_chunks(table(spark, sf_dir, "documents"))
-    spans = F.array_join(F.transform("removed_spans", lambda s: F.concat_ws("-", s["start_char"].cast("string"), s["end_char"].cast("string"))), ",")
-    return docs.select("doc_id", "text", F.size("removed_spans").cast("long").alias("n_removed"), spans.alias("removed_spans"))
+    return docs.select("doc_id", "text", F.size("removed_spans").cast("long").alias("n_removed"), _shown().alias("removed_spans"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +69,45 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op1_passage_dedup, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, repeated_lines, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality)}
 
+#: White space as in units.SPACE, and what is none.
+_SPACES = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WHITE, _WORD = f"[{_SPACES}]", f"[^{_SPACES}]"
 #: DuckDB SQL for the operators that SQL can express.
 ORACLE_SQL = {
-    "op1_substring_dedup": r"""
+    "op1_substring_dedup": rf"""
+WITH tokens AS (
+  SELECT doc_id, text, regexp_extract_all(text, '{_WHITE}*{_WORD}+') AS ts FROM documents WHERE text IS NOT NULL
+), each AS (
+  SELECT doc_id, unnest(range(1, len(ts) + 1)) AS i, unnest(ts) AS t FROM tokens
+), word AS (
+  SELECT doc_id, i, lower(regexp_extract(t, '{_WORD}+$')) AS w, length(regexp_extract(t, '{_WORD}+$')) AS n, contains(regexp_extract(t, '^{_WHITE}*'), chr(10)) AS broken,
+         CAST(sum(length(t)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS e FROM each
+), pair AS (SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM word
+), opened AS (
+  SELECT *, i = 1 OR broken OR w = p OR right(p, 1) IN ('.', '!', '?', ';', ':')
+    OR (17 * unicode(p) + 101 * unicode(right(p, 1)) + 43 * length(p) + 61 * unicode(w) + 31 * unicode(right(w, 1)) + 7 * length(w)) % 2147483648 * 1103515245 % 4294967296 < 536870912 AS opens FROM pair
+), doc AS (SELECT doc_id, list(w ORDER BY i) AS ws, list(e - n ORDER BY i) AS ss, list(e ORDER BY i) AS es FROM opened GROUP BY doc_id
+), edge AS (SELECT doc_id, i FROM opened WHERE opens UNION ALL SELECT doc_id, len(ws) + 1 FROM doc
+), run AS (
+  SELECT a.doc_id, a.i AS a, z.i AS z FROM edge a ASOF JOIN edge z ON a.doc_id = z.doc_id AND a.i + 20 <= z.i
+  UNION SELECT z.doc_id, a.i, z.i FROM edge z ASOF JOIN edge a ON a.doc_id = z.doc_id AND z.i - 20 >= a.i
+), unit AS (SELECT r.doc_id, ss[a] AS s, es[z - 1] AS e, md5(array_to_string(ws[a:z - 1], ' ')) AS digest FROM run r JOIN doc d ON d.doc_id = r.doc_id
+), again AS (SELECT DISTINCT doc_id, s, e FROM (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY doc_id, s) AS n FROM unit) WHERE n > 1
+), reach AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM again
+), joined AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM reach
+), span AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM joined GROUP BY doc_id, g
+), cut AS (SELECT doc_id, count(*) AS n_removed, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es FROM span GROUP BY doc_id
+), kept AS (
+  SELECT c.*, length(d.text) AS size, array_to_string(list_transform(range(0, len(ss) + 1), lambda k: substring(d.text, CASE WHEN k = 0 THEN 1 ELSE es[k] + 2 END,
+    CASE WHEN k = len(ss) THEN length(d.text) ELSE greatest(0, ss[k + 1] - CASE WHEN k = 0 THEN 0 ELSE es[k] + 1 END) END)), '') AS text
+  FROM cut c JOIN documents d ON d.doc_id = c.doc_id
+)
+SELECT doc_id, CASE WHEN es[len(es)] >= size THEN regexp_replace(text, '\n\z', '') ELSE text END AS text, n_removed,
+  array_to_string(list_transform(range(1, len(ss) + 1), lambda k: ss[k] || '-' || es[k]), ',') AS removed_spans
+FROM kept""",
+    "repeated_lines": r"""
 WITH lines AS (
   SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
 ), pos AS (

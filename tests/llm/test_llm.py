@@ -77,7 +77,7 @@ def test_repeated_lines_odd_rows(odd, empty):
     assert [original[a:b] for a, b in cleaned[5].removed_spans] == SHARED.split("\n")
 
 
-def found_by_passages(docs, least=units.MIN_WORDS):
+def found_by_passages(docs, least=units.PASSAGE_WORDS):
     """doc_id -> the removed spans."""
     out = defaultdict(list)
     for r in units.united(units.repeated_passages(docs, least)).orderBy("doc_id", "start_char").collect():
@@ -106,10 +106,52 @@ def test_repeated_passages_inside_lines(spark):
         body = " ".join(passage).upper()
         places.append((len(before), len(before) + len(body)))
         texts.append(before + body + " " + after)
-    found = found_by_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = found_by_passages(docs)
     covered = [sum(y - x for x, y in found[k]) / (b - a) for k, (a, b) in enumerate(places)]
     assert not found[0] and min(covered[1:]) > 0.5
     assert all(a <= x and y <= b for k, (a, b) in enumerate(places) for x, y in found[k])
+    # what is cut leaves the rest as it was, but for one white space after each span
+    cleaned = {r.doc_id: r for r in units.drop_repeated_passages(docs).collect()}
+    changed = {r.doc_id: r for r in units.drop_repeated_passages(docs, changed_only=True).collect()}
+    assert set(changed) == set(range(1, 60)) and all(changed[k] == cleaned[k] for k in changed) and cleaned[0].text == texts[0]
+    for k, r in cleaned.items():
+        at, left = 0, ""
+        for x, y in r.removed_spans:
+            left += texts[k][at:x]
+            at = y + 1
+        assert r.text == left + texts[k][at:] and [tuple(x) for x in r.removed_spans] == found[k]
+
+
+def test_passages_that_repeat_in_the_documents(spark):
+    """Brute force: words in windows of 50 that stand in an earlier document, copies of whole texts left out."""
+    data, texts, seen, repeated = [], set(), set(), {}
+    for r in table(spark, "/root/testdata/sf0.01", "documents").orderBy("doc_id").collect():
+        words = r.text.lower().split()
+        if " ".join(words) in texts:
+            continue
+        texts.add(" ".join(words))
+        data.append((r.doc_id, r.text))
+        windows = [tuple(words[i : i + 50]) for i in range(len(words) - 49)]
+        marks = np.zeros(len(words), bool)
+        for i, w in enumerate(windows):
+            if w in seen:
+                marks[i : i + 50] = True
+        seen.update(windows)
+        if marks.any():
+            repeated[r.doc_id] = marks
+    found = found_by_passages(spark.createDataFrame(data, "doc_id long, text string"))
+    covered, caught = 0, 0
+    for doc, text in data:
+        if doc in repeated:
+            _, starts, ends, _, _ = units.pieces(text)
+            hit = np.zeros(len(starts), bool)
+            for x, y in found[doc]:
+                hit |= (starts >= x) & (ends <= y)
+            covered += (hit & repeated[doc]).sum()
+            caught += (hit & repeated[doc]).any()
+    assert len(repeated) > 20 and caught >= 0.95 * len(repeated)
+    assert covered > 0.8 * sum(m.sum() for m in repeated.values())
 
 
 def test_repeated_passages_keep_one_of_each_word(spark):
@@ -117,7 +159,7 @@ def test_repeated_passages_keep_one_of_each_word(spark):
     data = [(k, " ".join(rng.choice(("aa", "bb", "cc\n", "dd")) for _ in range(rng.randint(1, 30)))) for k in range(40)]
     found, seen = found_by_passages(spark.createDataFrame(data, "doc_id long, text string"), 5), set()
     for doc, text in data:
-        words, starts, ends, first = units.pieces(text)
+        words, starts, ends, first, _ = units.pieces(text)
         assert words == text.lower().split() == [text[a:b] for a, b in zip(starts, ends, strict=True)]
         for w, a in zip(words, starts.tolist(), strict=True):
             assert w in seen or not any(x <= a < y for x, y in found[doc])
