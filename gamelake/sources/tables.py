@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,21 +47,39 @@ def append_partitioned(df: DataFrame, name: str, *partition_by: str) -> None:
     df.write.mode("append").format("parquet").partitionBy(*partition_by).saveAsTable(name)
 
 
-def write_version(df: DataFrame, root: str) -> str:
+VERSIONS = "number long, path string, at timestamp, writer string, batch long"
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """The published versions of the table at root: number (from 1), path, at, and what the writer said
+    of itself. Empty if there are none yet."""
+    try:
+        return spark.read.schema(VERSIONS).parquet(f"{root}/_versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], VERSIONS)
+
+
+def write_version(df: DataFrame, root: str, writer: str | None = None, batch: int | None = None) -> str:
     """Write df as a new version under root and make it the one that ``read_version`` gives.
 
-    The pointer is a row in a small append-only Parquet table, newest first, so a reader sees the
-    old version or the new one, and the files that df is computed from are never overwritten."""
+    One row in a small append-only Parquet table publishes the version together with its writer and
+    batch, so a reader sees the old version or the new one, and a batch is recorded if and only if its
+    rows are visible. Versions are numbered, so clocks play no part; a table has one writer at a time.
+    The files that df is computed from are never overwritten."""
+    spark = df.sparkSession
     path = f"{root}/v-{uuid.uuid4().hex}"
     df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-    spark = df.sparkSession
-    spark.range(1).select(F.lit(path).alias("path"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(f"{root}/_versions")
+    last = versions(spark, root).agg(F.max("number")).first()[0] or 0
+    row = spark.range(1).select(F.lit(last + 1).cast("long").alias("number"), F.lit(path).alias("path"), F.current_timestamp().alias("at"), F.lit(writer).cast("string").alias("writer"), F.lit(batch).cast("long").alias("batch"))
+    row.coalesce(1).write.mode("append").parquet(f"{root}/_versions")
     return path
 
 
 def read_version(spark: SparkSession, root: str) -> DataFrame:
-    newest = spark.read.parquet(f"{root}/_versions").agg(F.max_by("path", "at").alias("path")).first()
-    return spark.read.parquet(newest["path"])
+    """The version with the highest number."""
+    return spark.read.parquet(versions(spark, root).agg(F.max_by("path", F.struct("number", "path"))).first()[0])
 
 
 def combine_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Structured Streaming: parsing, lateness, windows, running aggregates, upserts and fan-out.
 
-Merges run inside foreachBatch. A batch that is replayed after a failure is skipped when the ledger
-beside the target says that it was applied.
+Merges run inside foreachBatch. A version of the target and the query's batch that made it are published
+in one row, so a batch that is replayed after a failure is skipped if and only if it was applied.
 """
 
 from __future__ import annotations
@@ -55,36 +55,48 @@ def stream_complete(df: DataFrame, root: str, checkpoint: str, once: bool = Fals
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _query_id(batch: DataFrame) -> str:
+    """The id of the running query: kept in its checkpoint, so a restart has the same one and a query
+    with a new checkpoint another."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def stream_upsert(df: DataFrame, root: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], once: bool = False) -> StreamingQuery:
     """Merge every micro-batch into the versioned table at root: merge(table or None, batch) -> table.
 
-    A batch id is part of the version's row, so a batch that was applied before a restart is not applied twice."""
+    The row that publishes a version holds the ids of the query and of the batch. A batch that comes
+    again after a restart is skipped if its version was published, else it is merged into the version
+    before it. With a new checkpoint the query is another one: its batches are new, whatever their
+    numbers, and rows that it reads again are merged again."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = f"{root}/_batches"
-        spark.range(0).select(F.lit(0).cast("long").alias("batch_id")).write.mode("append").parquet(log)
-        if spark.read.parquet(log).filter(F.col("batch_id") == batch_id).limit(1).count():
+        spark, query = batch.sparkSession, _query_id(batch)
+        known = tables.versions(spark, root)
+        if known.filter((F.col("writer") == query) & (F.col("batch") == batch_id)).limit(1).count():
             return
-        first = not spark.read.parquet(log).limit(1).count()
+        first = known.isEmpty()
         batch = batch.persist()
-        tables.write_version(merge(None if first else tables.read_version(spark, root), batch), root)
-        batch.unpersist()
-        spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")).write.mode("append").parquet(log)
+        try:
+            tables.write_version(merge(None if first else tables.read_version(spark, root), batch), root, query, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(apply)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame], DataFrame]], checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Several tables from one stream: path -> projection. The batch is computed once; a file name per
-    batch makes a replay overwrite its own rows."""
+    """Several tables from one stream: path -> projection. The batch is computed once; a folder for each
+    query and batch makes a replay overwrite its own rows only."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        query = _query_id(batch)
         batch = batch.persist()
-        for path, project in sinks.items():
-            project(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            for path, project in sinks.items():
+                project(batch).write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(apply)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -339,14 +339,59 @@ def test_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     assert rows[dt.datetime(2024, 1, 1, 0, 10)] == 1
 
 
-def test_stream_upsert_skips_applied_batches(spark, tmp_path):
-    root, src = str(tmp_path / "t"), str(tmp_path / "in")
-    spark.createDataFrame([(1, 10)], "k long, v long").coalesce(1).write.parquet(src)
+def test_stream_upsert_applies_each_batch_once(spark, tmp_path):
+    root, src, ck = str(tmp_path / "t"), str(tmp_path / "in"), tmp_path / "ck"
     add = lambda old, new: new if old is None else old.unionByName(new)
-    run = lambda ck: streams.stream_upsert(spark.readStream.schema("k long, v long").parquet(src), root, ck, add, once=True).awaitTermination()
-    run(str(tmp_path / "ck"))
-    run(str(tmp_path / "ck_lost"))  # the checkpoint is lost: batch 0 comes again
-    assert tables.read_version(spark, root).count() == 1
+
+    def put(k):
+        spark.createDataFrame([(k, 10 * k)], "k long, v long").coalesce(1).write.mode("append").parquet(src)
+
+    def run(folder, merge=add):
+        streams.stream_upsert(spark.readStream.schema("k long, v long").parquet(src), root, str(folder), merge, once=True).awaitTermination()
+
+    def forget(batch):
+        """The query stopped after the batch's version was published and before its checkpoint said so."""
+        for f in (ck / "commits").glob(f"*{batch}*"):
+            f.unlink()
+
+    def ks():
+        return sorted(r.k for r in tables.read_version(spark, root).collect())
+
+    put(1)
+    run(ck)
+    assert ks() == [1] and tables.versions(spark, root).count() == 1
+    forget(0)
+    run(ck)
+    assert ks() == [1] and tables.versions(spark, root).count() == 1
+
+    def fails(old, new):
+        raise RuntimeError("stopped before the version was published")
+
+    put(2)
+    with pytest.raises(Exception, match="stopped before"):
+        run(ck, fails)
+    assert ks() == [1]
+    run(ck)
+    assert ks() == [1, 2]
+    put(3)
+    run(tmp_path / "new", lambda old, new: old.unionByName(new).distinct())  # a new checkpoint: its batch 0 holds a new row
+    assert ks() == [1, 2, 3]
+
+
+def test_fan_out_keeps_rows_of_other_queries(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for k in (1, 2):
+        spark.createDataFrame([(k,)], "k long").coalesce(1).write.mode("overwrite").parquet(src)
+        streams.fan_out(spark.readStream.schema("k long").parquet(src), {out: lambda b: b}, str(tmp_path / f"ck{k}"), once=True).awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_newest_version_is_the_last_one(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for k in range(5):
+        tables.write_version(spark.range(k, k + 1), root)
+    assert tables.read_version(spark, root).first()[0] == 4
+    assert [r.number for r in tables.versions(spark, root).orderBy("number").collect()] == [1, 2, 3, 4, 5]
 
 
 def test_widen_batch(spark):

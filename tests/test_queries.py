@@ -1,5 +1,8 @@
 """Every registered query against its SQL at the smallest scale; the others must give rows."""
 
+import subprocess
+import sys
+
 import pytest
 
 from gamelake.plans import registry
@@ -26,3 +29,10 @@ def test_entry_module(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("absent", ["xxhash", "gamelake.llm", "corpus_pipeline"])
+def test_entry_module_without_text_operators(absent):
+    """A package that only the text operators need is absent: the other queries are there."""
+    code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; from gamelake.plans import registry as r; assert set(r.QUERIES) <= set(e.queries()) and set(r.ORACLE_SQL) <= set(e.oracle_sql()); assert 'pipeline' not in e.queries()"
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
