@@ -88,11 +88,12 @@ WITH tokens AS (
 ), opened AS (
   SELECT *, i = 1 OR broken OR w = p OR right(p, 1) IN ('.', '!', '?', ';', ':')
     OR (17 * unicode(p) + 101 * unicode(right(p, 1)) + 43 * length(p) + 61 * unicode(w) + 31 * unicode(right(w, 1)) + 7 * length(w)) % 2147483648 * 1103515245 % 4294967296 < 536870912 AS opens FROM pair
+), line_end AS (SELECT doc_id, i FROM opened WHERE i > 1 AND broken UNION ALL SELECT doc_id, max(i) + 1 FROM opened GROUP BY doc_id
 ), doc AS (SELECT doc_id, list(w ORDER BY i) AS ws, list(e - n ORDER BY i) AS ss, list(e ORDER BY i) AS es FROM opened GROUP BY doc_id
 ), edge AS (SELECT doc_id, i FROM opened WHERE opens UNION ALL SELECT doc_id, len(ws) + 1 FROM doc
 ), run AS (
   SELECT a.doc_id, a.i AS a, z.i AS z FROM edge a ASOF JOIN edge z ON a.doc_id = z.doc_id AND a.i + 20 <= z.i
-  UNION SELECT z.doc_id, a.i, z.i FROM edge z ASOF JOIN edge a ON a.doc_id = z.doc_id AND z.i - 20 >= a.i
+  UNION SELECT z.doc_id, a.i, z.i FROM line_end z ASOF JOIN edge a ON a.doc_id = z.doc_id AND z.i - 20 >= a.i
 ), unit AS (SELECT r.doc_id, ss[a] AS s, es[z - 1] AS e, md5(array_to_string(ws[a:z - 1], ' ')) AS digest FROM run r JOIN doc d ON d.doc_id = r.doc_id
 ), again AS (SELECT DISTINCT doc_id, s, e FROM (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY doc_id, s) AS n FROM unit) WHERE n > 1
 ), reach AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM again

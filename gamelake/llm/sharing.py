@@ -45,19 +45,22 @@ def bitmap(keys: DataFrame) -> bytes:
     return whole.tobytes()
 
 
+def held(bits: bytes, keys: np.ndarray) -> np.ndarray:
+    """False where the key is surely not among those of the bitmap."""
+    own, k, out = np.frombuffer(bits, np.uint8), keys.view(np.uint64), np.ones(len(keys), bool)
+    for at in (k >> np.uint64(64 - BITS), (k << np.uint64(BITS)) >> np.uint64(64 - BITS)):
+        at = at.astype(np.int64)
+        out &= ((own[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+    return out
+
+
 def may_hold(df: DataFrame, bits: bytes, key: Column) -> Column:
-    """False where the key (long) is surely not among those of the bitmap; null keys are false."""
+    """False where the key (long) is surely not among those of the bitmap; the key isn't null."""
     sent = df.sparkSession.sparkContext.broadcast(bits)
 
     @F.pandas_udf("boolean")
-    def held(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = np.frombuffer(sent.value, np.uint8)
+    def told(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            k = part.to_numpy(np.int64).view(np.uint64)
-            out = np.ones(len(k), bool)
-            for at in (k >> np.uint64(64 - BITS), (k << np.uint64(BITS)) >> np.uint64(64 - BITS)):
-                at = at.astype(np.int64)
-                out &= ((own[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-            yield pd.Series(out)
-
-    return held(key)
+            yield pd.Series(held(sent.value, part.to_numpy(np.int64)))
+
+    return told(key)

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -144,10 +145,10 @@ def test_passages_that_repeat_in_the_documents(spark):
     covered, caught = 0, 0
     for doc, text in data:
         if doc in repeated:
-            _, starts, ends, _, _ = units.pieces(text)
-            hit = np.zeros(len(starts), bool)
+            p = units.Passages([text], units.PASSAGE_WORDS)
+            hit = np.zeros(len(p.words), bool)
             for x, y in found[doc]:
-                hit |= (starts >= x) & (ends <= y)
+                hit |= (p.starts >= x) & (p.ends <= y)
             covered += (hit & repeated[doc]).sum()
             caught += (hit & repeated[doc]).any()
     assert len(repeated) > 20 and caught >= 0.95 * len(repeated)
@@ -159,13 +160,58 @@ def test_repeated_passages_keep_one_of_each_word(spark):
     data = [(k, " ".join(rng.choice(("aa", "bb", "cc\n", "dd")) for _ in range(rng.randint(1, 30)))) for k in range(40)]
     found, seen = found_by_passages(spark.createDataFrame(data, "doc_id long, text string"), 5), set()
     for doc, text in data:
-        words, starts, ends, first, _ = units.pieces(text)
-        assert words == text.lower().split() == [text[a:b] for a, b in zip(starts, ends, strict=True)]
-        for w, a in zip(words, starts.tolist(), strict=True):
+        p = units.Passages([text], 5)
+        assert p.words == text.lower().split() == [text[a:b] for a, b in zip(p.starts, p.ends, strict=True)]
+        for w, a in zip(p.words, p.starts.tolist(), strict=True):
             assert w in seen or not any(x <= a < y for x, y in found[doc])
             seen.add(w)
 
 
+def brute_runs(text, least):
+    """Runs of pieces as (first word, word after the last), from their definition."""
+    marks = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+    words = [text[a:b].lower() for a, b in marks]
+    opens, line_ends = [], {len(words)}
+    for i, w in enumerate(words):
+        before = words[i - 1] if i else None
+        broken = i > 0 and "\n" in text[marks[i - 1][1] : marks[i][0]]
+        if broken:
+            line_ends.add(i)
+        pair = 0 if i == 0 else 17 * ord(before[0]) + 101 * ord(before[-1]) + 43 * len(before) + 61 * ord(w[0]) + 31 * ord(w[-1]) + 7 * len(w)
+        if i == 0 or broken or before[-1] in ".!?;:" or w == before or pair % 2**31 * 1103515245 % 2**32 < 2**29:
+            opens.append(i)
+    edges, out = [*opens, len(words)], set()
+    for a in opens:
+        out |= {(a, min(z for z in edges if z >= a + least))} if any(z >= a + least for z in edges) else set()
+    for z in line_ends:
+        out |= {(max(a for a in opens if a <= z - least), z)} if any(a <= z - least for a in opens) else set()
+    return out
+
+
+def test_passage_runs_brute_force():
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(("ab", "c. ", "dé ", " ", "\n", "x ", "ab ", "\u3000y")) for _ in range(rng.randint(0, 120))) for _ in range(60)]
+    texts = [t for t in texts if t]
+    p = units.Passages(texts, 5)
+    got, digests = defaultdict(set), {}
+    first = np.searchsorted(p.text, np.arange(len(texts)))
+    for k, (a, z) in enumerate(p.runs.tolist()):
+        t = p.text[a]
+        got[t].add((a - first[t], z - first[t]))
+        assert digests.setdefault(" ".join(p.words[a:z]), p.digest(k)) == p.digest(k)
+    assert all(got[t] == brute_runs(text, 5) for t, text in enumerate(texts))
+
+
+def test_run_hashes_tell_equal_runs(monkeypatch):
+    monkeypatch.setenv("PYTHONHASHSEED", "0")
+    p = units.Passages(["a b c. a b c. a b d. " * 40, "z a b c. a b c. q"], 3)
+    h = p.hashes()
+    of = defaultdict(set)
+    for k, (a, z) in enumerate(p.runs.tolist()):
+        of[" ".join(p.words[a:z])].add(h[k])
+    assert all(len(v) == 1 for v in of.values()) and len(set().union(*of.values())) == len(of)
+
+
 def chunks_of(text):
     lines = (text or "").split("\n")
     if len(lines) < 2:
