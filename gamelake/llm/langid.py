@@ -31,7 +31,8 @@ MULTIPLIER, BLANK, VOCABULARY = np.uint64(0x9E3779B97F4A7C15), 32, 65_536
 
 @dataclass(frozen=True)
 class Spec:
-    """order: characters of an n-gram. max_docs and max_chars bound each language's sample."""
+    """order: characters of an n-gram. max_docs and max_chars bound each language's sample (texts of over
+    a sixteenth of max_chars are left out of it)."""
 
     order: int = 5
     max_docs: int = 1_500
@@ -187,7 +188,8 @@ def posterior(entropy: np.ndarray, chars: np.ndarray, sharpness: float) -> np.nd
 
 def fit(docs: DataFrame, spec: Spec = Spec()) -> Models:
     """Models from documents with a language outside the held-out quarter. The sample is, for each
-    language, the max_docs documents with the smallest hashes of their ids; a fifth of it calibrates."""
+    language, the max_docs documents with the smallest hashes of their ids, as far as max_chars allows; a
+    fifth of it calibrates. Of an id's rows in a language the text with the smallest hash counts, once."""
     spark = docs.sparkSession
     bounded_batches(spark)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
@@ -198,18 +200,16 @@ def fit(docs: DataFrame, spec: Spec = Spec()) -> Models:
         many = F.broadcast(many)
     low = ids.join(many, "lang").filter(F.col("order") / float(2**63) < 2.0 * spec.max_docs / F.col("many"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    sample = low.withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "order", "n").distinct()
-    chosen = known.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id")
+    sample = low.withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "lang", "order", "n").distinct()
+    # sizes are summed up before any text moves: a language's task gets max_chars at most
+    own = known.select("doc_id", "lang", "text").withColumns({"hash": F.xxhash64("text"), "size": F.length("text")})
+    sized = own.join(F.broadcast(sample), ["doc_id", "lang"]).groupBy("lang", "n", "order", "doc_id").agg(F.min(F.struct("hash", "size")).alias("t")).select("lang", "n", "order", "doc_id", "t.*")
+    sums = F.sum("size").over(Window.partitionBy("lang", F.col("n") % 5 == 0).orderBy("n", "doc_id"))
+    fits = sized.filter(F.col("size") <= spec.max_chars // 16).withColumn("sum", sums).filter(F.col("sum") <= spec.max_chars).select("doc_id", "lang", "hash", "n", "order")
+    chosen = own.join(F.broadcast(fits), ["doc_id", "lang", "hash"]).groupBy("doc_id", "lang", "n", "order").agg(F.first("text").alias("text"))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order", "doc_id"])
-        texts, size = [], 0
-        for text in pdf["text"]:
-            plain = normal(text)
-            if size + len(plain) <= spec.max_chars:
-                texts.append(plain)
-                size += len(plain)
-        found = fit_language(texts, spec.order) if size else []
+        found = fit_language([normal(t) for t in pdf.sort_values(["order", "doc_id"])["text"]], spec.order)
         return pd.DataFrame(
             [(pdf["lang"].iloc[0], k, o.grams.tobytes(), o.shares.tobytes(), o.contexts.tobytes(), o.passes.tobytes()) for k, o in enumerate(found)],
             columns=["lang", "k", "grams", "shares", "contexts", "passes"],
@@ -248,7 +248,8 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     calibrated limit, so the text is likely of no learned language): one row per row of docs.
 
     Texts that are null or have no letter are "und" with score 0, not rejected; so are all texts if no
-    language was learned. Ties go to the language that sorts first. Null ids are not held out."""
+    language was learned. Ties go to the language that sorts first. Null ids are not held out. Repeated
+    rows are told alike, one row each. An empty table gives an empty one; other columns are left out."""
     spark = docs.sparkSession
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast(models)

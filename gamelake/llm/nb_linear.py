@@ -3,9 +3,9 @@
 The scaled indicators follow Wang and Manning (2012). The linear model is fitted by dual coordinate
 descent, with the hinge loss (Hsieh et al. 2008) or the logistic loss (Yu, Huang and Lin 2011).
 
-A model is fitted on a bounded sample of labelled rows (``max_rows`` documents, in the order of a
-hash of their ids, and ``max_features`` n-grams in all); it is then at most ``2**bits`` weights, so
-its size does not depend on the data. Every document is scored, over its whole text.
+A model is fitted on a bounded sample of labelled rows (``max_rows`` documents of ``max_bytes`` in all,
+in the order of a hash of their ids, and ``max_features`` n-grams); it is then at most ``2**bits``
+weights, so its size does not depend on the data. Every document is scored, over its whole text.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamelake.llm.common import bounded_batches
@@ -25,17 +25,20 @@ from gamelake.llm.common import bounded_batches
 @dataclass(frozen=True)
 class Spec:
     """What to fit. ``loss`` is "hinge" (scores by Platt scaling) or "logistic"; n-grams in fewer than
-    ``least`` documents of the sample get no weight."""
+    ``least`` documents of the sample get no weight. ``blank``: white space, and either end of a text,
+    is one blank, so that n-grams show where words begin and end."""
 
     orders: tuple[int, ...]
     loss: str
     bits: int = 18
     lower: bool = True
+    blank: bool = False
     alpha: float = 1.0
     cost: float = 1.0
     epochs: int = 20
     least: int = 1
     max_rows: int = 12_000
+    max_bytes: int = 48_000_000
     max_features: int = 40_000_000
 
 
@@ -59,7 +62,10 @@ class Buckets:
 
     def __call__(self, text: str | None) -> np.ndarray:
         s = self.spec
-        codes = np.frombuffer(((text or "").lower() if s.lower else text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+        text = (text or "").lower() if s.lower else text or ""
+        if s.blank and text:
+            text = f" {' '.join(text.split())} "
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         found, h = [], codes
         for n in range(1, max(s.orders) + 1):
             if n > 1:
@@ -130,6 +136,11 @@ def descend(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, spec: Spe
     return w, bias
 
 
+def _telling(rows: list[np.ndarray], ratios: np.ndarray) -> list[np.ndarray]:
+    """The rows without n-grams of ratio 0, which have no part in any margin."""
+    return [r[ratios[r] != 0] for r in rows]
+
+
 def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the sigmoid that fits y best (Platt's targets, Newton steps)."""
     pos, neg = (y > 0).sum(), (y == 0).sum()
@@ -163,22 +174,22 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, spec: Spec) -> Model:
                 margins[out] = 0.0
                 continue
             ratios = log_count_ratios(inside, y[~out], spec)
-            w, bias = descend(inside, y[~out], ratios, spec)
+            w, bias = descend(_telling(inside, ratios), y[~out], ratios, spec)
             v = w * ratios
             margins[out] = [v[r].sum() + bias for r, o in zip(rows, out, strict=True) if o]
         slope, shift = platt(margins, y)
     ratios = log_count_ratios(rows, y, spec)
-    w, bias = descend(rows, y, ratios, spec)
+    w, bias = descend(_telling(rows, ratios), y, ratios, spec)
     return Model(spec, (w * ratios).astype(np.float32), float(bias), slope, shift)
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, spec: Spec) -> Model:
-    """Fit on labelled documents. Labels other than 0 and 1 are left out; a key labelled twice counts
-    with its larger label. Null texts are empty ones. The sample's ids are bounded by
-    ``spec.max_rows`` and so may be broadcast; texts are featurised where they are read, and one task
-    gets the sample's n-gram buckets."""
-    bounded_batches(docs.sparkSession)
-    sample = (
+def sample_of(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, spec: Spec) -> DataFrame:
+    """order, key, label and text of the labelled documents to fit on: in the order of a hash of the key,
+    as many as max_rows and max_bytes (of UTF-8) allow; texts of over a sixteenth of max_bytes are left out.
+
+    Sizes are summed up before any text moves, so no task gets more than max_bytes of text. Of several
+    rows with one key the text with the smallest hash counts, once."""
+    ids = (
         labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
         .groupBy(F.col(key).alias("key"))
         .agg(F.max(label).cast("int").alias("label"))
@@ -186,7 +197,20 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, spe
         .orderBy("order", "key")
         .limit(spec.max_rows)
     )
-    chosen = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key")
+    own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumns({"hash": F.xxhash64("text"), "size": F.octet_length("text")})
+    sized = own.join(F.broadcast(ids), "key").groupBy("order", "key", "label").agg(F.min(F.struct("hash", "size")).alias("t")).select("order", "key", "label", "t.*")
+    # at most max_rows rows, of numbers only
+    sums = F.sum("size").over(Window.partitionBy().orderBy("order", "key"))
+    fits = sized.filter(F.col("size") <= spec.max_bytes // 16).withColumn("sum", sums).filter(F.col("sum") <= spec.max_bytes).select("order", "key", "label", "hash")
+    return own.join(F.broadcast(fits), ["key", "hash"]).groupBy("order", "key", "label").agg(F.first("text").alias("text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, spec: Spec) -> Model:
+    """Fit on labelled documents. Labels other than 0 and 1 are left out; a key labelled twice counts
+    with its larger label. Null texts are empty ones. One task gets the n-gram buckets of the sample,
+    which ``sample_of`` bounds where texts are read."""
+    bounded_batches(docs.sparkSession)
+    chosen = sample_of(docs, labels, text, key, label, spec)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets(spec)
@@ -209,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, spe
         m = fit_rows(rows, np.array(y, dtype=np.int64), spec)
         yield pa.RecordBatch.from_pydict({"weights": [m.weights.tobytes()], "bias": [m.bias], "slope": [m.slope], "shift": [m.shift]})
 
-    kind = dict(sample.dtypes)["key"]
+    kind = dict(chosen.dtypes)["key"]
     got = (
         chosen.mapInArrow(featurise, f"order long, key {kind}, label int, ids array<int>")
         .repartition(1)
