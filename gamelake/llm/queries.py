@@ -48,7 +48,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telephony.features(telephony.store_texts(table(spark, sf_dir, "documents")))
+    """The media are written to the shared folder and read back; PCM and features come from what is read."""
+    stored = materialise(telephony.store_texts(table(spark, sf_dir, "documents")), "media")
+    return telephony.features(telephony.to_pcm(stored))
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

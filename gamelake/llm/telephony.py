@@ -13,16 +13,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gamelake.llm.common import bounded_batches
 
 #: WAVE format tags.
 PCM, ALAW, MULAW, IMA = 1, 6, 7, 0x11
 RATE, UNIT = 8000, 64
+#: Samples that are resampled at once, and bytes of media that are decoded at once.
+STRETCH, TOGETHER = 1 << 20, 2 << 20
 #: The index changes of IMA ADPCM.
 INDEX_CHANGE = np.array([-1, -1, -1, -1, 2, 4, 6, 8], np.int32)
 
@@ -67,18 +69,22 @@ def wave(tag: int, body: bytes, rate: int = RATE) -> bytes:
 
 
 def read_wave(media: bytes | None) -> tuple[int, int, bytes] | None:
-    """Format tag, sample rate and data of a WAVE file; None for what is no mono file of a known format."""
+    """Format tag, sample rate and data (whole samples or blocks) of a WAVE file; None for what is no mono
+    file of 16-bit PCM, G.711 or IMA ADPCM in blocks as ``wave`` writes them, or has no usable header."""
     if not media or len(media) < 12 or media[:4] != b"RIFF" or media[8:12] != b"WAVE":
         return None
-    at, tag, rate = 12, None, 0
+    at, tag, rate, unit = 12, None, 0, 1
     while at + 8 <= len(media):
         name, size = media[at : at + 4], struct.unpack("<I", media[at + 4 : at + 8])[0]
-        if name == b"fmt " and size >= 16:
-            tag, channels, rate = struct.unpack("<HHI", media[at + 8 : at + 16])
-            if channels != 1 or tag not in (PCM, ALAW, MULAW, IMA):
+        if name == b"fmt ":
+            if size < 16 or at + 24 > len(media):
+                return None
+            tag, channels, rate, _, unit, bits = struct.unpack("<HHIIHH", media[at + 8 : at + 24])
+            if channels != 1 or rate == 0 or (bits, unit) != {PCM: (16, 2), ALAW: (8, 1), MULAW: (8, 1), IMA: (4, 4 + UNIT)}.get(tag):
                 return None
         elif name == b"data":
-            return None if tag is None else (tag, rate, media[at + 8 : at + 8 + size])
+            body = media[at + 8 : at + 8 + size]
+            return None if tag is None else (tag, rate, body[: len(body) // unit * unit])
         at += 8 + size + size % 2
     return None
 
@@ -129,13 +135,14 @@ def decode_all(files: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
 
 
 def resample(pcm: np.ndarray, rate: int, to: int) -> np.ndarray:
-    """Linear interpolation at the times of the new rate, in integers."""
-    n = len(pcm) * to // rate
-    at = np.arange(n, dtype=np.int64) * rate
-    low, part = at // to, at % to
-    high = np.minimum(low + 1, len(pcm) - 1)
-    x = pcm.astype(np.int64)
-    return ((x[low] * (to - part) + x[high] * part) // to).astype(np.int16)
+    """Linear interpolation at the times of the new rate, in integers, a stretch at a time."""
+    out = np.empty(len(pcm) * to // rate, np.int16)
+    for start in range(0, len(out), STRETCH):
+        at = np.arange(start, min(start + STRETCH, len(out)), dtype=np.int64) * rate
+        low, part = at // to, at % to
+        high = np.minimum(low + 1, len(pcm) - 1)
+        out[start : start + len(at)] = (pcm[low].astype(np.int64) * (to - part) + pcm[high].astype(np.int64) * part) // to
+    return out
 
 
 def codec_of(payload: bytes) -> int:
@@ -158,46 +165,71 @@ def store_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(stored, "doc_id long, n_bytes long, media binary")
 
 
+def _parts(media: list[bytes | None]) -> Iterator[tuple[int, int]]:
+    """Neighbouring files of about TOGETHER bytes."""
+    first = size = 0
+    for i, m in enumerate(media):
+        size += len(m or b"")
+        if size >= TOGETHER or i == len(media) - 1:
+            yield first, i + 1
+            first, size = i + 1, 0
+
+
 def to_pcm(table: DataFrame, media: str = "media", rate: int = 16_000) -> DataFrame:
-    """The table with pcm, a 16-bit WAVE file of the media at the new rate (null for what is no mono
-    WAVE file of a known format). A column called pcm is replaced."""
+    """The table with pcm, a 16-bit WAVE file of the media at the new rate.
+
+    pcm is null for media that are null, damaged or of no known format (see ``read_wave``). A file that
+    ends early gives what is there; half a sample or block at its end is left out. A column called pcm is
+    replaced; the others stay. Repeated rows are alike; an empty table gives an empty one."""
     bounded_batches(table.sparkSession)
+    own = table.drop("pcm")
+    schema = T.StructType([*own.schema.fields, T.StructField("pcm", T.BinaryType())])
 
-    @F.pandas_udf("binary")
-    def converted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            files = [read_wave(m) for m in part]
-            good = [f for f in files if f]
-            pcm = iter([wave(PCM, resample(p, f[1], rate).astype("<i2").tobytes(), rate) if len(p) else wave(PCM, b"", rate) for p, f in zip(decode_all(good), good, strict=True)])
-            yield pd.Series([next(pcm) if f else None for f in files], dtype=object)
+    def converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = batch.column(batch.schema.get_field_index(media)).to_pylist()
+            for a, z in _parts(given):
+                files = [read_wave(m) for m in given[a:z]]
+                good = [f for f in files if f]
+                pcm = iter([wave(PCM, resample(p, f[1], rate).astype("<i2").tobytes(), rate) for p, f in zip(decode_all(good), good, strict=True)])
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, z - a).columns, pa.array([next(pcm) if f else None for f in files], pa.binary())], [*batch.schema.names, "pcm"])
+
+    return own.mapInArrow(converted, schema)
 
-    return table.withColumn("pcm", converted(F.col(media)))
 
+def features(table: DataFrame) -> DataFrame:
+    """doc_id, n_bytes and what a table with media and pcm (see ``to_pcm``) shows: payload_bytes,
+    payload_sha256, tail_crc32 (of its last 64 bytes), media_bytes, media_sha256, and feature (format of
+    the media; rate, samples, peak, mean square, zero crossings and a checksum of the PCM).
 
-def features(stored: DataFrame, rate: int = 16_000) -> DataFrame:
-    """doc_id, n_bytes and what the stored media show when they are read back: payload_bytes,
-    payload_sha256, tail_crc32 (last 64 bytes), media_bytes, media_sha256 and feature (format, samples,
-    peak, mean square, zero crossings and a checksum of the resampled PCM)."""
-    bounded_batches(stored.sparkSession)
+    Media that can't be read have null for all but their size and hash; null media for these too. PCM
+    without samples has zeros. Repeated rows are alike; null ids are kept; an empty table gives an
+    empty one; other columns are left out."""
+    bounded_batches(table.sparkSession)
     names = {PCM: "pcm", ALAW: "alaw", MULAW: "mulaw", IMA: "ima"}
 
+    def shown(tag: int, pcm: tuple[int, int, bytes]) -> str:
+        x = np.frombuffer(pcm[2], "<i2")
+        peak = power = crossings = 0
+        for at in range(0, len(x), STRETCH):
+            part = x[at : at + STRETCH].astype(np.int64)
+            peak, power = max(peak, int(np.abs(part).max())), power + int(part @ part)
+        crossings = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
+        return f"{names[tag]};rate={pcm[1]};n={len(x)};peak={peak};power={power // max(1, len(x))};zc={crossings};crc={zlib.crc32(pcm[2])}"
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             media = batch.column("media").to_pylist()
-            files = [read_wave(m) for m in media]
-            payloads = [stored_payload(tag, body) for tag, _, body in files]
-            shown = []
-            for (tag, had, _), pcm in zip(files, decode_all(files), strict=True):
-                x = pcm.astype(np.int64)
-                new = resample(pcm, had, rate)
-                crossings = int(np.count_nonzero((pcm[1:] < 0) != (pcm[:-1] < 0)))
-                shown.append(f"{names[tag]};n={len(pcm)};peak={int(np.abs(x).max())};power={int(x @ x) // len(x)};zc={crossings};r{rate}={zlib.crc32(new.astype('<i2').tobytes())}")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("n_bytes"), pa.array([len(p) for p in payloads], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in payloads]),
-                    pa.array([zlib.crc32(p[-UNIT:]) for p in payloads], pa.int64()), pa.array([len(m) for m in media], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array(shown, pa.string()),
-                ],
-                ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
-            )
-
-    return stored.mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+            files, pcm = [read_wave(m) for m in media], [read_wave(m) for m in batch.column("pcm").to_pylist()]
+            payloads = [None if f is None else stored_payload(f[0], f[2]) for f in files]
+            of = lambda fn, values, kind: pa.array([None if v is None else fn(v) for v in values], kind)
+            sha = lambda v: hashlib.sha256(v).hexdigest()
+            told = [None if f is None or p is None else shown(f[0], p) for f, p in zip(files, pcm, strict=True)]
+            columns = [
+                batch.column("doc_id"), batch.column("n_bytes"), of(len, payloads, pa.int64()), of(sha, payloads, pa.string()),
+                of(lambda p: zlib.crc32(p[-UNIT:]), payloads, pa.int64()), of(len, media, pa.int64()), of(sha, media, pa.string()), pa.array(told, pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+
+    own = table.select("doc_id", "n_bytes", "media", "pcm")
+    return own.mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

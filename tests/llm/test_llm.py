@@ -482,21 +482,69 @@ def test_codecs_brute_force():
     assert telephony.resample(x, 8000, 16000).tolist() == [0, 50, 100, 0, -100, -100]
 
 
+def brute_pcm(media, to=16_000):
+    """Samples of a file as ``wave`` writes it, one at a time, at the new rate."""
+    tag, body = int.from_bytes(media[20:22], "little"), media[media.index(b"data") + 8 :]
+    if tag == telephony.IMA:
+        pcm = [x for k in range(0, len(body), 68) for x in brute_ima(body[k : k + 68])]
+    else:
+        pcm = [int((telephony.mulaw_table() if tag == telephony.MULAW else telephony.alaw_table())[b]) for b in body]
+    out = []
+    for k in range(len(pcm) * to // 8000):
+        low, part = divmod(k * 8000, to)
+        out.append((pcm[low] * (to - part) + pcm[min(low + 1, len(pcm) - 1)] * part) // to)
+    return out
+
+
 def test_audio_round_trip(spark, odd, empty):
-    out = telephony.features(telephony.store_texts(odd))
+    read = lambda df: telephony.to_pcm(telephony.store_texts(df))
+    table_ = read(odd)
+    files = defaultdict(set)
+    for r in table_.collect():
+        files[r.doc_id].add((r.media, r.pcm))
     texts = defaultdict(set)
     for r in odd.collect():
         texts[r.doc_id].add(r.text or "")
-    for r in out.collect():
+    for r in telephony.features(table_).collect():
         (text,) = texts[r.doc_id]
         body = text.encode()
         padded = body + b"\0" * (-len(body) % 64 or (0 if body else 64))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(body), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:]))
         media = telephony.store(padded, telephony.codec_of(padded))
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
-    assert out.count() == odd.count() and telephony.features(telephony.store_texts(empty)).count() == 0
-    pcm = telephony.to_pcm(spark.createDataFrame([(b"no audio",), (None,), (telephony.wave(telephony.MULAW, b"\x10" * 64),)], "media binary"))
-    assert [r.pcm is None for r in pcm.collect()] == [True, True, False]
+        ((kept, pcm),) = files[r.doc_id]
+        assert kept == media
+        if len(text) < 10_000:
+            x = brute_pcm(media)
+            assert pcm == telephony.wave(telephony.PCM, np.array(x, "<i2").tobytes(), 16_000)
+            name = {telephony.MULAW: "mulaw", telephony.ALAW: "alaw", telephony.IMA: "ima"}[telephony.codec_of(padded)]
+            crossings = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:]))
+            crc = zlib.crc32(b"".join(v.to_bytes(2, "little", signed=True) for v in x))
+            assert r.feature == f"{name};rate=16000;n={len(x)};peak={max(map(abs, x))};power={sum(v * v for v in x) // len(x)};zc={crossings};crc={crc}"
+    assert telephony.features(table_).count() == odd.count() and telephony.features(read(empty)).count() == 0
+
+
+def test_damaged_and_foreign_media(spark):
+    good = telephony.wave(telephony.MULAW, b"\x10" * 64)
+    ima = telephony.store(bytes(128), telephony.IMA)
+    pcm = telephony.wave(telephony.PCM, b"\x01\x02" * 10)
+    patched = lambda f, at, value: f[:at] + value + f[at + len(value) :]
+    bad = {
+        "null": None, "empty": b"", "text": b"no audio", "cut in fmt": good[:30], "only RIFF": good[:12], "rate 0": patched(good, 24, bytes(4)),
+        "two channels": patched(good, 22, b"\x02\x00"), "8-bit PCM": patched(patched(pcm, 34, b"\x08\x00"), 32, b"\x01\x00"), "other format": patched(good, 20, b"\x02\x00"), "other blocks": patched(ima, 32, b"\x00\x01"),
+    }
+    short = {"no data": telephony.wave(telephony.ALAW, b""), "odd PCM": telephony.wave(telephony.PCM, b"\x01\x02\x03"), "part of a block": ima[: -68 - 3], "cut": good[:-60]}
+    files = bad | short | {"good": good}
+    df = spark.createDataFrame([(k, 0, m, 1) for k, m in enumerate(files.values())], "doc_id long, n_bytes long, media binary, pcm int")
+    out = {name: r for name, r in zip(files, telephony.to_pcm(df).orderBy("doc_id").collect(), strict=True)}
+    assert all(out[n].pcm is None for n in bad) and all(out[n].pcm is not None for n in (*short, "good"))
+    size = {n: (len(out[n].pcm) - 44) // 2 for n in (*short, "good")}
+    assert size == {"no data": 0, "odd PCM": 2, "part of a block": 0, "cut": 8, "good": 128}
+    shown = {name: r for name, r in zip(files, telephony.features(telephony.to_pcm(df)).orderBy("doc_id").collect(), strict=True)}
+    for name, r in shown.items():
+        assert (r.feature is None) == (r.payload_bytes is None) == (name in bad)
+        assert (r.media_bytes, r.media_sha256) == ((None, None) if files[name] is None else (len(files[name]), hashlib.sha256(files[name]).hexdigest()))
+    assert shown["no data"].feature == "alaw;rate=16000;n=0;peak=0;power=0;zc=0;crc=0"
 
 
 # 7: language
