@@ -26,6 +26,8 @@ from gamelake.llm.common import bounded_batches, materialise
 
 #: The pattern that splits texts before byte-level merges, and the special token of the vocabulary file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of white space (as the pattern's \\s) that are taken out before the pattern.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 LEAST, MASK = 256, 0xFF
 #: Digests of shared chunks that a task remembers, so as to write their bytes once.
 REMEMBER = 500_000
@@ -69,12 +71,25 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         if not any(t in text for t in self.special):
-            return self.encoding.encode_ordinary(text)
+            return self._ordinary(text)
         out: list[int] = []
         for k, part in enumerate(self.split_special(text)):
-            out += [self.special[part]] if k % 2 else self.encoding.encode_ordinary(part)
+            out += [self.special[part]] if k % 2 else self._ordinary(part)
         return out
 
+    def _ordinary(self, text: str) -> list[int]:
+        """A long run of white space is one stretch up to its last character (up to its end, if the text
+        ends there), as the pattern says; it goes to the merges without the pattern, whose matcher would
+        go one level deeper for each of its characters."""
+        out: list[int] = []
+        at = 0
+        for run in LONG_BLANK.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += self.encoding.encode_ordinary(text[at : run.start()])
+            out += self.encoding._encode_single_piece(text[run.start() : end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
+
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 

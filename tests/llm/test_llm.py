@@ -662,6 +662,14 @@ def test_bpe_of_thousands_of_special_tokens(spark, tokenizer):
     assert rows_of(bpe.encode_and_decode(spark.createDataFrame(data, "doc_id long, text string"))) == want
 
 
+def test_bpe_of_very_long_runs(spark, tokenizer):
+    many = 1_000_000
+    runs = [" " * many + "a", "b" + " " * many, "\t" * many + "!x", "c" + "\n" * many + "d", "!" * many + " e", "e " + "\u3000\xa0" * 50_000 + "f", " " * 5000 + "<|endoftext|>" + "\n" * 5000 + "g", "\x1c" * 6000 + "h", " " * 4096 + "\n"]
+    data = list(enumerate(runs)) + [(len(runs) + k, "some text " * 50 + t[:200_000]) for k, t in enumerate(runs)]
+    want = sorted(((d, *summed(tokenizer, t)) for d, t in data), key=repr)
+    assert rows_of(bpe.encode_and_decode(spark.createDataFrame(data, "doc_id long, text string"))) == want
+
+
 # 9: near-duplicates
 
 
