@@ -3,13 +3,14 @@
 The dimensions are cut into blocks, and each block gives every query a list of partial scores. Queries
 and candidates meet in cells of bounded size (a stated query set against all rows, in blocks).
 
-1. Each cell takes the highest entries of each list and bounds the totals of their candidates from
-   below. The k-th highest bound over all cells is a safe cutoff for the k-th best total.
-2. The cutoff goes back to the cells with each query. A candidate whose every partial score, above the
-   list's minimum, is under the cutoff's equal share per list cannot reach the cutoff; the entries at
-   or above the share are collected, and candidates that an upper bound keeps under the cutoff go.
-3. The totals of those left are computed exactly; each cell sends its k best, which are ranked.
-
+1. Each cell takes the highest entries of each list and sums up the totals of their candidates. The k-th
+   highest of these over all cells is a safe cutoff: no smaller total is among the k best.
+2. The cutoff goes back to the cells with each query. A candidate whose every partial score is under the
+   cutoff's equal share per list cannot reach the cutoff; the entries at or above the share are collected.
+3. The totals of those left, and of no others, are computed exactly; each cell sends its k best, which
+   are ranked.
+
+Scores of a list aren't kept between the phases (there are as many as pairs); each phase multiplies anew.
 Equal vectors are one candidate (with its k + 1 smallest ids, more can't be needed) and one query.
 """
 
@@ -24,7 +25,7 @@ from gamelake.llm.common import materialise
 
 K, SCALE = 20, 64
 #: Dimension blocks (lists of partial scores), and rows of queries and of candidates in one cell.
-LISTS, QUERY_ROWS, CANDIDATE_ROWS = 4, 4096, 4096
+LISTS, QUERY_ROWS, CANDIDATE_ROWS = 2, 4096, 4096
 #: Queries of a cell that are scored at once: at most 8 MB for each list.
 AT_ONCE = 256
 
@@ -40,7 +41,13 @@ def integer_vectors(table: DataFrame) -> DataFrame:
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]) if column.num_chunks else np.empty(0)
-    return flat.astype(np.float64).reshape(rows, -1)
+    return flat.reshape(rows, -1)
+
+
+def _exact(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as doubles if no product or sum can leave the whole numbers that these hold, else as they are."""
+    most = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0)) * q.shape[1]
+    return (q.astype(np.float64), c.astype(np.float64)) if most < 2.0**53 else (q, c)
 
 
 def _lists(q: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
@@ -54,10 +61,17 @@ def _highest(scores: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k :]
 
 
+def resolved(lists: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The totals of the given entries."""
+    return sum(p[rows, columns] for p in lists)
+
+
 def top_k(table: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query of
     ``queries`` (vec_id, v) with the other ids of ``table`` (vec_id, v); all if there are fewer. Ties go to the
-    smaller vec_id. Vectors of different lengths do not meet. Empty tables give no rows."""
+    smaller vec_id. Vectors of different lengths do not meet. Empty tables give no rows. Of repeated rows
+    (same id and vector) one counts; ``integer_vectors`` leaves one vector of an id. Other columns are
+    left out. Scores are exact as long as they, and all sums on the way, are below 2**63."""
     k1 = k + 1  # the query's own id may be among the first
     n = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     candidates = materialise(
@@ -76,56 +90,50 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         return asked_in(left).groupBy("dim", "qb", "cb").cogroup(right.groupBy("dim", "qb", "cb")).applyInArrow(fn, schema)
 
     def bounds(a: pa.Table, b: pa.Table) -> pa.Table:
-        keys, best, least = [], [], []
+        keys, best = [], []
         if a.num_rows and b.num_rows:
-            q, c, ids = _matrix(a["v"], a.num_rows), _matrix(b["v"], b.num_rows), a["q"].to_numpy()
+            ids = a["q"].to_numpy()
+            q, c = _exact(_matrix(a["v"], a.num_rows), _matrix(b["v"], b.num_rows))
             for at in range(0, len(q), AT_ONCE):
                 lists = _lists(q[at : at + AT_ONCE], c)
-                floor = [p.min(1) for p in lists]
-                seen = np.zeros_like(lists[0])  # what the highest entries show of each total, above the minima
-                for p, f in zip(lists, floor, strict=True):
+                seen = np.full(lists[0].shape, -np.inf)  # the totals of the lists' highest entries
+                rows = np.arange(len(seen))[:, None]
+                for p in lists:
                     high = _highest(p, k1)
-                    rows = np.arange(len(p))[:, None]
-                    seen[rows, high] += p[rows, high] - f[:, None]
-                top = np.take_along_axis(seen, _highest(seen, k1), 1) + np.sum(floor, 0)[:, None]
+                    seen[rows, high] = resolved(lists, rows, high)
+                top = np.take_along_axis(seen, _highest(seen, k1), 1)
                 keys.append(ids[at : at + AT_ONCE])
                 best += top.tolist()
-                least += np.stack(floor, 1).tolist()
-        return pa.table({"q": pa.array(np.concatenate([np.empty(0, np.int64), *keys])), "best": pa.array(best, pa.list_(pa.float64())), "least": pa.array(least, pa.list_(pa.float64()))})
+        return pa.table({"q": pa.array(np.concatenate([np.empty(0, np.int64), *keys])), "best": pa.array(best, pa.list_(pa.float64()))})
 
-    found = materialise(meet(asked, bounds, "q long, best array<double>, least array<double>"), "bounds")
+    found = materialise(meet(asked, bounds, "q long, best array<double>"), "bounds")
     one = found.select("q", F.explode("best").alias("b")).withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("b"))))
     cutoff = one.filter(F.col("n") <= k1).groupBy("q").agg(F.when(F.count("*") == k1, F.min("b")).alias("cutoff"))
-    minima = found.select("q", F.posexplode("least").alias("j", "f")).groupBy("q", "j").agg(F.min("f").alias("f")).groupBy("q").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "f"))), lambda s: s["f"]).alias("least"))
 
     def resolve(a: pa.Table, b: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 3]
         if a.num_rows and b.num_rows:
-            q, c, least = _matrix(a["v"], a.num_rows), _matrix(b["v"], b.num_rows), _matrix(a["least"], a.num_rows)
+            q, c = _exact(_matrix(a["v"], a.num_rows), _matrix(b["v"], b.num_rows))
             ids, names = a["q"].to_numpy(), b["c"].to_numpy()
             order = np.argsort(names)  # ties of a cell then fall to the smaller id
             c, names = c[order], names[order]
-            cut = np.array([-np.inf if x is None else x for x in a["cutoff"].to_pylist()])
+            cut = np.array([-np.inf if x is None else x - abs(x) * 2.0**-50 for x in a["cutoff"].to_pylist()])
             for at in range(0, len(q), AT_ONCE):
                 part = slice(at, at + AT_ONCE)
                 lists = _lists(q[part], c)
-                base = least[part].sum(1)
-                share = (cut[part] - base) / len(lists)
-                above = [p - least[part][:, j : j + 1] for j, p in enumerate(lists)]
-                sufficient = [p >= share[:, None] for p in above]
-                upper = sum(np.where(s, p, share[:, None]) for s, p in zip(sufficient, above, strict=True))
-                left = np.logical_or.reduce(sufficient) & ((upper + base[:, None]) >= cut[part][:, None] - 0.5)
-                left |= np.isneginf(cut[part])[:, None]
-                exact = np.where(left, sum(lists), -np.inf)
-                for i in range(len(exact)):
-                    near = np.flatnonzero(exact[i] >= max(cut[part][i], -1e300))
-                    if len(near) > k1:
-                        near = near[np.argsort(-exact[i][near], kind="stable")[:k1]]
-                    out.append((np.full(len(near), ids[at + i]), names[near], exact[i][near].astype(np.int64)))
+                left = np.logical_or.reduce([p >= cut[part][:, None] / len(lists) for p in lists])
+                rows, at_c = np.nonzero(left)
+                exact = resolved(lists, rows, at_c)
+                ends = np.searchsorted(rows, np.arange(len(left) + 1))
+                for i in range(len(left)):
+                    score, near = exact[ends[i] : ends[i + 1]], at_c[ends[i] : ends[i + 1]]
+                    best = np.flatnonzero(score >= cut[part][i])
+                    if len(best) > k1:
+                        best = best[np.argsort(-score[best], kind="stable")[:k1]]
+                    out.append((np.full(len(best), ids[at + i]), names[near[best]], score[best].astype(np.int64)))
         return pa.table({name: pa.array(np.concatenate([o[j] for o in out])) for j, name in enumerate(("q", "c", "score"))})
 
-    left = asked.join(cutoff, "q").join(minima, "q")
-    sent = meet(left, resolve, "q long, c long, score long")
+    sent = meet(asked.join(cutoff, "q"), resolve, "q long, c long, score long")
     first = sent.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).filter(F.col("n") <= k1)
     rows = first.join(candidates.select("c", "ids"), "c").select("q", "score", F.explode("ids").alias("id"))
     ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("n") <= k1)

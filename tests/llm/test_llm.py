@@ -304,6 +304,34 @@ def test_top_k_brute_force_in_many_cells(spark, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
+def test_top_k_resolves_few_entries(spark, monkeypatch):
+    """Beyond the cutoff's pass, exact totals are made of a small part of all pairs."""
+    counted = spark.sparkContext.accumulator(0)
+    real = topk.resolved
+
+    def counting(lists, rows, columns):
+        if rows.ndim == 1:
+            counted.add(len(rows))
+        return real(lists, rows, columns)
+
+    monkeypatch.setattr(topk, "resolved", counting)
+    x = np.random.default_rng(9).normal(0, 0.3, (2000, 16))
+    df = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    v = topk.integer_vectors(df)
+    out = topk.top_k(v, v.filter("vec_id % 20 = 0"), 10).collect()
+    assert len(out) == 1000 and 1000 <= counted.value < 0.2 * 100 * 2000
+
+
+def test_top_k_beyond_doubles(spark):
+    data = [(0, [2**31 + 1, 2**28 + 1]), (20, [1, 2**30 + 3]), (1, [2**30 + 1, 7]), (2, [2**30 + 1, 8]), (3, [2**30, 2**32])]
+    v = spark.createDataFrame(data, "vec_id long, v array<long>")
+    want = []
+    for q, a in data[:2]:
+        order = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in data if c != q)[:3]
+        want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(order)]
+    assert rows_of(topk.top_k(v, v.filter("vec_id % 20 = 0"), 3)) == sorted(want, key=repr)
+
+
 # 4: mixing
 
 
@@ -737,6 +765,63 @@ def test_links_in_cells(spark, monkeypatch):
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def test_spanning_links_brute_force():
+    rng = random.Random(11)
+    for shared in (0, 2, 3, 5):
+        base = [rng.getrandbits(64) for _ in range(6)]
+        mask = (1 << 8 * (8 - shared)) - 1
+        high = rng.getrandbits(64) & ~mask & (2**64 - 1)
+        prints = set()
+        for b in base:
+            for _ in range(15):
+                x = (b & mask) | high
+                for bit in rng.sample(range(64 - 8 * shared), rng.randint(0, 6)):
+                    x ^= 1 << bit
+                prints.add(x)
+        fps = np.array(sorted(prints), np.uint64).view(np.int64)
+        a, b = simhash.spanning_links(fps)
+        pairs = set(zip(a.view(np.uint64).tolist(), b.view(np.uint64).tolist()))
+        assert all((x ^ y).bit_count() <= 4 for x, y in pairs)
+        of = {p: p for p in prints}
+
+        def root(p):
+            while of[p] != p:
+                p = of[p]
+            return p
+
+        for x, y in pairs:
+            assert root(x) != root(y)  # a forest
+            of[max(root(x), root(y))] = min(root(x), root(y))
+        assert {p: root(p) for p in prints} == brute_components({p: p for p in prints})
+
+
+def test_a_hot_list_is_dealt_in_a_bounded_number_of_rows(spark, monkeypatch):
+    """Thousands of fingerprints that share three bytes: cells hold few of them, and all links are found."""
+    monkeypatch.setattr(simhash, "CELL", 64)
+    rng = random.Random(12)
+    prints = set()
+    while len(prints) < 3000:
+        prints.add((0xABCDEF << 40) | rng.getrandbits(40) & 0x3F3F3F3F3F)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    sizes = spark.sparkContext.accumulator(0)
+    real = simhash.spanning_links
+
+    def counting(fps):
+        sizes.add(len(fps))
+        return real(fps)
+
+    monkeypatch.setattr(simhash, "spanning_links", counting)
+    groups = graph.connected_components(simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long")))
+    got = defaultdict(set)
+    for r in groups.collect():
+        got[r.component].add(r.node)
+    want = defaultdict(set)
+    for d, c in brute_components({p: p & (2**64 - 1) for p in signed}).items():
+        want[c].add(d)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+    assert sizes.value < 3000 * 3000 / 64 * 20 / 3
+
+
 def test_simhash_odd_rows(odd, empty):
     out = simhash.near_duplicates(odd)
     by = {r.doc_id: r for r in out.collect()}
