@@ -1,11 +1,12 @@
-"""Joins. Interval joins are equi-joins on the key with the range as a residual condition, so that they
-shuffle (or, for a dimension that Spark measures as small, broadcast) on the key; none is key-less."""
+"""Joins. Interval joins are equi-joins on the key with the range as a residual condition (``scd_join``), or,
+for versions that don't overlap, one ordered pass over a key's facts and versions (``asof_join``); none is
+key-less."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,12 +26,23 @@ def attach_sides(events: DataFrame, sides: DataFrame, event: str, name: str, hom
 
 
 def opponent_join(df: DataFrame, keys: Sequence[str], ident: str, cols: Sequence[str], prefix: str = "opp_") -> DataFrame:
-    """Self-join to the other rows of the same keys: a hash join with a residual inequality."""
-    other = df.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(ident).alias(f"{prefix}{ident}"), *(F.col(c).alias(f"{prefix}{c}") for c in cols))
-    cond = df[ident] != other[f"{prefix}{ident}"]
+    """Each row with every other row of the same keys (and another ident), or with nulls if there is none.
+
+    One grouping by the keys gathers an event's few sides, and each side looks at the others: df is
+    computed and shuffled once. Rows with a null key have no opponent."""
+    own = F.struct(*df.columns)
+    sides = df.groupBy(*keys).agg(F.collect_list(own).alias("_sides")).select("_sides", F.explode("_sides").alias("_own"))
+    others = F.filter("_sides", lambda o: known_in(o, keys) & (o[ident] != F.col(f"_own.{ident}")))
+    paired = sides.select("_own", F.explode_outer(others).alias("_opp"))
+    return paired.select("_own.*", F.col(f"_opp.{ident}").alias(f"{prefix}{ident}"), *(F.col(f"_opp.{c}").alias(f"{prefix}{c}") for c in cols))
+
+
+def known_in(row: Column, keys: Sequence[str]) -> Column:
+    """None of a struct's keys is null."""
+    out = F.lit(True)
     for k in keys:
-        cond = cond & (df[k] == other[f"_{k}"])
-    return df.join(other, cond, "left").drop(*(f"_{k}" for k in keys))
+        out = out & row[k].isNotNull()
+    return out
 
 
 def scd_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "") -> DataFrame:
@@ -44,6 +56,24 @@ def scd_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: st
     return fact.join(d, cond, "left").drop("_from", "_to", *(f"_k{i}" for i in range(len(keys))))
 
 
+def asof_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "") -> DataFrame:
+    """As ``scd_join`` for a dimension whose ranges of a key don't overlap (versions): facts and versions of a
+    key in one order of dates, in which each fact takes the last version before it. The work grows with
+    facts plus versions, whatever the history of a key; ranges that end before they start hold no date."""
+    keys = [key] if isinstance(key, str) else list(key)
+    theirs = keys if dim_key is None else [dim_key] if isinstance(dim_key, str) else list(dim_key)
+    names = [f"_k{i}" for i in range(len(keys))]
+    version = F.struct(F.col(end).alias("_to"), *(F.col(c).alias(f"{prefix}{c}") for c in cols))
+    d = dim.filter(F.col(start) <= F.col(end)).select(*(F.col(k).alias(n) for k, n in zip(theirs, names, strict=True)), F.col(start).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"))
+    f = fact.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_fact"))
+    before = Window.partitionBy(*names).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = f.unionByName(d, allowMissingColumns=True).withColumn("_seen", F.last("_version", ignorenulls=True).over(before)).filter(F.col("_kind") == 1)
+    holds = F.col("_seen._to") >= F.col("_at")
+    for n in names:
+        holds = holds & F.col(n).isNotNull()
+    return both.select("_fact.*", *(F.when(holds, F.col(f"_seen.{prefix}{c}")).alias(f"{prefix}{c}") for c in cols))
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Plain left join; Spark broadcasts the dimension if it measures it as small."""
     return fact.join(dim.select(key, *cols), key, "left")
@@ -60,10 +90,10 @@ def maybe_join(spark: SparkSession, df: DataFrame, name: str, key: str) -> DataF
 
 
 def delete_changed(target: DataFrame, updates: DataFrame, key: str, digest: str) -> DataFrame:
-    """target without the rows whose key is updated and whose hash is not among the updates."""
+    """target without the rows whose key is updated and whose hash is not among the updates of that key."""
     new = updates.select(F.col(key).alias("_k"), F.col(digest).alias("_h"))
     t = target.join(new.select("_k").distinct(), F.col(key).eqNullSafe(F.col("_k")), "left_semi")
-    stale = t.join(new.select("_h").distinct(), F.col(digest).eqNullSafe(F.col("_h")), "left_anti").select(F.col(key).alias("_k"), F.col(digest).alias("_h")).distinct()
+    stale = t.join(new.distinct(), F.col(key).eqNullSafe(F.col("_k")) & F.col(digest).eqNullSafe(F.col("_h")), "left_anti").select(F.col(key).alias("_k"), F.col(digest).alias("_h")).distinct()
     return target.join(stale, target[key].eqNullSafe(stale["_k"]) & target[digest].eqNullSafe(stale["_h"]), "left_anti")
 
 

@@ -93,9 +93,10 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Se
 
 
 def replace_changed(target: DataFrame, updates: DataFrame, key: str, digest: str) -> DataFrame:
-    """Delete the rows that changed, then insert the updates that are not there yet."""
+    """Delete the rows that changed, then insert the updates that are not there yet, by key and hash."""
     left = delete_changed(target, updates, key, digest)
-    return left.unionByName(updates.distinct().join(left.select(F.col(digest).alias("_h")).distinct(), F.col(digest).eqNullSafe(F.col("_h")), "left_anti"))
+    there = left.select(F.col(key).alias("_k"), F.col(digest).alias("_h")).distinct()
+    return left.unionByName(updates.distinct().join(there, F.col(key).eqNullSafe(F.col("_k")) & F.col(digest).eqNullSafe(F.col("_h")), "left_anti"))
 
 
 def snapshot_check(target: DataFrame, source: DataFrame, key: Sequence[str], check: Sequence[str], as_of: str | Column) -> DataFrame:

@@ -6,6 +6,8 @@ integers, so that sums are exact.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,8 +89,36 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each member, season and event: the latest in a total order."""
-    return dedupe_latest(raw(spark, sf_dir), ["member_id", "season", "event_id"], [F.col(c).desc() for c in ORDER])
+    """One row for each member, season and event: the latest in a total order.
+
+    An event has one season, so lines are deduplicated before the join with their orders; dealt by
+    event, they need no other shuffle for the window, the join, or a grouping or window by event that
+    follows. Derived columns are made of what is left."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    own = {n: e for n, e in (IDS | MEASURES).items() if "o_" not in e}
+    named = lines.select("l_orderkey", *(F.expr(e).alias(n) for n, e in own.items() if n != "event_id")).repartition("l_orderkey")
+    latest = dedupe_latest(named, ["l_orderkey", "member_id"], [F.col(c).desc() for c in ORDER])
+    both = latest.join(orders, latest["l_orderkey"] == orders["o_orderkey"])
+    rows = both.select(*(F.col(n) if n in own and n != "event_id" else F.expr(e).alias(n) for n, e in (IDS | MEASURES).items()))
+    return rows.select("*", *(F.expr(e).alias(n) for n, e in DERIVED.items()))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: what several branches of a plan read is computed once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the session's shared folder. Where the session has none, a temporary one in
+    local mode (tests); on a cluster, where other machines could not read that, an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def group_events(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gamelake.functions import scalars
 from gamelake.operators import aggregates, joins, project, scd, windows
 from gamelake.plans import star
-from gamelake.plans.base import BOX_SQL, GROUP_SQL, ORDER, STATS, WITH, box, group_events, query, raw, table  # noqa: F401
+from gamelake.plans.base import BOX_SQL, GROUP_SQL, ORDER, STATS, WITH, box, group_events, query, raw, table, written  # noqa: F401
 
 S = SparkSession
 
@@ -181,11 +181,32 @@ SELECT g.*, v.version_key, md5(CAST(g.season AS VARCHAR) || '_' || g.season_type
 FROM g LEFT JOIN versions v ON v.group_id = g.group_id AND g.event_date BETWEEN v.start_date AND v.valid_to LEFT JOIN p ON p.season = g.season AND p.season_type = g.season_type AND g.event_date BETWEEN p.s AND p.e"""
 )
 def fact_group(spark: S, sf: str) -> DataFrame:
-    b = box(spark, sf)
+    b = written(box(spark, sf).select("group_id", "season", "season_type", "event_id", "event_date", "status", "outcome", *STATS), "box")
     events = b.select("event_id").distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
     return star.fact_group(group_events(b), _group_versions(b), star.dim_period(b), events)
 
 
+_NATIONS = """nation_events AS (SELECT sn.n_name AS nation, CAST(o_orderdate AS DATE) AS event_date, l_orderkey AS event_id, min(l_linestatus) AS status
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey GROUP BY ALL)"""
+
+
+@query(
+    f"""WITH {_MATCH}, {_NATIONS}, {_scd_sql('nation', 'status', 'nation_events')}
+SELECT p.event_id, p.event_date, p.home, p.away, h.version_key AS home_version_key, a.version_key AS away_version_key FROM (SELECT DISTINCT event_id, event_date, home, away FROM parsed) p
+LEFT JOIN versions h ON h.nation = p.home AND p.event_date BETWEEN h.start_date AND h.valid_to LEFT JOIN versions a ON a.nation = p.away AND p.event_date BETWEEN a.start_date AND a.valid_to"""
+)
+def fact_sides(spark: S, sf: str) -> DataFrame:
+    """The versions of both sides of an event, found by the sides' names."""
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    supp = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("nation"))
+    j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+    statuses = j.groupBy("nation", F.to_date("o_orderdate").alias("event_date"), F.col("l_orderkey").alias("event_id")).agg(F.min("l_linestatus").alias("status"))
+    dim = star.dim_scd2(statuses, "nation", "event_date", ["status"], ["event_id"])
+    home, away = scalars.home_away(F.col("matchup"))
+    events = matchups(spark, sf).select("event_id", "event_date", home.alias("home"), away.alias("away")).distinct()
+    return star.side_versions(events, dim, "nation")
+
+
 _SHARE = ", ".join(f"{_ratio('b.' + s, 'g.' + s)} AS {s}_share" for s in STATS)
 
 

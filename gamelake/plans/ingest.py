@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.operators import project, quality, text
-from gamelake.plans.base import WITH, box, query, table
+from gamelake.plans.base import WITH, box, query, scratch, table
 from gamelake.sources import documents, planning, tables, topics
 from gamelake.streaming import streams
 
 S = SparkSession
 
 
-def scratch(spark: S, name: str) -> str:
-    """A new folder under the session's shared folder, or a temporary one where the session has none (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def records(spark: S, sf: str) -> DataFrame:
     """The events as topic records: three partitions, offsets in order of event id."""
     e = table(spark, sf, "events")
@@ -115,11 +106,8 @@ def validate_rejects(spark: S, sf: str) -> DataFrame:
 @query("SELECT o_orderstatus AS status, max(CAST(o_orderdate AS DATE)) AS high_water_mark FROM orders GROUP BY 1 UNION ALL SELECT 'none', DATE '1990-01-01'")
 def high_water_mark(spark: S, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
-    marks = [planning.high_water_mark(o.filter(F.col("o_orderstatus") == s), "o_orderdate", "1990-01-01").withColumn("status", F.lit(s)) for s in ("F", "O", "P", "none")]
-    out = marks[0]
-    for m in marks[1:]:
-        out = out.unionByName(m)
-    return out.select("status", "high_water_mark")
+    wanted = spark.createDataFrame([("F",), ("O",), ("P",), ("none",)], "o_orderstatus string")
+    return planning.high_water_marks(o, wanted, "o_orderstatus", "o_orderdate", "1990-01-01").withColumnRenamed("o_orderstatus", "status")
 
 
 _CHUNKS = """s AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS start_year FROM orders), b AS (SELECT start_year, make_date(start_year, 10, 1) AS season_start, make_date(start_year + 1, 6, 30) AS season_end FROM s),

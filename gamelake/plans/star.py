@@ -47,12 +47,21 @@ def fact_member(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 def fact_group(groups: DataFrame, dim_group: DataFrame, dim_season: DataFrame, dim_events: DataFrame) -> DataFrame:
     """Group rows with foreign keys: the group's version at the date, the season, the event."""
-    f = joins.scd_join(groups, dim_group, "group_id", "event_date", "start_date", "valid_to", ["version_key"])
+    f = joins.asof_join(groups, dim_group, "group_id", "event_date", "start_date", "valid_to", ["version_key"])
     s = dim_season.withColumnRenamed("season_type", "_type")
     f = joins.scd_join(f.withColumn("_type", F.col("season_type")), s, ["season", "_type"], "event_date", "start_date", "end_date", ["season_key"]).drop("_type")
     return joins.dimension_join(f, dim_events, "event_id", ["event_key"]).withColumn("fact_key", readable_key(["group_id", "season", "event_id"]))
 
 
+def side_versions(events: DataFrame, dim: DataFrame, alternate: str, sides: Sequence[str] = ("home", "away")) -> DataFrame:
+    """Events with the version that each side had at the date, found by an alternate key of the dimension
+    (a name or abbreviation): one role-playing interval join for each side."""
+    out = events
+    for side in sides:
+        out = joins.asof_join(out, dim, side, "event_date", "start_date", "valid_to", ["version_key"], alternate, f"{side}_")
+    return out
+
+
 def member_advanced(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Shooting, usage and shares of the group's totals for every member row; one projection."""
     keys = ["group_id", "season", "event_id", "season_type"]

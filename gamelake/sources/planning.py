@@ -11,6 +11,12 @@ def high_water_mark(df: DataFrame, date: str, default: str) -> DataFrame:
     return df.agg(F.coalesce(F.max(F.to_date(date)), F.to_date(F.lit(default))).alias("high_water_mark"))
 
 
+def high_water_marks(df: DataFrame, wanted: DataFrame, key: str, date: str, default: str) -> DataFrame:
+    """key, high_water_mark for each wanted key (one row each): one grouping of df, whatever their number."""
+    last = df.groupBy(key).agg(F.max(F.to_date(date)).alias("high_water_mark"))
+    return wanted.select(key).join(last, key, "left").select(key, F.coalesce("high_water_mark", F.to_date(F.lit(default))).alias("high_water_mark"))
+
+
 def advance_mark(old: DataFrame, rows: DataFrame, date: str) -> DataFrame:
     """The mark after a batch: it moves forward, and only if rows came."""
     return old.select(F.greatest("high_water_mark", rows.agg(F.max(F.to_date(date))).scalar()).alias("high_water_mark"))

@@ -101,6 +101,29 @@ def test_scd_join_keeps_fact_rows(spark):
     assert got(out.select("k", "v").filter("k = 1")) == [(1, "a"), (1, "b")]
 
 
+def test_asof_join_equals_interval_join(spark):
+    rows = [(k % 5 if k % 7 else None, D(2024, 1, 1) + dt.timedelta(days=(k * 37) % 300) if k % 11 else None, k) for k in range(200)]
+    fact = spark.createDataFrame(rows, "k int, d date, n int")
+    cuts = [(k, D(2024, 1, 10) + dt.timedelta(days=20 * i + k), i) for k in (0, 1, 2, 4, None) for i in range(8)]
+    dim = [(k, a, a + dt.timedelta(days=19 if i != 3 else -1), f"{k}-{i}") for k, a, i in cuts]  # version 3 holds no date
+    dims = spark.createDataFrame(dim, "name int, f date, t date, v string")
+    want = got(joins.scd_join(fact, dims, "k", "d", "f", "t", ["v"], "name", "x_"))
+    assert got(joins.asof_join(fact, dims, "k", "d", "f", "t", ["v"], "name", "x_")) == want and len(want) == 200
+    assert got(joins.asof_join(fact, dims.filter("false"), "k", "d", "f", "t", ["v"], "name")) == got(fact.withColumn("v", F.lit(None)))
+
+
+def test_replace_changed_compares_hashes_of_one_key(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, h string")
+    new = spark.createDataFrame([(2, "a"), (3, "b")], "k int, h string")
+    assert got(scd.replace_changed(old, new, "k", "h")) == [(1, "a"), (2, "a"), (3, "b")]
+
+
+def test_opponents_of_null_keys_and_several_sides(spark):
+    df = spark.createDataFrame([("g", 1, 10), ("g", 2, 20), ("g", 3, 30), (None, 4, 1), (None, 5, 2), ("h", None, 7), ("h", 6, 8)], "e string, id int, pts int")
+    pairs = got(joins.opponent_join(df, ["e"], "id", ["pts"]).select("id", "opp_id"))
+    assert pairs == sorted([(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2), (4, None), (5, None), (None, None), (6, None)], key=repr)
+
+
 def test_opponent_and_missing_opponent(spark):
     df = spark.createDataFrame([("g1", 1, 10), ("g1", 2, 20), ("g2", 3, 5)], "e string, id int, pts int")
     out = joins.opponent_join(df, ["e"], "id", ["pts"])
