@@ -24,21 +24,29 @@ def haar(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (x[::2] + x[1::2]) / np.sqrt(2.0), (x[::2] - x[1::2]) / np.sqrt(2.0)
 
 
-def wave_fft(values: np.ndarray) -> list[float]:
-    """Mean Haar details of two levels and the two largest Fourier magnitudes after the mean; zeros for under two values."""
-    x = np.asarray(values, float)
-    if len(x) < 2:
-        return [0.0] * 4
-    a, d1 = haar(x)
-    d2 = haar(a)[1] if len(a) > 1 else np.zeros(1)
-    top = np.sort(np.abs(np.fft.rfft(x - x.mean())))[::-1][:2]
-    return [float(d1.mean()), float(d2.mean()), *np.pad(top, (0, 2 - len(top))).tolist()]
+def wave_fft(x: np.ndarray) -> np.ndarray:
+    """Of rows of equal length: the mean Haar details of two levels and the two largest Fourier magnitudes
+    after the mean; zeros for under two values."""
+    n = x.shape[1]
+    if n < 2:
+        return np.zeros((len(x), 4))
+    level = lambda v: v if v.shape[1] % 2 == 0 else np.concatenate([v, v[:, -1:]], 1)
+    x1 = level(x)
+    a, d1 = (x1[:, ::2] + x1[:, 1::2]) / np.sqrt(2.0), (x1[:, ::2] - x1[:, 1::2]) / np.sqrt(2.0)
+    a = level(a) if n > 2 else a
+    d2 = (a[:, ::2] - a[:, 1::2]) / np.sqrt(2.0) if a.shape[1] > 1 else np.zeros((len(x), 1))
+    top = np.sort(np.abs(np.fft.rfft(x - x.mean(1, keepdims=True), axis=1)), axis=1)[:, ::-1][:, :2]
+    return np.column_stack([d1.mean(1), d2.mean(1), top])
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _wave_fft(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in parts:
-        yield part.map(wave_fft)
+        out, size = np.zeros((len(part), 4)), part.map(len).to_numpy()
+        for n in np.unique(size[size > 0]):
+            at = np.flatnonzero(size == n)
+            out[at] = wave_fft(np.stack(part.to_numpy()[at]).astype(float))
+        yield pd.Series(list(out))
 
 
 def wave_features(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], col: str, n: int = 7) -> DataFrame:
@@ -76,9 +84,9 @@ def seasonal_terms(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
 
 
 def stratified_sample(df: DataFrame, strata: Sequence[str], key: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """At most k rows of each stratum, the same in every run: those with the smallest hashes. The rank
-    filter is applied in part before the shuffle."""
-    w = Window.partitionBy(*strata).orderBy(F.xxhash64(*key, F.lit(seed)), *key)
+    """At most k rows of each stratum, the same in every run: those with the smallest MD5 of key and seed.
+    The rank filter is applied in part before the shuffle."""
+    w = Window.partitionBy(*strata).orderBy(F.md5(F.concat_ws("-", *(F.col(c).cast("string") for c in key), F.lit(str(seed)))), *key)
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).drop("_n")
 
 

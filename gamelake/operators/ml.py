@@ -93,13 +93,19 @@ def lasso_select(df: DataFrame, label: str, cols: Sequence[str], threshold: floa
 
 
 def fit_classifier(df: DataFrame, label: str, cols: Sequence[str], fold: str | None = None, folds: int = 3, depths: Sequence[int] = (2, 4), rounds: int = 10) -> PipelineModel:
-    """Boosted trees; depth by time folds (a fold column) or by a shuffled validation split."""
+    """Boosted trees. The depth is chosen by time folds (a column of fold numbers, see
+    ``windows.time_folds``: each fold is judged by a model of the folds before it) or by a shuffled
+    validation split; the model is then fitted on all rows."""
     gbt = GBTClassifier(labelCol=label, seed=SEED, maxIter=rounds)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"), gbt])
     grid, ev = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build(), BinaryClassificationEvaluator(labelCol=label)
-    if fold:
-        return CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, foldCol=fold, numFolds=folds, seed=SEED).fit(df).bestModel
-    return TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=SEED).fit(df).bestModel
+    if not fold:
+        return TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=SEED).fit(df).bestModel
+    merit = [0.0] * len(grid)
+    for k in range(1, folds):
+        before, now = df.filter(F.col(fold) < k), df.filter(F.col(fold) == k)
+        merit = [m + ev.evaluate(pipe.fit(before, p).transform(now)) for m, p in zip(merit, grid, strict=True)]
+    return pipe.fit(df, grid[merit.index(max(merit))])
 
 
 def fit_regressors(df: DataFrame, targets: Sequence[str], cols: Sequence[str], rounds: int = 10, depth: int = 3) -> dict[str, PipelineModel]:
@@ -179,6 +185,7 @@ def compare_models(train: DataFrame, test: DataFrame, label: str, cols: Sequence
     x = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
     fit_on, held = x.transform(train).persist(), x.transform(test)
     parts = [regression_metrics(est.fit(fit_on).transform(held), label, "prediction").withColumn("model", F.lit(name)) for name, est in _candidates(label).items()]
+    fit_on.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -200,7 +207,9 @@ def stack_models(df: DataFrame, label: str, cols: Sequence[str], key: str, folds
     for p in parts[1:]:
         whole = whole.unionByName(p)
     meta_in = VectorAssembler(inputCols=[f"p_{n}" for n in _candidates(label)], outputCol="_meta").transform(whole)
-    return LinearRegression(featuresCol="_meta", labelCol=label, predictionCol="stacked").fit(meta_in).transform(meta_in).select(key, label, "stacked")
+    meta = LinearRegression(featuresCol="_meta", labelCol=label, predictionCol="stacked").fit(meta_in)
+    ready.unpersist()
+    return meta.transform(meta_in).select(key, label, "stacked")
 
 
 def embed_word2vec(df: DataFrame, words: str, dim: int = 32, least: int = 5, name: str = "vector") -> DataFrame:

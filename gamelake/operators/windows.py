@@ -108,6 +108,14 @@ def time_holdout(df: DataFrame, date: str, ratio: float = 0.1, accuracy: int = 1
     return df.withColumn("is_holdout", day > df.agg(F.percentile_approx(day, 1.0 - ratio, accuracy)).scalar())
 
 
+def time_folds(df: DataFrame, date: str, folds: int = 3, name: str = "fold", accuracy: int = 10_000) -> DataFrame:
+    """fold: 0 for the earliest rows to folds - 1 for the latest, of about equal size; a day is in one fold.
+    The cut-offs are approximate quantiles of one aggregate."""
+    day = F.unix_date(F.to_date(date))
+    cuts = df.agg(F.percentile_approx(day, [(k + 1) / folds for k in range(folds - 1)], accuracy)).scalar()
+    return df.withColumn(name, sum(((day > cuts[k]).cast("int") for k in range(folds - 1)), F.lit(0)))
+
+
 def adjust_pvalues(df: DataFrame, group: Sequence[str], p: str, tie: str) -> DataFrame:
     """Bonferroni and Benjamini-Hochberg corrections within each group."""
     m = F.count(p).over(Window.partitionBy(*group))

@@ -1,4 +1,5 @@
-"""Feature and model queries. Fitted values can't be expressed in SQL; tests check them."""
+"""Feature and model queries. Fitted values can't be expressed in SQL; tests hold them against numpy and
+against what defines them."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gamelake.operators import features, windows
 from gamelake.operators import ml as M
-from gamelake.plans.base import box, query, table
+from gamelake.plans.base import WITH, box, query, table
 
 S = SparkSession
 COLS = ["fga", "fgm", "fg3m", "reb", "ast", "tov"]
@@ -18,7 +19,7 @@ def _members(spark: S, sf: str) -> DataFrame:
     return box(spark, sf).groupBy("member_id").agg(*(F.avg(c).alias(c) for c in COLS), F.avg("pts").alias("pts"), F.max("event_date").alias("event_date"), (F.avg((F.col("outcome") == "R").cast("int")) > 0.25).cast("int").alias("win"))
 
 
-@query()
+@query(f"{WITH}, r AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY md5(concat_ws('-', CAST(member_id AS VARCHAR), CAST(event_id AS VARCHAR), '42')), member_id, event_id) AS n FROM box) SELECT member_id, season, event_id, pts FROM r WHERE n <= 100")
 def stratified_sample(spark: S, sf: str) -> DataFrame:
     return features.stratified_sample(box(spark, sf).select("member_id", "season", "event_id", "pts"), ["season"], ["member_id", "event_id"], 100)
 
@@ -49,26 +50,34 @@ def embed_text(spark: S, sf: str) -> DataFrame:
 @query()
 def kmeans_assign(spark: S, sf: str) -> DataFrame:
     m = _members(spark, sf)
-    return M.assign_clusters(m, M.fit_kmeans(m, COLS, [2, 3], [10], 2)).select("member_id", "cluster")
+    return M.assign_clusters(m, M.fit_kmeans(m, COLS, [2, 3], [10])).select("member_id", "cluster")
 
 
 @query()
 def gmm_assign(spark: S, sf: str) -> DataFrame:
     m = _members(spark, sf)
-    return M.assign_clusters(m, M.fit_gmm(m, COLS[:3], [2], 2)).select("member_id", "cluster")
+    return M.assign_clusters(m, M.fit_gmm(m, COLS[:3], [2, 3])).select("member_id", "cluster")
 
 
 @query()
 def lasso_select(spark: S, sf: str) -> DataFrame:
-    return M.lasso_select(_members(spark, sf), "pts", COLS, folds=2, strengths=(0.01, 0.1))
+    return M.lasso_select(_members(spark, sf), "pts", COLS)
 
 
 @query()
 def fit_classifier(spark: S, sf: str) -> DataFrame:
     """Boosted trees on time folds, scored with label texts."""
     m = windows.time_holdout(_members(spark, sf), "event_date", 0.1)
-    train = m.filter("not is_holdout").withColumn("fold", (F.unix_date("event_date") % 2).cast("int"))
-    model = M.fit_classifier(train, "win", COLS, "fold", 2, (2,), 5)
+    train = windows.time_folds(m.filter("not is_holdout"), "event_date", 3)
+    model = M.fit_classifier(train, "win", COLS, "fold", 3)
+    return M.score(m, model, "classification").select("member_id", "is_holdout", "score", "predicted_label", "prediction_type")
+
+
+@query()
+def fit_classifier_shuffled(spark: S, sf: str) -> DataFrame:
+    """As ``fit_classifier``, its depth chosen by a shuffled split."""
+    m = windows.time_holdout(_members(spark, sf), "event_date", 0.1)
+    model = M.fit_classifier(m.filter("not is_holdout"), "win", COLS)
     return M.score(m, model, "classification").select("member_id", "is_holdout", "score", "predicted_label", "prediction_type")
 
 
