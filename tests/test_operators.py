@@ -104,7 +104,7 @@ def test_scd_join_keeps_fact_rows(spark):
 def test_asof_join_equals_interval_join(spark):
     rows = [(k % 5 if k % 7 else None, D(2024, 1, 1) + dt.timedelta(days=(k * 37) % 300) if k % 11 else None, k) for k in range(200)]
     fact = spark.createDataFrame(rows, "k int, d date, n int")
-    cuts = [(k, D(2024, 1, 10) + dt.timedelta(days=20 * i + k), i) for k in (0, 1, 2, 4, None) for i in range(8)]
+    cuts = [(k, D(2024, 1, 10) + dt.timedelta(days=20 * i + (k or 0)), i) for k in (0, 1, 2, 4, None) for i in range(8)]
     dim = [(k, a, a + dt.timedelta(days=19 if i != 3 else -1), f"{k}-{i}") for k, a, i in cuts]  # version 3 holds no date
     dims = spark.createDataFrame(dim, "name int, f date, t date, v string")
     want = got(joins.scd_join(fact, dims, "k", "d", "f", "t", ["v"], "name", "x_"))
