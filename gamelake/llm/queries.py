@@ -143,23 +143,29 @@ WITH lines AS (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL)
 ), place AS (
   SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char,
-         (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4294967296 AS roll
+         (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4294967296 AS two
   FROM lines
+), seeded AS (
+  SELECT place.*, s, CAST(two AS UBIGINT) * CAST(s AS UBIGINT) % 4294967296 AS roll FROM place, (VALUES (1), (2654435761), (2246822519), (3266489917)) AS seeds(s)
 ), ends AS (
-  SELECT *, i = n - 1 OR coalesce(roll < lag(roll) OVER w AND roll <= lead(roll) OVER w, false) AS is_end FROM place WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  SELECT *, i = n - 1 OR coalesce(roll < lag(roll) OVER w AND roll <= lead(roll) OVER w, false) AS is_end FROM seeded WINDOW w AS (PARTITION BY s, doc_id ORDER BY i)
 ), numbered AS (
-  SELECT *, coalesce(sum(CAST(is_end AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends
+  SELECT *, coalesce(sum(CAST(is_end AS INT)) OVER (PARTITION BY s, doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends
 ), chunks AS (
-  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS k, min(start_char) AS start_char, min(start_char) + sum(length(line) + 1) - 1 AS end_char
-  FROM numbered GROUP BY ALL
+  SELECT doc_id, s, chunk, string_agg(line, chr(10) ORDER BY i) AS body, min(i) AS a, max(i) AS z FROM numbered GROUP BY ALL
+), units AS (
+  SELECT DISTINCT doc_id, a, z, body FROM chunks WHERE z > a AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) <> ''
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start_char) AS n FROM chunks WHERE k > 1 AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) <> ''
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, a) AS n FROM units
+), gone_line AS (
+  SELECT DISTINCT doc_id, CAST(unnest(range(a, z + 1)) AS INT) AS i FROM ranked WHERE n > 1
 ), kept AS (
-  SELECT d.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
-  FROM documents d LEFT JOIN (SELECT nb.* FROM numbered nb LEFT JOIN ranked r ON nb.doc_id = r.doc_id AND nb.chunk = r.chunk AND r.n > 1 WHERE r.doc_id IS NULL) l ON l.doc_id = d.doc_id
-  GROUP BY d.doc_id
+  SELECT p.doc_id, string_agg(line, chr(10) ORDER BY p.i) AS text FROM place p LEFT JOIN gone_line g ON g.doc_id = p.doc_id AND g.i = p.i WHERE g.doc_id IS NULL GROUP BY p.doc_id
+), island AS (
+  SELECT doc_id, min(start_char) AS start_char, max(start_char + length(line)) AS end_char
+  FROM (SELECT p.*, p.i - row_number() OVER (PARTITION BY p.doc_id ORDER BY p.i) AS g FROM place p JOIN gone_line USING (doc_id, i)) GROUP BY doc_id, g
 ), gone AS (
-  SELECT doc_id, count(*) AS n_removed, string_agg(CAST(CAST(start_char AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(end_char AS BIGINT) AS VARCHAR), ',' ORDER BY start_char) AS removed_spans FROM ranked WHERE n > 1 GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_removed, string_agg(start_char || '-' || end_char, ',' ORDER BY start_char) AS removed_spans FROM island GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(g.n_removed, 0) AS n_removed, coalesce(g.removed_spans, '') AS removed_spans
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN gone g ON g.doc_id = d.doc_id""",
