@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.operators import project, quality, text
-from gamelake.plans.base import WITH, box, query, scratch, table
+from gamelake.plans.base import WITH, box, query, scratch, table, written
 from gamelake.sources import documents, planning, tables, topics
 from gamelake.streaming import streams
 
@@ -48,12 +50,12 @@ def resume_from_offsets(spark: S, sf: str) -> DataFrame:
     return topics.resume(r, stored).select("partition", "offset")
 
 
-@query("WITH n AS (SELECT CAST(event_id % 3 AS INT) AS p, CAST(max(floor(event_id / 3)) + 1 AS BIGINT) AS o FROM events GROUP BY 1) SELECT 'events' AS topic, '{' || string_agg('\"' || p || '\":' || o, ',' ORDER BY p) || '}' AS offsets_json FROM n")
+@query("WITH n AS (SELECT CAST(event_id % 3 AS INT) AS p, CAST(max(floor(event_id / 3)) + 1 AS BIGINT) AS o FROM events GROUP BY 1) SELECT 'events' AS topic, '{' || string_agg('\"' || p || '\":' || o, ',' ORDER BY p) || '}' AS partition_offsets FROM n")
 def offsets_ledger(spark: S, sf: str) -> DataFrame:
     """Two ledger entries of the topic; the newest wins."""
     r = records(spark, sf)
-    old = topics.offsets_json(topics.next_offsets(r.filter("offset < 10"))).withColumn("id", F.lit(1))
-    new = topics.offsets_json(topics.next_offsets(r)).withColumn("id", F.lit(2))
+    old = topics.partition_offsets(topics.next_offsets(r.filter("offset < 10"))).withColumn("id", F.lit(1))
+    new = topics.partition_offsets(topics.next_offsets(r)).withColumn("id", F.lit(2))
     return topics.newest_offsets(old.unionByName(new))
 
 
@@ -120,11 +122,11 @@ def date_chunks(spark: S, sf: str) -> DataFrame:
     return planning.date_chunks(planning.season_bounds(seasons), "season_start", "season_end", 90)
 
 
-@query(f"WITH {_CHUNKS} SELECT chunk_start, chunk_end FROM chunks WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 7 = 0 AND CAST(o_orderdate AS DATE) BETWEEN chunk_start AND chunk_end)")
+@query(f"WITH {_CHUNKS} SELECT chunk_start, chunk_end FROM chunks WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 300000 AND CAST(o_orderdate AS DATE) BETWEEN chunk_start AND chunk_end)")
 def missing_chunks(spark: S, sf: str) -> DataFrame:
-    """Planned chunks without any loaded order."""
+    """Planned chunks without any large order that is in part fulfilled."""
     planned = date_chunks(spark, sf)
-    days = table(spark, sf, "orders").filter("o_orderstatus = 'P' and o_orderkey % 7 = 0").select(F.to_date("o_orderdate").alias("day")).distinct()
+    days = table(spark, sf, "orders").filter("o_orderstatus = 'P' and o_totalprice > 300000").select(F.to_date("o_orderdate").alias("day")).distinct()
     years = days.select("day", F.explode(F.array(F.year("day"), F.year("day") - 1)).alias("start_year"))
     loaded = years.join(planned, "start_year").filter(F.col("day").between(F.col("chunk_start"), F.col("chunk_end"))).select("chunk_start", "chunk_end").distinct()
     return planning.missing_chunks(planned.select("chunk_start", "chunk_end"), loaded)
@@ -266,3 +268,41 @@ def conformed_columns(spark: S, sf: str) -> DataFrame:
 
     kinds = [("member_id", T.LongType()), ("event_id", T.LongType()), ("season", T.IntegerType()), ("missing", T.IntegerType()), ("pts", T.IntegerType())]
     return project.ensure_cols(project.conform(box(spark, sf), T.StructType([T.StructField(n, t) for n, t in kinds])), ["extra"])
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_orderstatus FROM orders")
+def partitioned_sinks(spark: S, sf: str) -> DataFrame:
+    """Orders appended in two parts to a partitioned table, one partition overwritten, all read back."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = scratch(spark, "sinks")
+    tables.append(o.filter("o_orderkey % 2 = 0"), path, ["o_orderstatus"])
+    tables.append(o.filter("o_orderkey % 2 <> 0"), path, ["o_orderstatus"])
+    tables.overwrite(o.filter("o_orderstatus = 'O'").withColumn("o_custkey", F.col("o_custkey") + 1), path, ["o_orderstatus"])
+    return tables.read_table(spark, path).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query("SELECT source_table, o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkeys FROM (SELECT 'first' AS source_table, o_orderstatus, o_custkey FROM orders UNION ALL SELECT 'second', o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 2 = 0) GROUP BY ALL")
+def managed_tables(spark: S, sf: str) -> DataFrame:
+    """Two managed partitioned tables of a new database, read as one relation; the database is dropped again."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    base = f"lake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {base}")
+    try:
+        for _ in range(2):
+            tables.ensure_table(spark, f"{base}.first", o.schema, ["o_orderstatus"])
+        tables.append_partitioned(o, f"{base}.first", "o_orderstatus")
+        tables.append_partitioned(o.filter("o_orderkey % 2 = 0"), f"{base}.second", "o_orderstatus")
+        both = tables.load_database(spark, base)
+        return written(both.groupBy("source_table", "o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("custkeys")), "managed")
+    finally:
+        spark.sql(f"DROP DATABASE {base} CASCADE")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders")
+def csv_round_trip(spark: S, sf: str) -> DataFrame:
+    """Orders exported as CSV with a header, below the size guard, and read back."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
+    path = scratch(spark, "csv")
+    if not tables.export_csv(o, path, 1 << 40):
+        raise ValueError("larger than the guard")
+    return spark.read.schema(o.schema).option("header", True).csv(path)

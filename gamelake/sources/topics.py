@@ -46,17 +46,17 @@ def next_offsets(df: DataFrame) -> DataFrame:
     return df.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
 
 
-def offsets_json(offsets: DataFrame) -> DataFrame:
+def partition_offsets(offsets: DataFrame) -> DataFrame:
     """One row per topic: {"partition": next offset} as the Kafka source takes it."""
     entries = F.sort_array(F.collect_list(F.struct("partition", "next_offset")))
     inner = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["partition"].cast("string"), e["next_offset"])))
-    return offsets.groupBy("topic").agg(F.to_json(inner).alias("offsets_json"))
+    return offsets.groupBy("topic").agg(F.to_json(inner).alias("partition_offsets"))
 
 
 def save_offsets(offsets: DataFrame, ledger: str, batch_id: int) -> None:
     """Append to the ledger. Write the data first: a crash in between reads it again, and the
     deduplication downstream takes the repeats."""
-    offsets_json(offsets).withColumn("id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("append").parquet(ledger)
+    partition_offsets(offsets).withColumn("id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("append").parquet(ledger)
 
 
 def load_offsets(spark: SparkSession, ledger: str) -> DataFrame:
@@ -65,7 +65,7 @@ def load_offsets(spark: SparkSession, ledger: str) -> DataFrame:
 
 
 def newest_offsets(ledger: DataFrame) -> DataFrame:
-    return ledger.groupBy("topic").agg(F.max_by("offsets_json", "id").alias("offsets_json"))
+    return ledger.groupBy("topic").agg(F.max_by("partition_offsets", "id").alias("partition_offsets"))
 
 
 def starting_offsets(newest: Mapping[str, Mapping[str, int]], topic: str, partitions: Sequence[int]) -> str:

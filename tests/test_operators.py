@@ -308,7 +308,7 @@ def test_offsets(spark, tmp_path):
     nxt = topics.next_offsets(rec)
     topics.save_offsets(nxt.filter("partition = 0"), str(tmp_path / "ledger"), 1)
     topics.save_offsets(nxt, str(tmp_path / "ledger"), 2)
-    assert topics.load_offsets(spark, str(tmp_path / "ledger")).first().offsets_json == '{"0":7,"1":3}'
+    assert topics.load_offsets(spark, str(tmp_path / "ledger")).first().partition_offsets == '{"0":7,"1":3}'
     assert topics.starting_offsets({"t": {"0": 7}}, "t", [0, 1]) == '{"t": {"0": 7, "1": -2}}'
     more = spark.createDataFrame([("t", 0, 6), ("t", 0, 7), ("t", 2, 0)], "topic string, partition int, offset long")
     assert got(topics.resume(more, nxt).select("partition", "offset")) == [(0, 7), (2, 0)]
@@ -342,6 +342,42 @@ def test_tables(spark, tmp_path):
     spark.sql("DROP DATABASE lake CASCADE")
 
 
+class StubReader:
+    """Records what a Kafka reader is told; gives the records of a file twin."""
+
+    def __init__(self, df):
+        self.df, self.told = df, {}
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def option(self, name, value):
+        self.told[name] = value
+        return self
+
+    def load(self):
+        return self.df
+
+
+def test_kafka_readers_tell_their_options(spark):
+    raw = spark.createDataFrame([("t", 0, 5, dt.datetime(2024, 1, 1), bytearray(b"{}"), bytearray(b"k"))], "topic string, partition int, offset long, timestamp timestamp, value binary, key binary")
+
+    class Session:
+        read, readStream = StubReader(raw), StubReader(raw)
+
+    out = topics.read_topic_batch(Session, "host:9092", "t", '{"t":{"0":5}}')
+    assert out.columns == ["topic", "partition", "offset", "timestamp", "value"] and out.first().value == "{}"
+    assert Session.read.told == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "t", "failOnDataLoss": "false", "startingOffsets": '{"t":{"0":5}}', "endingOffsets": "latest"}
+    assert topics.read_topic_stream(Session, "host:9092", "t", per_trigger=10).columns == out.columns
+    assert Session.readStream.told == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "t", "failOnDataLoss": "false", "startingOffsets": "latest", "maxOffsetsPerTrigger": 10}
+
+
+def test_numeric_columns(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, True)], "k int, s string, d double, b boolean")
+    assert project.numeric_cols(df, ["k"]) == ["d"] and project.numeric_cols(df) == ["k", "d"]
+
+
 def test_vectors(spark):
     a = spark.createDataFrame([(1, [1.0], 1), (2, [2.0], 1)], "id int, v array<double>, version int")
     assert got(tables.upsert_vectors(a, spark.createDataFrame([(2, [3.0], 2)], a.schema), "id", "version")) == [(1, [1.0], 1), (2, [3.0], 2)]
