@@ -30,7 +30,11 @@ def score_quality(docs: DataFrame, model: Model, accept: float = ACCEPT) -> Data
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, spec: Spec = SPEC, accept: float = ACCEPT) -> DataFrame:
-    """The rows of docs that the classifier accepts, with their columns."""
+    """The rows of docs that the classifier accepts, with their columns, whatever their names.
+
+    Null and empty texts are judged as texts without n-grams, rows without an id by their text; repeated
+    rows all stay or all go. Without labels of both classes every row has the same score. An empty table
+    gives an empty one."""
     (own,) = fresh(docs, "quality_score")
     model = fit_quality(docs, labels, spec)
     return docs.withColumn(own, score(F.col("text"), model, docs)).filter(F.col(own) >= accept).select(*docs.columns)

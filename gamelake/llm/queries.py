@@ -180,10 +180,10 @@ cdf AS (
 ),
 drawn AS (
   SELECT d.doc_id, d.source, j, (CAST('0x' || md5('42:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(j AS VARCHAR))[1:13] AS BIGINT) + 0.5) / 4503599627370496.0 AS u
-  FROM documents d JOIN parts p ON p.source = d.source, unnest(range(1, p.parts + 1)) AS t(j)
+  FROM documents d JOIN parts p ON p.source IS NOT DISTINCT FROM d.source, unnest(range(1, p.parts + 1)) AS t(j)
 ),
 counts AS (
-  SELECT doc_id, sum(k) AS times FROM (SELECT w.doc_id, w.j, min(c.k) AS k FROM drawn w JOIN cdf c ON c.source = w.source AND c.total >= w.u GROUP BY w.doc_id, w.j) GROUP BY doc_id
+  SELECT doc_id, sum(k) AS times FROM (SELECT w.doc_id, w.j, min(c.k) AS k FROM drawn w JOIN cdf c ON c.source IS NOT DISTINCT FROM w.source AND c.total >= w.u GROUP BY w.doc_id, w.j) GROUP BY doc_id
 )
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, CAST(c AS INT) AS copy, md5('42:order:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(c AS VARCHAR)) AS mix_key
 FROM documents d JOIN counts USING (doc_id), unnest(range(1, CAST(times AS BIGINT) + 1)) AS t(c)""",

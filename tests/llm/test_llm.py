@@ -375,6 +375,14 @@ def test_mixing_large_rates_and_python_free_plan(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_mixing_sql_with_null_sources(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"t{k}", "en", None if k % 3 else "s", k) for k in range(60)], SCHEMA)
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = connect(str(tmp_path))
+    con.execute(f"create view documents as select * from '{tmp_path}/documents/*.parquet'")
+    assert_same(mixing.mix(docs), con, queries.ORACLE_SQL["op4_mixing"])
+
+
 # 5 and 10: classifiers
 
 
