@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch. Texts are whole, so a batch of the default 10,000 rows could be large.
-BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
