@@ -162,10 +162,12 @@ def kpi(df: DataFrame, measure: str, digits: int = 4) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.round(F.avg(measure), digits).alias("average"), F.max(measure).alias("highest"))
 
 
-def collect_series(df: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
-    """Each entity's values in order, as an array."""
-    series = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
-    return df.groupBy(key).agg(F.transform(series, lambda s: s["_value"]).alias("series"))
+def collect_series(df: DataFrame, key: str, order: Sequence[str], value: str, length: int = 10_000) -> DataFrame:
+    """Each entity's values in order, as arrays of at most ``length`` values: key, piece (from 0), series."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
+    cut = df.select(key, place.alias("_place"), F.col(value).alias("_value")).withColumn("piece", F.floor(F.col("_place") / length).cast("int"))
+    series = F.sort_array(F.collect_list(F.struct("_place", "_value")))
+    return cut.groupBy(key, "piece").agg(F.transform(series, lambda s: s["_value"]).alias("series"))
 
 
 def profile_groups(df: DataFrame, by: str, cols: Sequence[str], digits: int = 4) -> DataFrame:

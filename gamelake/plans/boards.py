@@ -155,7 +155,7 @@ def profile(spark: S, sf: str) -> DataFrame:
     return A.profile(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
 
 
-@query(f"{WITH} SELECT member_id, string_agg(CAST(pts AS VARCHAR), ',' ORDER BY event_date, event_id) AS series FROM box GROUP BY member_id")
+@query(f"{WITH}, n AS (SELECT member_id, pts, row_number() OVER (PARTITION BY member_id ORDER BY event_date, event_id) - 1 AS place FROM box) SELECT member_id, CAST(place // 10000 AS INT) AS piece, string_agg(CAST(pts AS VARCHAR), ',' ORDER BY place) AS series FROM n GROUP BY ALL")
 def series_arrays(spark: S, sf: str) -> DataFrame:
     out = A.collect_series(box(spark, sf), "member_id", ["event_date", "event_id"], "pts")
     return out.withColumn("series", F.concat_ws(",", F.col("series").cast("array<string>")))

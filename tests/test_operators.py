@@ -378,6 +378,12 @@ def test_numeric_columns(spark):
     assert project.numeric_cols(df, ["k"]) == ["d"] and project.numeric_cols(df) == ["k", "d"]
 
 
+def test_series_in_pieces(spark):
+    df = spark.createDataFrame([(k, i, 10 * k + i if i != 3 else None) for k in (1, 2) for i in range(5 * k)], "k int, o int, v int")
+    out = {(r.k, r.piece): r.series for r in aggregates.collect_series(df, "k", ["o"], "v", 4).collect()}
+    assert out == {(1, 0): [10, 11, 12, None], (1, 1): [14], (2, 0): [20, 21, 22, None], (2, 1): [24, 25, 26, 27], (2, 2): [28, 29]}
+
+
 def test_vectors(spark):
     a = spark.createDataFrame([(1, [1.0], 1), (2, [2.0], 1)], "id int, v array<double>, version int")
     assert got(tables.upsert_vectors(a, spark.createDataFrame([(2, [3.0], 2)], a.schema), "id", "version")) == [(1, [1.0], 1), (2, [3.0], 2)]
