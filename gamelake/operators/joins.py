@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -26,23 +26,14 @@ def attach_sides(events: DataFrame, sides: DataFrame, event: str, name: str, hom
 
 
 def opponent_join(df: DataFrame, keys: Sequence[str], ident: str, cols: Sequence[str], prefix: str = "opp_") -> DataFrame:
-    """Each row with every other row of the same keys (and another ident), or with nulls if there is none.
-
-    One grouping by the keys gathers an event's few sides, and each side looks at the others: df is
-    computed and shuffled once. Rows with a null key have no opponent."""
-    own = F.struct(*df.columns)
-    sides = df.groupBy(*keys).agg(F.collect_list(own).alias("_sides")).select("_sides", F.explode("_sides").alias("_own"))
-    others = F.filter("_sides", lambda o: known_in(o, keys) & (o[ident] != F.col(f"_own.{ident}")))
-    paired = sides.select("_own", F.explode_outer(others).alias("_opp"))
-    return paired.select("_own.*", F.col(f"_opp.{ident}").alias(f"{prefix}{ident}"), *(F.col(f"_opp.{c}").alias(f"{prefix}{c}") for c in cols))
-
-
-def known_in(row: Column, keys: Sequence[str]) -> Column:
-    """None of a struct's keys is null."""
-    out = F.lit(True)
+    """Each row with every other row of the same keys (and another ident), or with nulls if there is none:
+    a self-join on the keys with a residual inequality. df is read twice, so pass a written table where
+    it is costly. Rows with a null key have no opponent."""
+    other = df.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(ident).alias(f"{prefix}{ident}"), *(F.col(c).alias(f"{prefix}{c}") for c in cols))
+    cond = df[ident] != other[f"{prefix}{ident}"]
     for k in keys:
-        out = out & row[k].isNotNull()
-    return out
+        cond = cond & (df[k] == other[f"_{k}"])
+    return df.join(other, cond, "left").drop(*(f"_{k}" for k in keys))
 
 
 def scd_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "") -> DataFrame:

@@ -233,7 +233,7 @@ _GAME = ", ".join(f"{_ratio('g.' + s, f'(g.{s} + coalesce(o.{s}, 0))')} AS {s}_g
 FROM g LEFT JOIN g o ON g.season = o.season AND g.event_id = o.event_id AND g.season_type = o.season_type AND g.group_id <> o.group_id"""
 )
 def group_advanced(spark: S, sf: str) -> DataFrame:
-    return star.group_advanced(group_events(box(spark, sf)))
+    return star.group_advanced(written(group_events(box(spark, sf)), "groups"))
 
 
 # Merges: two batches are made of the orders, split at a date; a later batch has other statuses.
