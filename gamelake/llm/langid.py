@@ -189,18 +189,20 @@ def posterior(entropy: np.ndarray, chars: np.ndarray, sharpness: float) -> np.nd
 def fit(docs: DataFrame, spec: Spec = Spec()) -> Models:
     """Models from documents with a language outside the held-out quarter. The sample is, for each
     language, the max_docs documents with the smallest hashes of their ids, as far as max_chars allows; a
-    fifth of it calibrates. Of an id's rows in a language the text with the smallest hash counts, once."""
+    fifth of it calibrates. Of an id's rows in a language the text with the smallest hash counts, once, so
+    repeated rows change nothing. Rows without an id, a text or a language take no part; a table without any
+    other gives models of no language. Other columns are not read."""
     spark = docs.sparkSession
     bounded_batches(spark)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
-    ids = known.select("doc_id", "lang", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("order"))
+    ids = known.select("doc_id", "lang").distinct().withColumn("order", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
     # only hashes that can be among the smallest go to the ranking, however common a language is
     many = materialise(ids.groupBy("lang").agg(F.count("*").alias("many")), "languages")
     if many.count() <= BROADCAST_LANGUAGES:  # else joined by shuffle
         many = F.broadcast(many)
     low = ids.join(many, "lang").filter(F.col("order") / float(2**63) < 2.0 * spec.max_docs / F.col("many"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    sample = low.withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "lang", "order", "n").distinct()
+    sample = low.withColumn("n", rank).filter(F.col("n") <= spec.max_docs).select("doc_id", "lang", "order", "n")
     # sizes are summed up before any text moves: a language's task gets max_chars at most
     own = known.select("doc_id", "lang", "text").withColumns({"hash": F.xxhash64("text"), "size": F.length("text")})
     sized = own.join(F.broadcast(sample), ["doc_id", "lang"]).groupBy("lang", "n", "order", "doc_id").agg(F.min(F.struct("hash", "size")).alias("t")).select("lang", "n", "order", "doc_id", "t.*")

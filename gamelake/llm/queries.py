@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import bpe, langid, mixing, quality, simhash, telephony, topk, toxicity, units
+from gamelake.llm import bpe, langid, mixing, pii, quality, ranking, simhash, telephony, topk, toxicity, units, whitening
 from gamelake.llm.common import materialise, table
 
 
@@ -71,7 +71,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, repeated_lines, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # beyond 63 bits only the exact column has the value
+    return rows.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_email to n_phone and base_sha256 tell the spans of the rules; spans has those of the model, too."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs.select("doc_id", "text"), pii.fit(docs)).drop("text")
+    shown = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("pii", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    many = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    digest = F.sha2(F.array_join(F.transform(base, shown), ","), 256)
+    return found.select("doc_id", *many, digest.alias("base_sha256"), F.array_join(F.transform("pii", shown), ",").alias("spans"))
+
+
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, repeated_lines, op2_topk, op3_line_dedup, op4_mixing, op5_toxicity, op6_telephony, op7_langid, op8_bpe, op9_simhash, op10_quality, op11_whitening, op12_pii, op13_ranking)}
 
 #: White space as in units.SPACE, and what is none.
 _SPACES = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -187,4 +209,17 @@ counts AS (
 )
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, CAST(c AS INT) AS copy, md5('42:order:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(c AS VARCHAR)) AS mix_key
 FROM documents d JOIN counts USING (doc_id), unnest(range(1, CAST(times AS BIGINT) + 1)) AS t(c)""",
+    "op13_ranking": r"""
+WITH dt AS (
+  SELECT doc_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT *, row_number() OVER () AS r FROM documents)
+), tf AS (SELECT doc_id, r, t, count(*) AS tf FROM dt GROUP BY ALL
+), size AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r
+), tot AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM size
+), w AS (SELECT t, CAST(floor(1000 * ln((2.0 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, tot GROUP BY t, big_n
+), it AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark
+), part AS (SELECT tf.doc_id, tf.r, tf.t, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))) AS c FROM tf JOIN size USING (r) JOIN w USING (t), tot
+), scored AS (SELECT item_id, doc_id, r, CAST(sum(c) AS BIGINT) AS score FROM it JOIN part USING (t) GROUP BY item_id, doc_id, r
+), ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
