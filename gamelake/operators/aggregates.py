@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamelake.functions.scalars import count_reaching, safe_ratio
+from gamelake.operators import scans
 from gamelake.operators.project import latest_season
 
 
@@ -142,10 +143,10 @@ def heatmap(df: DataFrame, x: str, y: str, xs: tuple[float, float, int], ys: tup
 
 
 def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
-    """Five-number summary, with interpolated quartiles."""
-    q = F.percentile(col, F.array(*(F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0))))
+    """Five-number summary, with interpolated quartiles, exact in bounded memory (``scans.quantiles``). Groups
+    without a value have nulls."""
     names = ("low", "q1", "median", "q3", "high")
-    return df.groupBy(*by).agg(q.alias("_q")).select(*by, *(F.col("_q")[i].alias(n) for i, n in enumerate(names)))
+    return scans.quantiles(df, by, col, (0.0, 0.25, 0.5, 0.75, 1.0)).select(*by, *(F.col("q")[i].alias(n) for i, n in enumerate(names)))
 
 
 def correlations(df: DataFrame, by: Sequence[str], pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:

@@ -6,9 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gamelake.operators import scans
+
 
 def join_member_group(members: DataFrame, groups: DataFrame, keys: Sequence[str], prefix: str = "g_") -> DataFrame:
     """Each member row with its group's row; the group's other columns get the prefix."""
@@ -47,22 +49,26 @@ def scd_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: st
     return fact.join(d, cond, "left").drop("_from", "_to", *(f"_k{i}" for i in range(len(keys))))
 
 
-def asof_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "") -> DataFrame:
+def asof_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "", parts: int | None = None) -> DataFrame:
     """As ``scd_join`` for a dimension whose ranges of a key don't overlap (versions): facts and versions of a
     key in one order of dates, in which each fact takes the last version before it. The work grows with
-    facts plus versions, whatever the history of a key; ranges that end before they start hold no date."""
+    facts plus versions, whatever the history of a key, and a key's rows are spread over segments of dates
+    (``scans``), so that a few keys can hold all facts. Ranges that end before they start hold no date. Facts
+    with a null key or date match nothing and pass by. fact is read once more for the cuts."""
     keys = [key] if isinstance(key, str) else list(key)
     theirs = keys if dim_key is None else [dim_key] if isinstance(dim_key, str) else list(dim_key)
     names = [f"_k{i}" for i in range(len(keys))]
+    there = F.col(date).isNotNull()
+    for k in keys:
+        there = there & F.col(k).isNotNull()
     version = F.struct(F.col(end).alias("_to"), *(F.col(c).alias(f"{prefix}{c}") for c in cols))
     d = dim.filter(F.col(start) <= F.col(end)).select(*(F.col(k).alias(n) for k, n in zip(theirs, names, strict=True)), F.col(start).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"))
-    f = fact.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_fact"))
-    before = Window.partitionBy(*names).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    both = f.unionByName(d, allowMissingColumns=True).withColumn("_seen", F.last("_version", ignorenulls=True).over(before)).filter(F.col("_kind") == 1)
+    f = fact.filter(there).select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_fact"))
+    both = f.unionByName(d, allowMissingColumns=True)
+    seen = scans.last_before(both, names, ["_at", "_kind"], "_at", "_version", "_seen", scans.cut_points(fact, date, parts)).filter(F.col("_kind") == 1)
     holds = F.col("_seen._to") >= F.col("_at")
-    for n in names:
-        holds = holds & F.col(n).isNotNull()
-    return both.select("_fact.*", *(F.when(holds, F.col(f"_seen.{prefix}{c}")).alias(f"{prefix}{c}") for c in cols))
+    found = seen.select("_fact.*", *(F.when(holds, F.col(f"_seen.{prefix}{c}")).alias(f"{prefix}{c}") for c in cols))
+    return found.unionByName(fact.filter(~there), allowMissingColumns=True)
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:

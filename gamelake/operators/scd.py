@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gamelake.functions.scalars import row_hash, row_hash256, surrogate_key
-from gamelake.operators import windows
+from gamelake.operators import scans, windows
 from gamelake.operators.joins import delete_changed
 
 SCD = ("record_start_date", "record_end_date", "is_current", "hash_val")
@@ -58,21 +58,20 @@ def scd2_merge(target: DataFrame, updates: DataFrame, keys: Sequence[str], compa
     return j.select(F.inline(rows)).unionByName(history)
 
 
-def scd2_from_events(df: DataFrame, keys: Sequence[str], date: str, attrs: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+def scd2_from_events(df: DataFrame, keys: Sequence[str], date: str, attrs: Sequence[str], order: Sequence[str | Column] = (), parts: int | None = None) -> DataFrame:
     """One row per block of constant attributes: start_date, end_date, next_start (of the next block),
-    is_current (the key's last block), row_hash and version_key."""
+    is_current (the key's last block), row_hash and version_key.
+
+    Blocks are numbered over segments of dates (``scans``), grouped, and each meets the next one by its
+    number, so no step holds a key's history in one task. df is read more than once."""
     total = [F.col(date), *order, *(F.col(a) for a in attrs)]
-    marked = windows.block_id(windows.change_flag(df, keys, total, attrs), keys, total)
-    blocks = windows.block_ranges(marked, keys, date, attrs)
-    nexts = windows._window(keys, ["block"])
-    return blocks.withColumns(
-        {
-            "next_start": F.lead("start_date").over(nexts),
-            "is_current": F.lead("block").over(nexts).isNull(),
-            "row_hash": row_hash([*keys, *attrs]),
-            "version_key": surrogate_key([*keys, "block"]),
-        }
-    )
+    blocks = windows.block_ranges(scans.block_ids(df, keys, total, date, attrs, parts=parts), keys, date, attrs)
+    after = blocks.select(*(F.col(k).alias(f"_{k}") for k in keys), (F.col("block") - 1).alias("_block"), F.col("start_date").alias("next_start"), F.lit(True).alias("_there"))
+    meets = F.col("block") == F.col("_block")
+    for k in keys:
+        meets = meets & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    out = blocks.join(after, meets, "left").withColumn("is_current", F.col("_there").isNull()).drop("_block", "_there", *(f"_{k}" for k in keys))
+    return out.withColumns({"row_hash": row_hash([*keys, *attrs]), "version_key": surrogate_key([*keys, "block"])})
 
 
 def merge_events(history: DataFrame, old_events: DataFrame, new_events: DataFrame, keys: Sequence[str], date: str, attrs: Sequence[str]) -> DataFrame:

@@ -6,14 +6,13 @@ integers, so that sums are exact.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.operators.windows import dedupe_latest
+from gamelake.sources.tables import scratch, written  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -103,24 +102,6 @@ def box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("*", *(F.expr(e).alias(n) for n, e in DERIVED.items()))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: what several branches of a plan read is computed once."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's shared folder. Where the session has none, a temporary one in
-    local mode (tests); on a cluster, where other machines could not read that, an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def group_events(df: DataFrame) -> DataFrame:
     """Member rows summed to (group, season, event)."""
     keys = ("group_id", "season", "season_type", "event_id", "event_date")

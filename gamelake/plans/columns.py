@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.operators import aggregates, joins, project, scd
+from gamelake.operators import aggregates, joins, project, scans, scd
 from gamelake.plans.base import STATS, WITH, box, query, scratch, table, written
 from gamelake.sources import documents, tables
 from gamelake.streaming import streams
@@ -57,9 +57,15 @@ def names_without_dots(spark: S, sf: str) -> DataFrame:
     return project.dots_to_underscores(o.select(F.col("o_orderkey").alias("order.key"), F.col("o_custkey").alias("order.customer.key"), F.col("o_orderstatus").alias("status")))
 
 
-@query("SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_ids FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS row_id FROM lineitem")
 def row_ids(spark: S, sf: str) -> DataFrame:
-    """Ids from the key's hash are as many as the keys."""
+    """Dense ids in the order of the key."""
+    return scans.dense_ids(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_ids FROM lineitem")
+def row_hashes(spark: S, sf: str) -> DataFrame:
+    """Ids from the key's hash, which need no order: as many as the keys here."""
     ids = project.row_id(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
     return ids.agg(F.count("*").alias("n_rows"), F.countDistinct("row_id").alias("n_ids"))
 

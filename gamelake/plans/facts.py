@@ -153,12 +153,13 @@ def _group_versions(b: DataFrame) -> DataFrame:
 
 @query(f"{WITH}, {_scd_sql('member_id', 'group_id')} SELECT * FROM versions")
 def dim_member_scd2(spark: S, sf: str) -> DataFrame:
-    return star.dim_scd2(box(spark, sf), "member_id", "event_date", ["group_id"], ["event_id"])
+    b = written(box(spark, sf).select("member_id", "event_date", "event_id", "group_id"), "box")
+    return star.dim_scd2(b, "member_id", "event_date", ["group_id"], ["event_id"])
 
 
 @query(f"{WITH}, {_STATUS}, {_scd_sql('group_id', 'status', 'status_events')} SELECT * FROM versions")
 def dim_group_scd2(spark: S, sf: str) -> DataFrame:
-    return _group_versions(box(spark, sf))
+    return _group_versions(written(box(spark, sf).select("group_id", "event_date", "event_id", "status"), "box"))
 
 
 _FACT = ("fga", "fgm", "pts", "reb", "ast")
@@ -201,10 +202,10 @@ def fact_sides(spark: S, sf: str) -> DataFrame:
     supp = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("nation"))
     j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
     statuses = j.groupBy("nation", F.to_date("o_orderdate").alias("event_date"), F.col("l_orderkey").alias("event_id")).agg(F.min("l_linestatus").alias("status"))
-    dim = star.dim_scd2(statuses, "nation", "event_date", ["status"], ["event_id"])
+    dim = star.dim_scd2(written(statuses, "statuses"), "nation", "event_date", ["status"], ["event_id"])
     home, away = scalars.home_away(F.col("matchup"))
     events = matchups(spark, sf).select("event_id", "event_date", home.alias("home"), away.alias("away")).distinct()
-    return star.side_versions(events, dim, "nation")
+    return star.side_versions(written(events, "sides"), written(dim, "nations"), "nation")
 
 
 _SHARE = ", ".join(f"{_ratio('b.' + s, 'g.' + s)} AS {s}_share" for s in STATS)

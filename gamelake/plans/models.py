@@ -39,6 +39,22 @@ def grouped_ar(spark: S, sf: str) -> DataFrame:
     return features.grouped_ar(box(spark, sf), "member_id", ["event_date", "event_id"], "pts")
 
 
+_LAGGED = "z AS (SELECT member_id, CAST(pts AS DOUBLE) AS y, lag(CAST(pts AS DOUBLE)) OVER (PARTITION BY member_id ORDER BY event_date, event_id) AS x, count(*) OVER (PARTITION BY member_id) AS points FROM box)"
+
+
+@query(
+    f"""{WITH}, {_LAGGED}, s AS (
+  SELECT member_id, count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, avg(x) AS mx FROM z WHERE x IS NOT NULL AND points >= 4 GROUP BY member_id
+), f AS (SELECT *, sqrt(greatest(0.0, syy - b * b * sxx) / (n - 2)) AS sd FROM s WHERE n > 2 AND sxx > 1e-9 AND syy - b * b * sxx > 1e-9 * syy)
+SELECT member_id, CAST(1 AS INT) AS ar_order, CAST(0 AS INT) AS term, round(a, 4) AS coefficient, round(a / (sd * sqrt(1.0 / n + mx * mx / sxx)), 3) AS t_value FROM f
+UNION ALL SELECT member_id, CAST(1 AS INT), CAST(1 AS INT), round(b, 4), round(b / (sd / sqrt(sxx)), 3) FROM f"""
+)
+def first_order_ar(spark: S, sf: str) -> DataFrame:
+    """The first-order model of every member with variance, which has a closed form."""
+    rows = features.grouped_ar(box(spark, sf), "member_id", ["event_date", "event_id"], "pts", 1, 1)
+    return rows.filter(F.abs("t_value") < 1e4).select("member_id", "ar_order", "term", F.round("coefficient", 4).alias("coefficient"), F.round("t_value", 3).alias("t_value"))
+
+
 @query()
 def embed_text(spark: S, sf: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
