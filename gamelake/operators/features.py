@@ -1,7 +1,8 @@
 """Time-series features, samples, per-entity models, text vectors.
 
 Grouped pandas functions see one entity's history; numpy only. They are used where a transform needs
-the whole ordered series; rolling, lag and moving-average features are windows (``windows``).
+the whole ordered series; rolling, lag and moving-average features are windows (``windows``), features of
+whole series are in ``spectra``.
 """
 
 from __future__ import annotations
@@ -54,27 +55,6 @@ def wave_features(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return trailing_array(df, keys, order, col, n).withColumn(f"{col}_wave", _wave_fft(F.col(f"{col}_last{n}").cast("array<double>"))).drop(f"{col}_last{n}")
 
 
-def spectral_features(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str], top: int = 3, history: int = 10_000) -> DataFrame:
-    """Per entity and column: the largest Fourier magnitudes and the largest second-level Haar details
-    of its series (they describe a whole piece, so they say nothing that a row could have known before its
-    end; for that take ``wave_features``). A series longer than ``history`` is cut into pieces of that length (rows ``piece``),
-    so that no group is unbounded."""
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
-    cut = df.select(key, *dict.fromkeys([*order, *cols])).withColumn("_n", place).withColumn("piece", F.floor(F.col("_n") / history).cast("int"))
-    kind = dict(df.dtypes)[key]
-
-    def piece(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, out = pdf.sort_values("_n"), []
-        for c in cols:
-            x = pdf[c].astype(float).fillna(0.0).to_numpy()
-            f = np.sort(np.abs(np.fft.rfft(x)))[::-1][:top]
-            d = np.sort(np.abs(haar(haar(x)[0])[1]))[::-1][:top]
-            out.append((pdf[key].iloc[0], int(pdf["piece"].iloc[0]), c, np.pad(f, (0, top - len(f))).tolist(), np.pad(d, (0, top - len(d))).tolist()))
-        return pd.DataFrame(out, columns=[key, "piece", "measure", "fourier", "haar2"])
-
-    return cut.groupBy(key, "piece").applyInPandas(piece, f"{key} {kind}, piece int, measure string, fourier array<double>, haar2 array<double>")
-
-
 def seasonal_terms(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], terms: int = 3, digits: int = 6) -> DataFrame:
     """Fourier cosine and sine terms of each row's place in its entity's series: windows only."""
     w = Window.partitionBy(*keys)

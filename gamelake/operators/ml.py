@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamelake.functions.scalars import decode_prediction
+from gamelake.operators import scans
 
 SEED = 42
 
@@ -143,16 +144,28 @@ def confusion(df: DataFrame, y: str, yhat: str) -> DataFrame:
     return df.groupBy(F.col(y).cast("int").alias("actual"), F.col(yhat).cast("int").alias("predicted")).agg(F.count("*").alias("n"))
 
 
-def classification_metrics(df: DataFrame, y: str, yhat: str, digits: int = 6) -> DataFrame:
-    """Accuracy, precision, recall and F1 of label 1."""
+def rank_auc(df: DataFrame, score: str, label: str, parts: int | None = None) -> DataFrame:
+    """One row, auc: the share of pairs of a row with label 1 and one with label 0 that the score puts in order,
+    ties as half. Scores are counted by value, and running counts give the negatives below each. Null scores
+    are left out; null (not a number) without both labels."""
+    hit = (F.col(label) == 1).cast("long")
+    each = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(F.sum(hit).alias("_p"), F.sum(1 - hit).alias("_m"))
+    below = scans.running_sums(each, [], ["_s"], "_s", {"_upto": F.col("_m")}, parts)
+    good = F.sum(F.col("_p") * (F.col("_upto") - F.col("_m") / 2.0))
+    return below.agg(F.when((F.sum("_p") > 0) & (F.sum("_m") > 0), good / F.sum("_p") / F.sum("_m")).alias("auc"))
+
+
+def classification_metrics(df: DataFrame, y: str, yhat: str, digits: int = 6, score: str | None = None) -> DataFrame:
+    """Accuracy, precision, recall and F1 of label 1; with a score column its AUC, too."""
     tp, fp = F.count_if((F.col(y) == 1) & (F.col(yhat) == 1)), F.count_if((F.col(y) == 0) & (F.col(yhat) == 1))
     fn, n = F.count_if((F.col(y) == 1) & (F.col(yhat) == 0)), F.count("*")
     div = lambda a, b: F.round(F.when(b > 0, a.cast("double") / b).otherwise(0.0), digits)
-    return df.agg(div(F.count_if(F.col(y) == F.col(yhat)), n).alias("accuracy"), div(tp, tp + fp).alias("precision"), div(tp, tp + fn).alias("recall"), div(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    out = df.agg(div(F.count_if(F.col(y) == F.col(yhat)), n).alias("accuracy"), div(tp, tp + fp).alias("precision"), div(tp, tp + fn).alias("recall"), div(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    return out if score is None else out.withColumn("auc", F.round(rank_auc(df, score, y).scalar(), digits))
 
 
 def auc(df: DataFrame, label: str, raw: str = "score") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw).evaluate(df)
+    return rank_auc(df, raw, label).first()["auc"]
 
 
 def interval_metrics(df: DataFrame, y: str, low: str, high: str, alpha: float = 0.1, digits: int = 6) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gamelake.sources.tables import written
@@ -57,17 +57,23 @@ def segmented(df: DataFrame, keys: Sequence[str], by: str, cuts: Sequence[float]
     return df.withColumns({"_key": key, "_seg": segment(number(df, by), cuts)})
 
 
-#: The windows of a segment and of a key's segments.
-LOCAL, ACROSS = Window.partitionBy("_key", "_seg"), Window.partitionBy("_key").orderBy("_seg")
+def _local() -> WindowSpec:
+    """A key's segment."""
+    return Window.partitionBy("_key", "_seg")
+
+
+def _across() -> WindowSpec:
+    """A key's segments, a row each."""
+    return Window.partitionBy("_key").orderBy("_seg")
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, sums: Mapping[str, Column], parts: int | None = None) -> DataFrame:
     """df with the running sum of each column of ``sums``, from a key's first row to this one. ``by`` leads the
     order; without keys the sums run over the whole table. Nulls count as 0."""
     cut = segmented(df, keys, by, cut_points(df, by, parts))
-    upto = LOCAL.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = _local().orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({n: F.sum(F.coalesce(c, F.lit(0))).over(upto) for n, c in sums.items()})
-    before = ACROSS.rowsBetween(Window.unboundedPreceding, -1)
+    before = _across().rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy("_key", "_seg").agg(*(F.sum(F.coalesce(c, F.lit(0))).alias(f"_{n}") for n, c in sums.items()))
     base = totals.select("_key", "_seg", *(F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums))
     return local.join(base, ["_key", "_seg"]).withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_key", "_seg", *(f"_{n}" for n in sums))
@@ -82,7 +88,7 @@ def block_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     """df with the number (from 1) of the row's block of equal attributes in its key's order; nulls compare as
     values. Segments compare their first attributes with the last ones before them."""
     cut = segmented(df, keys, by, cut_points(df, by, parts))
-    w = LOCAL.orderBy(*order)
+    w = _local().orderBy(*order)
     same = F.lit(True)
     for a in attrs:
         same = same & F.col(a).eqNullSafe(F.lag(a).over(w))
@@ -91,22 +97,22 @@ def block_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     marked = marked.withColumn(name, F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     own = F.struct(*(F.col(a).alias(f"a{i}") for i, a in enumerate(attrs)))
     ends = marked.groupBy("_key", "_seg").agg(F.sum("_change").alias("n"), F.first(F.when(F.col("_first"), own), ignorenulls=True).alias("head"), F.first(F.when(F.col("_last"), own), ignorenulls=True).alias("tail"))
-    goes_on = F.row_number().over(ACROSS) > 1
+    goes_on = F.row_number().over(_across()) > 1
     for i in range(len(attrs)):
-        goes_on = goes_on & F.col(f"head.a{i}").eqNullSafe(F.lag(f"tail.a{i}").over(ACROSS))
+        goes_on = goes_on & F.col(f"head.a{i}").eqNullSafe(F.lag(f"tail.a{i}").over(_across()))
     opened = ends.select("_key", "_seg", "n", F.when(goes_on, 0).otherwise(1).alias("opens"))
-    base = opened.select("_key", "_seg", (F.sum(F.col("n") + F.col("opens")).over(ACROSS.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("_base"))
+    base = opened.select("_key", "_seg", (F.sum(F.col("n") + F.col("opens")).over(_across().rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("_base"))
     return marked.join(base, ["_key", "_seg"]).withColumn(name, F.col(name) + F.col("_base")).drop("_key", "_seg", "_first", "_last", "_change", "_base")
 
 
 def last_before(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, value: str, name: str, cuts: Sequence[float]) -> DataFrame:
     """df with the last value that isn't null up to this row in its key's order."""
     cut = segmented(df, keys, by, cuts)
-    upto = LOCAL.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = _local().orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumn(name, F.last(value, ignorenulls=True).over(upto))
     ends = cut.filter(F.col(value).isNotNull()).groupBy("_key", "_seg").agg(F.max(F.struct(*order, value))[value].alias("_last"))
     carried = cut.select("_key", "_seg").distinct().join(ends, ["_key", "_seg"], "left")
-    carried = carried.select("_key", "_seg", F.last("_last", ignorenulls=True).over(ACROSS.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    carried = carried.select("_key", "_seg", F.last("_last", ignorenulls=True).over(_across().rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
     return local.join(carried.filter(F.col("_carried").isNotNull()), ["_key", "_seg"], "left").withColumn(name, F.coalesce(name, "_carried")).drop("_key", "_seg", "_carried")
 
 
@@ -140,14 +146,3 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], name: str = "row_id"
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.join(F.broadcast(offsets), F.shiftright("_at", 33) == F.col("_part")).withColumn(name, F.col("_offset") + place + 1).drop("_at", "_part", "_offset")
-
-
-def rank_auc(df: DataFrame, score: str, label: str, parts: int | None = None) -> DataFrame:
-    """One row, auc: the share of pairs of a row with label 1 and one with label 0 that the score puts in order,
-    ties as half. Scores are counted by value, and running counts give the negatives below each. Null scores
-    are left out; null (not a number) without both labels."""
-    hit = (F.col(label) == 1).cast("long")
-    each = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(F.sum(hit).alias("_p"), F.sum(1 - hit).alias("_m"))
-    below = running_sums(each, [], ["_s"], "_s", {"_upto": F.col("_m")}, parts)
-    good = F.sum(F.col("_p") * (F.col("_upto") - F.col("_m") / 2.0))
-    return below.agg(F.when((F.sum("_p") > 0) & (F.sum("_m") > 0), good / F.sum("_p") / F.sum("_m")).alias("auc"))

@@ -1,4 +1,4 @@
-"""Queries on columns and rows: filling, cleaning, flattening, ids, optional joins, lateness, wider batches."""
+"""Queries on columns and rows: filling, cleaning, flattening, ids, optional joins, wider batches."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.operators import aggregates, joins, project, scans, scd
-from gamelake.plans.base import STATS, WITH, box, query, scratch, table, written
-from gamelake.sources import documents, tables
+from gamelake.plans.base import STATS, WITH, box, query, table, written
+from gamelake.sources import documents
 from gamelake.streaming import streams
 
 S = SparkSession
@@ -98,23 +98,12 @@ def optional_joins(spark: S, sf: str) -> DataFrame:
         spark.sql(f"DROP DATABASE {base} CASCADE")
 
 
-@query("SELECT o_orderkey FROM orders WHERE (o_orderpriority, o_orderstatus) NOT IN (SELECT o_orderpriority, o_orderstatus FROM orders WHERE o_totalprice > 450000)")
+@query("SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_totalprice > 300000 AND b.o_custkey = o.o_custkey AND b.o_orderpriority = o.o_orderpriority)")
 def rows_without_match(spark: S, sf: str) -> DataFrame:
-    """Orders whose priority and status no very large order has."""
+    """Orders whose customer has no large order of their priority."""
     o = table(spark, sf, "orders")
-    return joins.missing_keys(o, o.filter("o_totalprice > 450000").select("o_orderpriority", "o_orderstatus").distinct(), ["o_orderpriority", "o_orderstatus"]).select("o_orderkey")
-
-
-@query("SELECT CAST(time_bucket(INTERVAL 10 MINUTE, ts) AS TIMESTAMP) AS window_start, count(*) AS n FROM events GROUP BY ALL")
-def stream_lateness(spark: S, sf: str) -> DataFrame:
-    """Ten-minute counts of a stream with a watermark wider than the data: none is late, and the batch's counts result."""
-    root, path = scratch(spark, "late"), scratch(spark, "late-in")
-    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    rows.repartitionByRange(4, "ts").write.parquet(path)
-    events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
-    counts = streams.window_counts(streams.with_lateness(events, "ts", "10000 days"), "ts", "10 minutes", None)
-    streams.stream_complete(counts, root, f"{root}/checkpoint", once=True).awaitTermination()
-    return tables.read_version(spark, root).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
+    large = o.filter("o_totalprice > 300000").select("o_custkey", "o_orderpriority").distinct()
+    return joins.missing_keys(o, large, ["o_custkey", "o_orderpriority"]).select("o_orderkey")
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS clicked_by, CASE WHEN event_type <> 'click' THEN CAST(user_id AS VARCHAR) END AS seen_by, CAST(NULL AS VARCHAR) AS base FROM events")

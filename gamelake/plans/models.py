@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.operators import features, windows
+from gamelake.operators import features, spectra, windows
 from gamelake.operators import ml as M
 from gamelake.plans.base import WITH, box, query, table
 
@@ -31,7 +31,7 @@ def wave_features(spark: S, sf: str) -> DataFrame:
 
 @query()
 def spectral_features(spark: S, sf: str) -> DataFrame:
-    return features.spectral_features(box(spark, sf), "member_id", ["event_date", "event_id"], ["pts", "reb"])
+    return spectra.spectral_features(box(spark, sf), "member_id", ["event_date", "event_id"], ["pts", "reb"])
 
 
 @query()

@@ -69,7 +69,7 @@ def change_flags(spark: S, sf: str) -> DataFrame:
 
 @query(f"{WITH}, c AS (SELECT quantile_disc(date_diff('day', DATE '1970-01-01', event_date), 0.9) AS cut FROM box) SELECT {_ID}, date_diff('day', DATE '1970-01-01', event_date) > cut AS is_holdout FROM box, c")
 def time_holdout(spark: S, sf: str) -> DataFrame:
-    return windows.time_holdout(_b(spark, sf), "event_date", 0.1, 1_000_000)
+    return windows.time_holdout(_b(spark, sf), "event_date", 0.1)
 
 
 # p-values for the corrections are made of order prices
@@ -121,10 +121,12 @@ def confusion(spark: S, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{WITH}, y AS (SELECT CASE WHEN outcome = 'R' THEN 1 ELSE 0 END AS y, CASE WHEN pts >= 25 THEN 1 ELSE 0 END AS h FROM box),
+    f"""{WITH}, y AS (SELECT CASE WHEN outcome = 'R' THEN 1 ELSE 0 END AS y, CASE WHEN pts >= 25 THEN 1 ELSE 0 END AS h, pts FROM box),
+g AS (SELECT pts, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS m FROM y GROUP BY pts), k AS (SELECT p, sum(m) OVER (ORDER BY pts) - m / 2.0 AS below, m FROM g),
+a AS (SELECT sum(p * below) / sum(p) / sum(m) AS auc FROM k),
 c AS (SELECT CAST(count(*) AS DOUBLE) AS n, count(*) FILTER (y = h) AS ok, count(*) FILTER (y = 1 AND h = 1) AS tp, count(*) FILTER (y = 0 AND h = 1) AS fp, count(*) FILTER (y = 1 AND h = 0) AS fn FROM y)
-SELECT round(ok / n, 6) AS accuracy, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision, round(CAST(tp AS DOUBLE) / (tp + fn), 6) AS recall, round(CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn), 6) AS f1 FROM c"""
+SELECT round(ok / n, 6) AS accuracy, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision, round(CAST(tp AS DOUBLE) / (tp + fn), 6) AS recall, round(CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn), 6) AS f1, round(auc, 6) AS auc FROM c, a"""
 )
 def classification_metrics(spark: S, sf: str) -> DataFrame:
-    b = box(spark, sf).select((F.col("outcome") == "R").cast("int").alias("y"), (F.col("pts") >= 25).cast("int").alias("h"))
-    return M.classification_metrics(b, "y", "h")
+    b = box(spark, sf).select((F.col("outcome") == "R").cast("int").alias("y"), (F.col("pts") >= 25).cast("int").alias("h"), "pts")
+    return M.classification_metrics(b, "y", "h", score="pts")

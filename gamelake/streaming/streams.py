@@ -6,13 +6,16 @@ in one row, so a batch that is replayed after a failure is skipped if and only i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from gamelake.operators import scd
 from gamelake.operators.project import extend_schema, parse_json
 from gamelake.sources import tables
 
@@ -58,7 +61,10 @@ def stream_complete(df: DataFrame, root: str, checkpoint: str, once: bool = Fals
 def _query_id(batch: DataFrame) -> str:
     """The id of the running query: kept in its checkpoint, so a restart has the same one and a query
     with a new checkpoint another."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if found is None:
+        raise RuntimeError("no query id: call this inside foreachBatch of a running query")
+    return found
 
 
 def stream_upsert(df: DataFrame, root: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], once: bool = False) -> StreamingQuery:
@@ -85,6 +91,79 @@ def stream_upsert(df: DataFrame, root: str, checkpoint: str, merge: Callable[[Da
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+Merge = Callable[[DataFrame | None, DataFrame, int], DataFrame]
+
+
+def stream_merge_tables(df: DataFrame, root: str, checkpoint: str, merges: Mapping[str, Merge], once: bool = False) -> StreamingQuery:
+    """Every micro-batch into several tables at once: table -> merge(its rows or None, batch, batch id) -> its rows.
+
+    The batch is computed once; the new versions of all tables are written, and one row makes them visible
+    together with the ids of query and batch (``tables.publish``). If a merge or a write fails, none of the
+    batch is visible, and the batch that comes again starts from the tables before it; a batch that was
+    published is skipped. So aggregates inside merges count each row once."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark, query = batch.sparkSession, _query_id(batch)
+        if tables.published(spark, root).filter((F.col("writer") == query) & (F.col("batch") == batch_id)).limit(1).count():
+            return
+        paths = tables.current_paths(spark, root)
+        batch = batch.persist()
+        try:
+            new = {name: merge(spark.read.parquet(paths[name]) if name in paths else None, batch, batch_id) for name, merge in merges.items()}
+            tables.publish(new, root, query, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(apply)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def session_totals(df: DataFrame, keys: Sequence[str], ts: str, value: str, gap: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Running count, total and last time of each key, for update mode: a row for each key that a batch has. State
+    that has had no row for ``gap`` of event time is dropped, and a key that comes back opens a new session, so
+    state grows with the keys that are alive; a key's totals are the sums over its sessions. Rows later than
+    ``delay`` are dropped. Null times are left out; null values count as 0."""
+    kinds = dict(df.dtypes)
+    wait = int(pd.Timedelta(gap).total_seconds() * 1_000)
+    own = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
+    rows = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).cast("timestamp").alias("_ts"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_v")).withWatermark("_ts", delay)
+
+    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        first, n, total, last = state.get if state.exists else (None, 0, 0.0, None)  # "first" stays: it names the session
+        for part in parts:
+            begin, end = int(part["_us"].min()), int(part["_us"].max())
+            first, last = begin if first is None else first, end if last is None else max(last, end)
+            n, total = n + len(part), total + float(part["_v"].sum())
+        state.update((first, n, total, last))
+        state.setTimeoutTimestamp(max(last // 1_000 + wait, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([(*key, first, n, total, last)], columns=names)
+
+    names = [*keys, "session_start", "n", "total", "last_seen"]
+    out = rows.groupBy(*keys).applyInPandasWithState(update, f"{own}, session_start long, n long, total double, last_seen long", "first long, n long, total double, last long", "update", GroupStateTimeout.EventTimeTimeout)
+    return out.withColumns({c: F.timestamp_micros(c) for c in ("session_start", "last_seen")})
+
+
+def stream_changes(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], buckets: int = 64, once: bool = False, seen: Callable[[int, int], None] | None = None) -> StreamingQuery:
+    """An update-mode result as a table: each micro-batch has only the groups that changed, and only their buckets
+    are read and written (``tables.merge_buckets``), whatever the size of the table. The merge is an upsert by
+    key, so a replayed batch changes nothing. seen(batch id, rows written to touched groups), if given."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            tables.merge_buckets(path, batch, keys[:1], lambda old, new: new if old is None else scd.upsert(old, new, keys, [F.lit(1)]), buckets)
+            if seen:
+                seen(batch_id, batch.count())
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(apply)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame], DataFrame]], checkpoint: str, once: bool = False) -> StreamingQuery:
     """Several tables from one stream: path -> projection. The batch is computed once; a folder for each
     query and batch makes a replay overwrite its own rows only."""

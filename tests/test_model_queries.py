@@ -56,7 +56,12 @@ def test_spectral_features(spark, sf, series):
     for r in got:
         x = np.array([v[r.measure] for v in series[r.member_id]], float)
         pad = lambda v: np.pad(np.sort(np.abs(v))[::-1][:3], (0, max(0, 3 - len(v))))
-        assert np.allclose(r.fourier, pad(np.fft.rfft(x))) and np.allclose(r.haar2, pad(haar(haar(x)[0])[1]))
+        a, d1 = haar(x)
+        ema = x[0]
+        for v in x[1:]:
+            ema = 0.5 * ema + 0.5 * v
+        assert np.allclose(r.fourier, pad(np.fft.rfft(x))) and np.allclose(r.haar2, pad(haar(a)[1]))
+        assert r.n == len(x) and abs(r.ema - ema) < 1e-9 and np.allclose(r.wave, pad(np.concatenate((*haar(a), d1))))
 
 
 def test_embed_text(spark, sf):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gamelake.functions import advanced, scalars
-from gamelake.operators import aggregates, features, joins, project, quality, scd, sets, text, windows
+from gamelake.operators import aggregates, features, joins, project, quality, scd, sets, spectra, text, windows
 from gamelake.operators import ml as M
 from gamelake.plans import star
 from gamelake.sources import documents, planning, tables, topics
@@ -468,8 +468,8 @@ def test_features(spark):
     df = spark.createDataFrame([(1, i, float(i % 4)) for i in range(20)] + [(2, 0, 1.0), (3, 0, None)], "k int, o int, v double")
     waves = {(r.k, r.o): r.v_wave for r in features.wave_features(df, ["k"], ["o"], "v").collect()}
     assert waves[(2, 0)] == [0.0] * 4 and any(waves[(1, 19)])
-    s = features.spectral_features(df, "k", ["o"], ["v"], history=8)
-    assert s.filter("k = 1").count() == 3
+    s = spectra.spectral_features(df, "k", ["o"], ["v"])
+    assert {r.k: r.n for r in s.collect()} == {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
     assert features.grouped_ar(df, "k", ["o"], "v").filter("k = 2").count() == 0
     sample = features.stratified_sample(df, ["k"], ["o"], 5)
     assert got(sample.groupBy("k").count()) == [(1, 5), (2, 1), (3, 1)]
@@ -490,25 +490,3 @@ def test_models(spark):
     assert stacked.r2 > 0.9
     m = M.interval_metrics(spark.createDataFrame([(5.0, 0.0, 10.0), (20.0, 0.0, 10.0)], "y double, l double, h double"), "y", "l", "h").first()
     assert (m.picp, m.winkler) == (0.5, 110.0)
-
-
-def test_grouped_ar_takes_the_whole_series(spark):
-    rng = np.random.default_rng(4)
-    x = [500.0, 501.0]
-    for t in range(2, 12_000):  # the first 2,000 points follow another rule
-        x.append((100 + 0.5 * x[-1] + 0.3 * x[-2] if t > 2000 else 300 + 0.2 * x[-1] + 0.2 * x[-2]) + rng.normal())
-    short = rng.normal(size=9).tolist()
-    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(x)] + [(2, i, v) for i, v in enumerate(short)], "k int, o int, v double")
-    rows = features.grouped_ar(df, "k", ["o"], "v").orderBy("k", "term").collect()
-    for k, series in ((1, np.array(x)), (2, np.array(short))):
-        fits = []
-        for p in range(4):
-            a = np.column_stack([np.ones(len(series) - p), *(series[p - i : len(series) - i] for i in range(1, p + 1))])
-            c, *_ = np.linalg.lstsq(a, series[p:], rcond=None)
-            rss = ((series[p:] - a @ c) ** 2).sum()
-            se = np.sqrt(np.diag(np.linalg.inv(a.T @ a)) * rss / (len(a) - p - 1))
-            fits.append((len(a) * np.log(rss / len(a)) + 2 * (p + 1), p, c, c / se))
-        _, p, c, z = min(fits, key=lambda f: f[0])
-        mine = [r for r in rows if r.k == k]
-        assert {r.ar_order for r in mine} == {p} and np.allclose([r.coefficient for r in mine], c, rtol=1e-6)
-        assert np.allclose([r.p_value for r in mine], [math.erfc(abs(v) / 2**0.5) for v in z], atol=1e-6)
