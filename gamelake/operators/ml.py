@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -57,9 +58,9 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], ks: Sequence[int], iterations
     return _cluster(df, cols, km, ParamGridBuilder().addGrid(km.k, list(ks)).addGrid(km.maxIter, list(iterations)).build(), folds)
 
 
-def fit_gmm(df: DataFrame, cols: Sequence[str], ks: Sequence[int], folds: int = 3) -> PipelineModel:
+def fit_gmm(df: DataFrame, cols: Sequence[str], ks: Sequence[int], folds: int = 3, iterations: Sequence[int] = (100,)) -> PipelineModel:
     gm = GaussianMixture(seed=SEED)
-    return _cluster(df, cols, gm, ParamGridBuilder().addGrid(gm.k, list(ks)).build(), folds)
+    return _cluster(df, cols, gm, ParamGridBuilder().addGrid(gm.k, list(ks)).addGrid(gm.maxIter, list(iterations)).build(), folds)
 
 
 def assign_clusters(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -71,15 +72,16 @@ def time_split(df: DataFrame, date: str, cutoff: str, share: float = 0.8) -> tup
     before, after = df.filter(F.col(date) < F.lit(cutoff).cast("date")), df.filter(F.col(date) >= F.lit(cutoff).cast("date"))
     if before.limit(1).count() and after.limit(1).count():
         return before, after
-    train, test = df.randomSplit([share, 1 - share], SEED)
-    return train, test
+    place = F.pmod(F.xxhash64(*df.columns), F.lit(10_000)) < int(10_000 * share)  # by the row, whatever the partitions
+    return df.filter(place), df.filter(~place)
 
 
-def fit_regression(df: DataFrame, target: str, numeric: Sequence[str], categories: Sequence[str] = (), kind: str = "linear", folds: int = 3, degree: int = 2) -> PipelineModel:
-    """Linear or boosted-tree regression; its parameters by cross-validated error."""
+def fit_regression(df: DataFrame, target: str, numeric: Sequence[str], categories: Sequence[str] = (), kind: str = "linear", folds: int = 3, degree: int = 2, top: int | None = None, chi_label: str | None = None) -> PipelineModel:
+    """Linear or boosted-tree regression; its parameters by cross-validated error. With ``top`` only as many
+    features stay, those with the strongest chi-square test against ``chi_label`` (a column of classes)."""
     est = LinearRegression(labelCol=target) if kind == "linear" else GBTRegressor(labelCol=target, seed=SEED, maxIter=10)
     grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.1]).build() if kind == "linear" else ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).build()
-    pipe = Pipeline(stages=[*regression_stages(numeric, categories, degree), est])
+    pipe = Pipeline(stages=[*regression_stages(numeric, categories, degree, top, chi_label), est])
     return CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=target), numFolds=folds, seed=SEED).fit(df).bestModel
 
 
@@ -109,6 +111,54 @@ def fit_classifier(df: DataFrame, label: str, cols: Sequence[str], fold: str | N
     return pipe.fit(df, grid[merit.index(max(merit))])
 
 
+def settings(many: int, seed: int = SEED) -> list[dict[str, float]]:
+    """Different parameter sets of boosted trees in a seeded order."""
+    grid = [{"maxDepth": d, "maxIter": i, "stepSize": s, "subsamplingRate": r, "minInstancesPerNode": m} for d in (1, 2, 3, 4, 5) for i in (4, 8, 12) for s in (0.05, 0.1, 0.2, 0.4) for r in (0.6, 0.8, 1.0) for m in (1, 5, 20)]
+    return random.Random(seed).sample(grid, many)
+
+
+def halving_search(train: DataFrame, holdout: DataFrame, label: str, cols: Sequence[str], key: str, fold: str, folds: int = 3, many: int = 8, rungs: int = 3, seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees by successive halving: all settings are tried on a share of the rows of each time fold, the
+    better half goes on with twice the rows, the last rung has all of them. A fold is judged by a model of the
+    folds before it; a setting's figure is its mean AUC. The best one is fitted on all of ``train``.
+
+    Returns that model and a row for every setting and rung: rung, rows (their share), setting, its
+    parameters, fold_auc (array), mean_auc, went_on, and the hold-out's AUC on the winner's last row. Shares are
+    by a hash of the key, so a larger one holds the smaller. Models are fitted one after the other, each over
+    the whole cluster."""
+    spark, tried, alive = train.sparkSession, [], list(enumerate(settings(many, seed)))
+    place = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    assembler, ev = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"), BinaryClassificationEvaluator(labelCol=label)
+    ready = assembler.transform(train.withColumn("_place", place)).select("features", label, fold, "_place").persist()
+    fit = lambda df, p: GBTClassifier(labelCol=label, seed=seed, **p).fit(df)
+    for rung in range(rungs):
+        share = 0.5 ** (rungs - 1 - rung)
+        part = ready.filter(F.col("_place") < share)
+        scored = []
+        for number, p in alive:
+            found = [ev.evaluate(fit(part.filter(F.col(fold) < k), p).transform(part.filter(F.col(fold) == k))) for k in range(1, folds)]
+            scored.append((sum(found) / len(found), number, p, found))
+        scored.sort(key=lambda s: (-s[0], s[1]))
+        stay = 1 if rung == rungs - 1 else max(1, len(scored) // 2)
+        tried += [(rung, share, n, {k: float(v) for k, v in p.items()}, f, m, place < stay) for place, (m, n, p, f) in enumerate(scored)]
+        alive = [(n, p) for _, n, p, _ in scored[:stay]]
+    winner, p = alive[0]
+    model = PipelineModel([assembler, fit(ready, p)])
+    ready.unpersist()
+    reached = auc(score(holdout, model, "holdout"), label)
+    rows = [(*t, reached if t[0] == rungs - 1 and t[2] == winner else None) for t in tried]
+    return model, spark.createDataFrame(rows, "rung int, rows double, setting int, parameters map<string,double>, fold_auc array<double>, mean_auc double, went_on boolean, holdout_auc double")
+
+
+def split_by_time(df: DataFrame, date: str, today: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """Scored rows as two written tables: those dated up to a day and those after it. Rows without a date are
+    historical."""
+    later = F.coalesce(F.col(date) > F.lit(today).cast("date"), F.lit(False))
+    df.withColumn("when", F.when(later, "future").otherwise("historical")).write.mode("overwrite").partitionBy("when").parquet(root)
+    back = df.sparkSession.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, when string").parquet(root)
+    return back.filter("when = 'historical'").drop("when"), back.filter("when = 'future'").drop("when")
+
+
 def fit_regressors(df: DataFrame, targets: Sequence[str], cols: Sequence[str], rounds: int = 10, depth: int = 3) -> dict[str, PipelineModel]:
     """A boosted-tree regressor for each target, on one assembled and persisted table."""
     x = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")

@@ -84,10 +84,10 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return running_sums(df, keys, order, by, {name: F.lit(1).cast("long")}, parts)
 
 
-def block_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, attrs: Sequence[str], name: str = "block", parts: int | None = None) -> DataFrame:
+def block_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, attrs: Sequence[str], name: str = "block", parts: int | None = None, cuts: Sequence[float] | None = None) -> DataFrame:
     """df with the number (from 1) of the row's block of equal attributes in its key's order; nulls compare as
-    values. Segments compare their first attributes with the last ones before them."""
-    cut = segmented(df, keys, by, cut_points(df, by, parts))
+    values. Segments compare their first attributes with the last ones before them. ``cuts``: those to use."""
+    cut = segmented(df, keys, by, cut_points(df, by, parts) if cuts is None else cuts)
     w = _local().orderBy(*order)
     same = F.lit(True)
     for a in attrs:

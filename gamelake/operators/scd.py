@@ -58,14 +58,14 @@ def scd2_merge(target: DataFrame, updates: DataFrame, keys: Sequence[str], compa
     return j.select(F.inline(rows)).unionByName(history)
 
 
-def scd2_from_events(df: DataFrame, keys: Sequence[str], date: str, attrs: Sequence[str], order: Sequence[str | Column] = (), parts: int | None = None) -> DataFrame:
+def scd2_from_events(df: DataFrame, keys: Sequence[str], date: str, attrs: Sequence[str], order: Sequence[str | Column] = (), parts: int | None = None, cuts: Sequence[float] | None = None) -> DataFrame:
     """One row per block of constant attributes: start_date, end_date, next_start (of the next block),
     is_current (the key's last block), row_hash and version_key.
 
     Blocks are numbered over segments of dates (``scans``), grouped, and each meets the next one by its
     number, so no step holds a key's history in one task. df is read more than once."""
     total = [F.col(date), *order, *(F.col(a) for a in attrs)]
-    blocks = windows.block_ranges(scans.block_ids(df, keys, total, date, attrs, parts=parts), keys, date, attrs)
+    blocks = windows.block_ranges(scans.block_ids(df, keys, total, date, attrs, parts=parts, cuts=cuts), keys, date, attrs)
     after = blocks.select(*(F.col(k).alias(f"_{k}") for k in keys), (F.col("block") - 1).alias("_block"), F.col("start_date").alias("next_start"), F.lit(True).alias("_there"))
     meets = F.col("block") == F.col("_block")
     for k in keys:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.functions import scalars
-from gamelake.operators import aggregates, joins, project, scd, windows
+from gamelake.operators import aggregates, joins, project, scans, scd, windows
 from gamelake.plans import star
 from gamelake.plans.base import BOX_SQL, GROUP_SQL, ORDER, STATS, WITH, box, group_events, query, raw, table, written  # noqa: F401
 
@@ -146,9 +146,9 @@ versions AS (SELECT {key}, CAST(block AS BIGINT) AS block, {attr}, start_date, e
 _STATUS = "status_events AS (SELECT group_id, event_date, event_id, min(status) AS status FROM box GROUP BY ALL)"
 
 
-def _group_versions(b: DataFrame) -> DataFrame:
+def _group_versions(b: DataFrame, cuts: list[float] | None = None) -> DataFrame:
     events = b.groupBy("group_id", "event_date", "event_id").agg(F.min("status").alias("status"))
-    return star.dim_scd2(events, "group_id", "event_date", ["status"], ["event_id"])
+    return star.dim_scd2(events, "group_id", "event_date", ["status"], ["event_id"], cuts)
 
 
 @query(f"{WITH}, {_scd_sql('member_id', 'group_id')} SELECT * FROM versions")
@@ -184,7 +184,8 @@ FROM g LEFT JOIN versions v ON v.group_id = g.group_id AND g.event_date BETWEEN
 def fact_group(spark: S, sf: str) -> DataFrame:
     b = written(box(spark, sf).select("group_id", "season", "season_type", "event_id", "event_date", "status", "outcome", *STATS), "box")
     events = b.select("event_id").distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
-    return star.fact_group(group_events(b), _group_versions(b), star.dim_period(b), events)
+    cuts = scans.cut_points(b, "event_date")
+    return star.fact_group(group_events(b), _group_versions(b, cuts), star.dim_period(b), events, cuts)
 
 
 _NATIONS = """nation_events AS (SELECT sn.n_name AS nation, CAST(o_orderdate AS DATE) AS event_date, l_orderkey AS event_id, min(l_linestatus) AS status

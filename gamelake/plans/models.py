@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.operators import features, spectra, windows
+from gamelake.operators import features, scd, spectra, vectors, windows
 from gamelake.operators import ml as M
-from gamelake.plans.base import WITH, box, query, table
+from gamelake.plans.base import WITH, box, query, scratch, table, written
 
 S = SparkSession
 COLS = ["fga", "fgm", "fg3m", "reb", "ast", "tov"]
@@ -63,16 +63,32 @@ def embed_text(spark: S, sf: str) -> DataFrame:
     return features.embed_text(docs, "text").select("conv_id", "turn", vector_to_array("vector").alias("vector"))
 
 
+@query()
+def embed_text_svd(spark: S, sf: str) -> DataFrame:
+    """Every document in the space of the leading singular vectors of all documents' words."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return vectors.embed(docs, "text", vectors.fit_text_svd(docs, "text")).select("doc_id", "vector")
+
+
 @query()
 def kmeans_assign(spark: S, sf: str) -> DataFrame:
     m = _members(spark, sf)
-    return M.assign_clusters(m, M.fit_kmeans(m, COLS, [2, 3], [10])).select("member_id", "cluster")
+    return M.assign_clusters(m, M.fit_kmeans(m, COLS, [2, 3], [5, 10])).select("member_id", "cluster")
 
 
 @query()
 def gmm_assign(spark: S, sf: str) -> DataFrame:
     m = _members(spark, sf)
-    return M.assign_clusters(m, M.fit_gmm(m, COLS[:3], [2, 3])).select("member_id", "cluster")
+    return M.assign_clusters(m, M.fit_gmm(m, COLS, [2, 3], 2, [20])).select("member_id", "cluster")
+
+
+@query()
+def clusters_by_time(spark: S, sf: str) -> DataFrame:
+    """Assigned clusters, written as historical and future tables and read back."""
+    m = _members(spark, sf)
+    done = M.assign_clusters(m, M.fit_kmeans(m, COLS, [2], [10], 2)).select("member_id", "event_date", "cluster")
+    past, future = M.split_by_time(done, "event_date", "1998-01-01", scratch(spark, "clusters"))
+    return past.withColumn("when", F.lit("historical")).unionByName(future.withColumn("when", F.lit("future")))
 
 
 @query()
@@ -97,11 +113,52 @@ def fit_classifier_shuffled(spark: S, sf: str) -> DataFrame:
     return M.score(m, model, "classification").select("member_id", "is_holdout", "score", "predicted_label", "prediction_type")
 
 
+@query()
+def search_classifier(spark: S, sf: str) -> DataFrame:
+    """Every setting of the search with its rung, fold scores and, for the winner, the hold-out's AUC."""
+    m = written(_members(spark, sf), "members")
+    m = windows.time_holdout(m, "event_date", 0.1)
+    train = windows.time_folds(m.filter("not is_holdout"), "event_date", 3)
+    return M.halving_search(train, m.filter("is_holdout"), "win", COLS, "member_id", "fold", many=6)[1]
+
+
+@query()
+def score_and_store(spark: S, sf: str) -> DataFrame:
+    """Scores with label texts, stored as historical and future rows and read back."""
+    m = written(_members(spark, sf), "members")
+    model = M.fit_classifier(m, "win", COLS, rounds=5, depths=(2,))
+    done = M.score(m, model, "classification").select("member_id", "event_date", "score", "predicted_label", "prediction_type")
+    past, future = M.split_by_time(done, "event_date", "1998-01-01", scratch(spark, "scores"))
+    return past.withColumn("when", F.lit("historical")).unionByName(future.withColumn("when", F.lit("future")))
+
+
 @query()
 def fit_regressors(spark: S, sf: str) -> DataFrame:
-    m = _members(spark, sf)
-    model = M.fit_regressors(m, ["pts"], COLS[:4], 5)["pts"]
-    return M.predict_future(m.select("member_id", "event_date", *COLS[:4]), model, "event_date", 30, "predicted_pts").select("member_id", "future_date", "predicted_pts")
+    """Current rows of a history of members, whose points and rebounds are told for 30, 20 and 10 days ahead."""
+    m = written(_members(spark, sf), "members")
+    history = scd.scd2_start(m, ["member_id"], ["pts", "reb"], F.col("event_date"))
+    now = history.filter("is_current").select("member_id", "event_date", *COLS, "pts")
+    x = ["fga", "fgm", "fg3m", "ast", "tov"]
+    models, out = M.fit_regressors(now, ["pts", "reb"], x, 5), None
+    for days in (30, 20, 10):
+        told = M.predict_future(models["reb"].transform(now.select("member_id", "event_date", *x)).drop("features"), models["pts"], "event_date", days, "predicted_pts")
+        told = told.select("member_id", F.lit(days).alias("days"), "future_date", "predicted_pts", "predicted_reb")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
+@query()
+def fit_categories(spark: S, sf: str) -> DataFrame:
+    """Lines' cents by linear regression and by boosted trees, from numbers and categories of which a chi-square
+    test against dear lines keeps eight."""
+    b = box(spark, sf).select("cents", (F.col("fga") / 10).cast("int").alias("tens"), "line_no", "disc", "season_type", "status", (F.col("cents") > 3_000_000).cast("int").alias("dear"), "event_date")
+    train, test = M.time_split(written(b, "lines"), "event_date", "1997-01-01")
+    out = None
+    for kind in ("linear", "gbt"):
+        model = M.fit_regression(train, "cents", ["tens", "line_no", "disc"], ["season_type", "status"], kind, 2, 1, 8, "dear")
+        one = M.regression_metrics(model.transform(test), "cents", "prediction", 4).select(F.lit(kind).alias("kind"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query()

@@ -28,11 +28,11 @@ def dim_period(df: DataFrame, date: str = "event_date") -> DataFrame:
     return aggregates.date_ranges(df, ["season", "season_type"], date).select(surrogate_key(["season", "season_type"]).alias("season_key"), "*")
 
 
-def dim_scd2(df: DataFrame, key: str, date: str, attrs: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def dim_scd2(df: DataFrame, key: str, date: str, attrs: Sequence[str], order: Sequence[str] = (), cuts: Sequence[float] | None = None) -> DataFrame:
     """Versions of a member or group, one row per block of constant attributes. valid_to is the day
     before the next version, so that ranges don't overlap; versions that start and end on one day
     (a later one began the same day) keep their place but hold no date."""
-    blocks = scd.scd2_from_events(df, [key], date, attrs, order)
+    blocks = scd.scd2_from_events(df, [key], date, attrs, order, cuts=cuts)
     return blocks.withColumn("valid_to", F.coalesce(F.date_add("next_start", -1), F.lit(OPEN_END).cast("date")))
 
 
@@ -45,9 +45,9 @@ def fact_member(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     return marked.select("fact_key", "member_id", "group_id", "event_id", "event_date", "season", *measures, "row_hash", F.min("event_date").over(w).alias("block_start"), F.max("event_date").over(w).alias("block_end"))
 
 
-def fact_group(groups: DataFrame, dim_group: DataFrame, dim_season: DataFrame, dim_events: DataFrame) -> DataFrame:
+def fact_group(groups: DataFrame, dim_group: DataFrame, dim_season: DataFrame, dim_events: DataFrame, cuts: Sequence[float] | None = None) -> DataFrame:
     """Group rows with foreign keys: the group's version at the date, the season, the event."""
-    f = joins.asof_join(groups, dim_group, "group_id", "event_date", "start_date", "valid_to", ["version_key"])
+    f = joins.asof_join(groups, dim_group, "group_id", "event_date", "start_date", "valid_to", ["version_key"], cuts=cuts)
     s = dim_season.withColumnRenamed("season_type", "_type")
     f = joins.scd_join(f.withColumn("_type", F.col("season_type")), s, ["season", "_type"], "event_date", "start_date", "end_date", ["season_key"]).drop("_type")
     return joins.dimension_join(f, dim_events, "event_id", ["event_key"]).withColumn("fact_key", readable_key(["group_id", "season", "event_id"]))
