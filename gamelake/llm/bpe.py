@@ -310,7 +310,8 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> Encoded:
 
 
 def decode(ids: Column, spark, vocabulary: str | None = None) -> Column:
-    """The text of each list of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
+    """The text of each list of ids, special tokens included; bytes that are no UTF-8 become U+FFFD. A null list gives
+    null, an empty one an empty text."""
     content = spark.sparkContext.broadcast(open(vocabulary or default_vocabulary(), encoding="utf-8").read())
 
     @F.pandas_udf("string")

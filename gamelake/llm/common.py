@@ -44,11 +44,26 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Folders that ``materialise`` wrote in this process.
+_WRITTEN: list[str] = []
+
+
+def clear_written(spark: SparkSession) -> int:
+    """Delete all tables that ``materialise`` wrote in this process: call it when the results that read them have
+    been used. How many they were."""
+    many, conf = len(_WRITTEN), spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        at.getFileSystem(conf).delete(at, True)
+    return many
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: later jobs neither repeat the
     work nor depend on the executors that did it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

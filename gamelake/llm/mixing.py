@@ -34,12 +34,14 @@ def poisson_inverse(u: Column, mean: Column) -> Column:
 def repetition_rates(docs: DataFrame, group: str, weights: DataFrame | None = None, size: float | None = None) -> DataFrame:
     """group, rate: the mean number of times each document of a source is taken so that the sources'
     shares are as their weights. weights: (group, weight), by default equal; sources without a weight
-    or with a weight of zero or below are left out. size: documents in the mix, by default as many as there are."""
+    or with a weight of zero or below are left out; the weights of a source that is there twice are added.
+    size: documents in the mix, by default as many as there are. A null source is a source; empty tables give
+    no rows."""
     counts = docs.groupBy(group).agg(F.count("*").alias("n"))
     if weights is None:
         shared = counts.withColumn("weight", F.lit(1.0))
     else:
-        w = weights.select(F.col(group).alias("w_group"), F.col("weight").cast("double").alias("weight"))
+        w = weights.groupBy(F.col(group).alias("w_group")).agg(F.sum(F.col("weight").cast("double")).alias("weight"))
         shared = counts.join(w, counts[group].eqNullSafe(w["w_group"])).filter("weight > 0").select(group, "n", "weight")
     weights_sum = shared.agg(F.sum("weight")).first()[0] or 1.0
     wanted = float(counts.agg(F.sum("n")).first()[0] or 0) if size is None else float(size)

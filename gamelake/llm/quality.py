@@ -15,7 +15,11 @@ ACCEPT = 0.3
 
 def fit_quality(docs: DataFrame, labels: DataFrame, spec: Spec = SPEC) -> Model:
     """Scale n-gram indicators by class log-count ratios and fit a hinge-loss model by dual
-    coordinate descent, on labelled documents outside the held-out fifth."""
+    coordinate descent, on labelled documents outside the held-out fifth.
+
+    Null texts are empty ones; labels that are null or neither 0 nor 1, and rows without an id, take no
+    part; of an id's repeated rows one counts. Without labels of both classes every score is the same;
+    empty tables give such a model. Other columns are not read."""
     return fit(docs, labels.filter(fold(F.col("doc_id"), 5) != 0), "text", "doc_id", "quality", spec)
 
 

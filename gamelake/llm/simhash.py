@@ -182,6 +182,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id. Rows without an id stay;
-    of repeated rows with one id, all or none stay."""
+    of repeated rows with one id, all or none stay. Empty and null texts are near-duplicates of each other;
+    an empty table gives an empty one; other columns stay, whatever their names."""
     groups = near_duplicates(docs).filter("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(groups, docs["doc_id"].cast("long") == groups["gone"], "left_anti").select(*docs.columns)

@@ -32,7 +32,8 @@ AT_ONCE = 256
 
 def integer_vectors(table: DataFrame) -> DataFrame:
     """vec_id, v (array of long): floor(64 x) of each component. Null ids and vectors that are null,
-    empty or hold null or non-finite components are left out; of an id's vectors the smallest counts."""
+    empty or hold null or non-finite components are left out; of an id's vectors the smallest counts. Other
+    columns are left out; an empty table gives an empty one."""
     x = F.col("embedding")
     ok = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda c: F.coalesce(F.abs(c.cast("double")) < F.lit(float("inf")), F.lit(False)) & ~F.coalesce(F.isnan(c), F.lit(True)))
     v = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("long"))

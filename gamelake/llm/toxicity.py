@@ -13,7 +13,8 @@ SPEC = Spec(orders=(4, 6, 8), loss="hinge", bits=20, blank=True, alpha=30.0, cos
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, spec: Spec = SPEC) -> Model:
-    """Hinge-loss model fitted by dual coordinate descent, with Platt's scaling, on labelled documents outside the held-out fifth."""
+    """Hinge-loss model fitted by dual coordinate descent, with Platt's scaling, on labelled documents outside the
+    held-out fifth. Odd rows, empty tables and other columns as in ``quality.fit_quality``."""
     return fit(docs, labels.filter(fold(F.col("doc_id"), 5) != 0), "text", "doc_id", "toxic", spec)
 
 

@@ -278,7 +278,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, offsets: str | None = "remov
     rows from which something is cut are returned.
 
     Spans don't overlap and are written tables: they are read twice. Documents that surely have none pass
-    without a shuffle."""
+    without a shuffle. Repeated rows are cut alike; null ids are an id; an empty table gives an empty one."""
     at, h, hit = fresh(docs, "own_spans", "own_hash", "may_change")
     lists = spans.distinct().groupBy(F.col("doc_id").alias("span_doc"), F.col("text_hash").alias("span_hash")).agg(F.sort_array(F.collect_list(F.struct("start_char", "end_char"))).alias(at))
     own = docs.withColumns({h: F.xxhash64("text"), hit: sharing.may_hold(docs, sharing.bitmap(_documents_of(spans)), _document(docs))})
@@ -340,15 +340,15 @@ def repeated_chunks(docs: DataFrame, seeds: Sequence[int] = SEEDS) -> DataFrame:
 
 
 def drop_repeated_chunks(docs: DataFrame, offsets: str | None = "removed_spans") -> DataFrame:
-    """docs without the union of the chunks of ``repeated_chunks``; see ``remove_spans``."""
+    """docs without the union of the chunks of ``repeated_chunks``; see ``remove_spans``, also for odd rows."""
     return remove_spans(docs, materialise(united(repeated_chunks(docs)), "spans"), offsets)
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, offsets: str | None = "removed_spans") -> DataFrame:
-    """docs without the lines of ``repeated_lines``; see ``remove_spans``."""
+    """docs without the lines of ``repeated_lines``; see ``remove_spans``, also for odd rows."""
     return remove_spans(docs, materialise(repeated_lines(docs, min_words).select("doc_id", "text_hash", "start_char", "end_char"), "spans"), offsets)
 
 
 def drop_repeated_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS, offsets: str | None = "removed_spans", changed_only: bool = False) -> DataFrame:
-    """docs without the union of the passages of ``repeated_passages``; see ``remove_spans``."""
+    """docs without the union of the passages of ``repeated_passages``; see ``remove_spans``, also for odd rows."""
     return remove_spans(docs, materialise(united(repeated_passages(docs, min_words)), "spans"), offsets, changed_only)

@@ -1,6 +1,7 @@
 """Operators 11 to 13 against brute force, on whole tables and on odd rows."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gamelake.llm import pii, queries, ranking, whitening
+from gamelake.llm import langid, mixing, pii, queries, ranking, whitening
 from gamelake.llm.common import table
 
 # 11: whitening
@@ -87,6 +88,51 @@ def test_whitening_odd_rows(spark):
     assert {int(r.deviation) for r in whitening.whiten(huge).collect()} == {(2 * (2**45 + 100_000) - 200_000) ** 2 + 1024**2}
 
 
+# 7: the sample of language models
+
+
+def test_language_models_of_repeated_rows_are_the_same(spark, sf):
+    docs, spec = table(spark, sf, "documents"), langid.Spec(max_docs=30)
+    once, often = langid.fit(docs, spec), langid.fit(docs.union(docs).union(docs).union(docs).union(docs), spec)
+    assert once.sharpness == often.sharpness and once.limits == often.limits and set(once.orders) == set(often.orders)
+    for lang, orders in once.orders.items():
+        for a, b in zip(orders, often.orders[lang], strict=True):
+            assert all((getattr(a, n) == getattr(b, n)).all() for n in ("grams", "shares", "contexts", "passes"))
+
+
+def test_language_calibration_by_force(spark, sf):
+    """Sharpness and limits over the fifth of each language's sample, in plain loops."""
+    spec = langid.Spec(max_docs=40)
+    docs = table(spark, sf, "documents").filter("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2")
+    models, names = langid.fit(table(spark, sf, "documents"), spec), None
+    held = []
+    by_lang = {}
+    for r in docs.select("doc_id", "lang", "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("o")).collect():
+        by_lang.setdefault(r.lang, []).append(r)
+    names = sorted(models.orders)
+    for lang, rows in by_lang.items():
+        chosen = sorted(rows, key=lambda r: (r.o, r.doc_id))[: spec.max_docs]
+        held += [(lang, langid.normal(r.text)) for k, r in enumerate(chosen, 1) if k % 5 == 0]
+    held = [(lang, p) for lang, p in held if len(p)]
+    entropy = langid.Scorer(models).entropies([p for _, p in held])
+
+    def loss(t):
+        total = 0.0
+        for (lang, p), e in zip(held, entropy, strict=True):
+            odds = [math.exp(-t * math.sqrt(len(p)) * (x - min(e))) for x in e]
+            total -= math.log(max(odds[names.index(lang)] / sum(odds), 1e-12))
+        return total / len(held)
+
+    grid = [2.0**k for k in range(-6, 8)]
+    assert loss(models.sharpness) <= min(map(loss, grid)) + 1e-9 and models.sharpness in grid
+    for k, lang in enumerate(names):
+        own = sorted(float(e[k]) for (of, _), e in zip(held, entropy, strict=True) if of == lang)
+        at = 0.99 * (len(own) - 1)
+        quantile = own[int(at)] + (at - int(at)) * (own[min(int(at) + 1, len(own) - 1)] - own[int(at)])
+        mean = sum(own) / len(own)
+        assert models.limits[lang] == pytest.approx(quantile + 3 * math.sqrt(sum((v - mean) ** 2 for v in own) / len(own)), rel=1e-6)
+
+
 # 12: personal data
 
 
@@ -275,3 +321,13 @@ def test_queries_share_sums(spark, sf):
     assert graph.additions() < alone.additions()
     leaves = np.random.default_rng(0).integers(0, 1000, (len(graph.terms), 7))
     assert (ranking.accumulate(graph, graph.levels(), leaves) == ranking.accumulate(alone, [], leaves)).all()
+
+
+# 4: weights
+
+
+def test_weights_of_a_source_add_up(spark):
+    docs = spark.createDataFrame([(k, "a" if k < 6 else "b") for k in range(10)], "doc_id long, source string")
+    w = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 1.0)], "source string, weight double")
+    got = {r.source: r.rate for r in mixing.repetition_rates(docs, "source", w).collect()}
+    assert got == pytest.approx({"a": 7.5 / 6, "b": 2.5 / 4})
