@@ -77,18 +77,15 @@ def member_advanced(members: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def group_advanced(groups: DataFrame, prefix: str = "opp_") -> DataFrame:
-    """Shooting, rates and shares of the event's totals for every group row with each opponent.
-
-    A missing opponent has id -1 and statistics of 0."""
-    keys = ["season", "event_id", "season_type"]
-    j = joins.opponent_join(groups, keys, "group_id", advanced.SHARES, prefix)
-    c = F.col
-    return j.select(
-        "group_id", *keys, F.coalesce(c(f"{prefix}group_id"), F.lit(-1)).alias("opponent_id"),
-        advanced.true_shooting(c("pts"), c("fga"), c("fta")).alias("true_shooting"),
-        advanced.effective_fg(c("fgm"), c("fg3m"), c("fga")).alias("effective_fg"),
-        *advanced.group_rates(), *advanced.game_shares("", prefix, "game_share"),
-    )
+    """Shooting, rates and shares of the event's totals for every group row with each opponent: an event of k
+    sides has k (k - 1) rows, two for the usual two. What tells of the group alone is computed once a row,
+    before the join. A missing opponent has id -1 and statistics of 0."""
+    keys, c = ["season", "event_id", "season_type"], F.col
+    own = [advanced.true_shooting(c("pts"), c("fga"), c("fta")).alias("true_shooting"), advanced.effective_fg(c("fgm"), c("fg3m"), c("fga")).alias("effective_fg"), *advanced.group_rates()]
+    rated = groups.select("group_id", *keys, *advanced.SHARES, *own)
+    j = joins.opponent_join(rated, keys, "group_id", advanced.SHARES, prefix)
+    ready = ["true_shooting", "effective_fg", "three_point_rate", "turnover_pct", "offensive_rating", "free_throw_rate"]
+    return j.select("group_id", *keys, F.coalesce(c(f"{prefix}group_id"), F.lit(-1)).alias("opponent_id"), *ready, *advanced.game_shares("", prefix, "game_share"))
 
 
 def split_star(df: DataFrame, dims: dict[str, Sequence[str]], fact: Sequence[str]) -> dict[str, DataFrame]:
