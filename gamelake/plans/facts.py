@@ -187,7 +187,7 @@ def fact_group(spark: S, sf: str) -> DataFrame:
     b = written(box(spark, sf).select("group_id", "season", "season_type", "event_id", "event_date", "status", "outcome", *STATS), "box")
     events = b.select("event_id").distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
     cuts = scans.cut_points(b, "event_date")
-    return star.fact_group(group_events(b), _group_versions(b, cuts), star.dim_period(b), events, cuts)
+    return star.fact_group(group_events(b), written(_group_versions(b, cuts), "versions"), star.dim_period(b), events, cuts)
 
 
 _NATIONS = """nation_events AS (SELECT sn.n_name AS nation, CAST(o_orderdate AS DATE) AS event_date, l_orderkey AS event_id, min(l_linestatus) AS status
