@@ -9,10 +9,13 @@ segments; rows that share a value of the leading column stay together.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gamelake.sources.tables import written
 
@@ -116,6 +119,65 @@ def last_before(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return local.join(carried.filter(F.col("_carried").isNotNull()), ["_key", "_seg"], "left").withColumn(name, F.coalesce(name, "_carried")).drop("_key", "_seg", "_carried")
 
 
+#: Values whose averages one product with a triangular matrix gives.
+_BLOCK = 64
+
+
+def folded(x: np.ndarray, alpha: float, before: float) -> np.ndarray:
+    """s[i] = alpha x[i] + (1 - alpha) s[i - 1], with s[-1] = before: blocks by a triangular matrix, then from block
+    to block."""
+    keep, n = 1.0 - alpha, len(x)
+    steps = np.arange(_BLOCK)
+    weights = np.where(steps[:, None] >= steps, alpha * keep ** np.maximum(steps[:, None] - steps, 0), 0.0)
+    out = np.append(x, np.zeros(-n % _BLOCK)).reshape(-1, _BLOCK) @ weights.T
+    fade = keep ** (steps + 1.0)
+    for row in out:
+        row += fade * before
+        before = row[-1]
+    return out.ravel()[:n]
+
+
+def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, col: str, span: int = 3, digits: int = 6, parts: int | None = None) -> DataFrame:
+    """df with the exponential moving average of each row, s = a x + (1 - a) s' with a = 2 / (span + 1), from the
+    key's first value on; null values leave it as it is. One pass whatever the span: rows go by in order, a
+    batch at a time, each segment from zero on; what came before a segment is added to its rows by the
+    weight that is left of it. (``windows.ema`` looks back some 22 times its span at every row.)"""
+    alpha, name = 2.0 / (span + 1), f"{col}_ema{span}"
+    cut, w = segmented(df, keys, by, cut_points(df, by, parts)), _local().orderBy(*order)
+    value = F.col(col).cast("double")
+    marked = cut.withColumns({"_x": F.when(~F.isnan(value), value), "_opens": F.row_number().over(w) == 1, "_ends": F.lead(F.lit(1)).over(w).isNull()})
+    schema = T.StructType([*marked.schema.fields, T.StructField("_own", T.DoubleType()), T.StructField("_many", T.LongType())])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, many = 0.0, 0
+        for batch in batches:
+            x = batch.column(batch.schema.get_field_index("_x")).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(batch.column(batch.schema.get_field_index("_opens")).to_numpy(zero_copy_only=False))
+            own, count = np.empty(len(x)), np.empty(len(x), np.int64)
+            for a, z in zip(np.append(0, edges), np.append(edges, len(x)), strict=True):
+                if a in edges:
+                    last, many = 0.0, 0
+                there = ~np.isnan(x[a:z])
+                count[a:z] = many + np.cumsum(there)
+                got = np.append(last, folded(x[a:z][there], alpha, last))
+                own[a:z] = got[np.cumsum(there)]
+                if z > a:
+                    last, many = got[-1], int(count[z - 1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own), pa.array(count)], [*batch.schema.names, "_own", "_many"])
+
+    done = marked.mapInArrow(fold, schema)
+    first = cut.select("_key", "_seg", F.struct(*order, F.when(~F.isnan(value), value).alias("_x")).alias("_r")).filter(F.col("_r._x").isNotNull()).groupBy("_key", "_seg").agg(F.min("_r")["_x"].alias("_first"))
+    ends = done.filter("_ends").select("_key", "_seg", "_own", "_many").join(first, ["_key", "_seg"], "left")
+    earlier = F.collect_list(F.struct("_own", "_many")).over(_across().rowsBetween(Window.unboundedPreceding, -1))
+    opening = F.first("_first", ignorenulls=True).over(_across().rowsBetween(Window.unboundedPreceding, 0))
+    state = ends.select("_key", "_seg", earlier.alias("_earlier"), opening.alias("_opening"))
+    left = lambda n: F.pow(F.lit(1.0 - alpha), n.cast("double"))
+    carried = state.select("_key", "_seg", F.aggregate("_earlier", F.col("_opening"), lambda s, e: e["_own"] + left(e["_many"]) * s).alias("_carried"), F.aggregate("_earlier", F.lit(0).cast("long"), lambda s, e: s + e["_many"]).alias("_before"))
+    out = done.join(carried, ["_key", "_seg"])
+    total = F.round(F.col("_own") + left(F.col("_many")) * F.col("_carried"), digits)
+    return out.withColumn(name, F.when(F.col("_many") + F.col("_before") > 0, total)).drop("_key", "_seg", "_x", "_opens", "_ends", "_own", "_many", "_carried", "_before")
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], col: str, probabilities: Sequence[float], parts: int | None = None) -> DataFrame:
     """keys and ``q`` (array of double): exact quantiles with linear interpolation of each key's values, nulls left
     out; nulls for keys without values. Equal values are counted first and the counts written; ranks come

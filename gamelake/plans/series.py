@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.operators import features, windows
+from gamelake.operators import features, scans, windows
 from gamelake.operators import ml as M
-from gamelake.plans.base import WITH, box, query
+from gamelake.plans.base import WITH, box, query, written
 
 S = SparkSession
 KEY, ORDER = ["member_id"], ["event_date", "event_id"]
@@ -48,6 +48,15 @@ def ema_3(spark: S, sf: str) -> DataFrame:
     return windows.ema(_b(spark, sf, "pts"), KEY, ORDER, "pts", 3)
 
 
+@query(
+    f"""WITH RECURSIVE {WITH[5:]}, o AS (SELECT {_ID}, CAST(pts AS DOUBLE) AS x, pts, row_number() OVER ({_W}) AS n FROM box),
+e AS (SELECT member_id, n, x AS s FROM o WHERE n = 1 UNION ALL SELECT o.member_id, o.n, (99.0 / 101) * e.s + (2.0 / 101) * o.x FROM e JOIN o ON o.member_id = e.member_id AND o.n = e.n + 1)
+SELECT o.member_id, o.event_date, o.event_id, o.pts, round(e.s, 6) AS pts_ema100 FROM o JOIN e ON e.member_id = o.member_id AND e.n = o.n"""
+)
+def ema_100(spark: S, sf: str) -> DataFrame:
+    return scans.ema(written(_b(spark, sf, "pts"), "points"), KEY, ORDER, "event_date", "pts", 100)
+
+
 @query(
     f"""{WITH}, m AS (SELECT member_id, CASE WHEN outcome = 'R' THEN 1 ELSE 0 END AS hit, sum(CASE WHEN outcome = 'R' THEN 0 ELSE 1 END) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS breaks FROM box)
 SELECT member_id, CAST(max(run) AS BIGINT) AS longest_streak FROM (SELECT member_id, breaks, sum(hit) AS run FROM m GROUP BY ALL) GROUP BY member_id"""

@@ -65,6 +65,20 @@ def test_asof_join_of_segments(hot, spark):
         assert got.filter("k IS NULL OR day IS NULL").filter("version_key IS NOT NULL").count() == 0
 
 
+def test_ema_of_segments_equals_recursion(spark, hot):
+    df = hot.withColumn("v", F.when((F.col("id") % 11 != 0) & (F.col("day") > F.lit("2024-02-10").cast("date")), F.col("v")))
+    for span, parts in ((3, 16), (100, 16), (100, 1)):
+        got = {r.id: r[f"v_ema{span}"] for r in scans.ema(df, ["k"], ["day", "id"], "day", "v", span, 9, parts).collect()}
+        alpha, state = 2 / (span + 1), {}
+        for r in sorted(df.collect(), key=lambda r: (r.day, r.id)):
+            s = state.get(r.k)
+            if r.v is not None:
+                s = state[r.k] = r.v if s is None else alpha * r.v + (1 - alpha) * s
+            assert (got[r.id] is None) == (s is None) or got[r.id] == pytest.approx(s, abs=1e-6), r
+            assert s is None or got[r.id] == pytest.approx(s, abs=1e-7)
+    assert scans.ema(df.filter("false"), ["k"], ["day", "id"], "day", "v").count() == 0
+
+
 def test_quantiles_equal_percentile(hot):
     probabilities = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
     with_null = hot.withColumn("v", F.when(F.coalesce(F.col("k"), F.lit(0)) != 3, F.col("v")))  # key 3 has no value
