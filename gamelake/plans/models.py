@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.operators import features, scd, spectra, vectors, windows
+from gamelake.functions import scalars
+from gamelake.operators import features, project, scd, spectra, vectors, windows
 from gamelake.operators import ml as M
 from gamelake.plans.base import WITH, box, query, scratch, table, written
 
@@ -182,3 +183,42 @@ def compare_models(spark: S, sf: str) -> DataFrame:
 @query()
 def stack_models(spark: S, sf: str) -> DataFrame:
     return M.stack_models(_members(spark, sf), "pts", COLS[:4], "member_id")
+
+
+_MEMBER_SQL = f"{WITH}, m AS (SELECT member_id, {', '.join(f'avg({c}) AS {c}' for c in COLS)}, avg(pts) AS pts, max(event_date) AS event_date FROM box GROUP BY member_id)"
+
+
+@query(f"{_MEMBER_SQL} SELECT member_id, {', '.join(f'round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 4) + 0.0 AS {c}' for c in COLS)} FROM m")
+def standardised_features(spark: S, sf: str) -> DataFrame:
+    """Assembled columns with mean 0 and deviation 1."""
+    from pyspark.ml.functions import vector_to_array
+
+    m = written(_members(spark, sf), "members")
+    x = M.feature_pipeline(COLS).fit(m).transform(m).select("member_id", vector_to_array("features").alias("x"))
+    return x.select("member_id", *((F.round(F.col("x")[i], 4) + 0.0).alias(c) for i, c in enumerate(COLS)))
+
+
+@query(
+    f"""{_MEMBER_SQL} SELECT member_id, event_date, pts / 60 AS score, CASE WHEN pts / 60 >= 0.5 THEN 'win' ELSE 'loss' END AS predicted_label, 'classification' AS prediction_type,
+  CASE WHEN event_date > DATE '2001-07-01' THEN 'future' ELSE 'historical' END AS kept_in FROM m"""
+)
+def labelled_scores(spark: S, sf: str) -> DataFrame:
+    """Scores over a threshold as label texts, stored by time and read back."""
+    m = written(_members(spark, sf), "members").withColumn("score", F.col("pts") / 60)
+    told = m.select("member_id", "event_date", "score", scalars.decode_prediction(F.col("score"), 0.5, ("loss", "win")).alias("predicted_label"), F.lit("classification").alias("prediction_type"))
+    past, future = M.split_by_time(told, "event_date", "2001-07-01", scratch(spark, "labels"))
+    return past.withColumn("kept_in", F.lit("historical")).unionByName(future.withColumn("kept_in", F.lit("future")))
+
+
+@query(f"{_MEMBER_SQL} SELECT CASE WHEN event_date < DATE '2001-07-01' THEN 'train' ELSE 'test' END AS side, count(*) AS n, min(event_date) AS earliest, max(event_date) AS latest FROM m GROUP BY ALL")
+def sides_of_a_split(spark: S, sf: str) -> DataFrame:
+    train, test = M.time_split(written(_members(spark, sf), "members"), "event_date", "2001-07-01")
+    side = lambda df, name: df.agg(F.count("*").alias("n"), F.min("event_date").alias("earliest"), F.max("event_date").alias("latest")).select(F.lit(name).alias("side"), "*")
+    return side(train, "train").unionByName(side(test, "test"))
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer")
+def numeric_columns(spark: S, sf: str) -> DataFrame:
+    """The number columns of a table, by its schema, but for one."""
+    c = table(spark, sf, "customer")
+    return c.select(*project.numeric_cols(c, ["c_nationkey"]))
