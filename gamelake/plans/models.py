@@ -222,3 +222,43 @@ def numeric_columns(spark: S, sf: str) -> DataFrame:
     """The number columns of a table, by its schema, but for one."""
     c = table(spark, sf, "customer")
     return c.select(*project.numeric_cols(c, ["c_nationkey"]))
+
+
+_PAIRS = "list_transform(range(1, len({0}) // 2 + 1), lambda i: ({0}[2 * i - 1] {1} {0}[2 * i]) / sqrt(2.0))"
+_EVEN = "CASE WHEN len({0}) % 2 = 1 THEN list_append({0}, {0}[len({0})]) ELSE {0} END"
+_TRANSFORM = "list_transform(range(0, len(x) // 2 + 1), lambda k: sqrt(list_sum(list_transform(range(0, len(x)), lambda j: x[j + 1] * cos(2 * pi() * ((j * k) % len(x)) / len(x)))) ** 2 + list_sum(list_transform(range(0, len(x)), lambda j: x[j + 1] * sin(2 * pi() * ((j * k) % len(x)) / len(x)))) ** 2))"
+_LARGEST = "list_concat(list_reverse_sort(list_transform({0}, lambda c: abs(c))), [0.0, 0.0, 0.0])"
+
+
+def _waves(series: str) -> str:
+    """Common tables from ``series`` (v: values in order, x: what is transformed): m1, d1, m2, d2, f."""
+    return (
+        f"{series}, e1 AS (SELECT *, {_EVEN.format('v')} AS w FROM series), l1 AS (SELECT *, {_PAIRS.format('w', '+')} AS m1, {_PAIRS.format('w', '-')} AS d1 FROM e1), "
+        f"e2 AS (SELECT *, {_EVEN.format('m1')} AS u FROM l1), l2 AS (SELECT *, {_PAIRS.format('u', '+')} AS m2, {_PAIRS.format('u', '-')} AS d2, {_TRANSFORM} AS f FROM e2)"
+    )
+
+
+@query(
+    f"""{WITH}, {_waves("series AS (SELECT member_id, list(CAST(pts AS DOUBLE) ORDER BY event_date, event_id) AS v, list(CAST(pts AS DOUBLE) ORDER BY event_date, event_id) AS x FROM box GROUP BY member_id)")},
+t AS (SELECT *, {_LARGEST.format('f')} AS tf, {_LARGEST.format('d2')} AS t2, {_LARGEST.format('list_concat(m2, d2, d1)')} AS tw FROM l2)
+SELECT member_id, len(v) AS n, round(list_reduce(v, lambda a, b: 0.5 * a + 0.5 * b), 4) AS ema,
+  {', '.join(f'round(tf[{k}], 3) AS fourier{k}, round(t2[{k}], 4) AS haar{k}, round(tw[{k}], 4) AS wave{k}' for k in (1, 2, 3))} FROM t"""
+)
+def series_spectra(spark: S, sf: str) -> DataFrame:
+    """Whole-series features of the members' points, in columns."""
+    got = spectra.spectral_features(box(spark, sf), "member_id", ["event_date", "event_id"], ["pts"])
+    return got.select("member_id", "n", F.round("ema", 4).alias("ema"), *(F.round(F.col(c)[k - 1], d).alias(f"{n}{k}") for k in (1, 2, 3) for c, n, d in (("fourier", "fourier", 3), ("haar2", "haar", 4), ("wave", "wave", 4))))
+
+
+@query(
+    f"""{WITH}, last7 AS (SELECT member_id, event_date, event_id, list(CAST(pts AS DOUBLE)) OVER (PARTITION BY member_id ORDER BY event_date, event_id ROWS 6 PRECEDING) AS v FROM box),
+{_waves("series AS (SELECT *, list_transform(v, lambda c: c - list_avg(v)) AS x FROM last7)")},
+t AS (SELECT *, {_LARGEST.format('f')} AS tf, CASE WHEN len(v) > 2 THEN list_avg(d2) ELSE 0.0 END AS a2 FROM l2)
+SELECT member_id, event_id, CASE WHEN len(v) < 2 THEN 0.0 ELSE round(list_avg(d1), 4) END + 0.0 AS detail1, CASE WHEN len(v) < 2 THEN 0.0 ELSE round(a2, 4) END + 0.0 AS detail2,
+  CASE WHEN len(v) < 2 THEN 0.0 ELSE round(tf[1], 4) END AS fourier1, CASE WHEN len(v) < 2 THEN 0.0 ELSE round(tf[2], 4) END AS fourier2 FROM t"""
+)
+def trailing_waves(spark: S, sf: str) -> DataFrame:
+    """Haar details and Fourier magnitudes of each row's last seven values, in columns."""
+    b = box(spark, sf).select("member_id", "event_date", "event_id", "pts")
+    got = features.wave_features(b, ["member_id"], ["event_date", "event_id"], "pts")
+    return got.select("member_id", "event_id", *((F.round(F.col("pts_wave")[k], 4) + 0.0).alias(n) for k, n in enumerate(("detail1", "detail2", "fourier1", "fourier2"))))
