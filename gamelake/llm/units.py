@@ -13,7 +13,6 @@ up. Units are ranked by id (null first), text hash and offset; the first of equa
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator, Sequence
 from operator import eq
 
@@ -102,6 +101,7 @@ class Passages:
         joined = np.frombuffer(" ".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         size = np.fromiter(map(len, words), np.int64, len(words))
         at = np.cumsum(size + 1) - size - 1
+        self.word_hashes = _of_stretches(joined, at, at + size)
         first, last = joined[at].astype(np.int64), joined[at + size - 1].astype(np.int64)
         pair = 17 * first[:-1] + 101 * last[:-1] + 43 * size[:-1] + 61 * first[1:] + 31 * last[1:] + 7 * size[1:]
         opens = np.ones(len(words), bool)
@@ -117,21 +117,27 @@ class Passages:
         self.runs = np.unique(np.stack([np.append(since[inside], back[whole]), np.append(to[inside], till[whole])], 1), axis=0)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each run's words. It depends on Python's hash of a string, which Spark makes
-        the same in all Python workers; runs that it takes for equal are compared by their digests."""
-        if os.environ.get("PYTHONHASHSEED", "random") == "random":
-            raise RuntimeError("PYTHONHASHSEED must be set to the same number on all executors")
-        n = len(self.words)
-        power, inverse = (np.cumprod(np.append(np.uint64(1), np.full(n, b, np.uint64)), dtype=np.uint64) for b in (RADIX, np.uint64(pow(int(RADIX), -1, 1 << 64))))
-        sums = np.append(np.uint64(0), np.cumsum(np.fromiter(map(hash, self.words), np.int64, n).view(np.uint64) * power[:n], dtype=np.uint64))
-        a, z = self.runs.T
-        return (((sums[z] - sums[a]) * inverse[a]) * RADIX).view(np.int64)
+        """A 64-bit hash of each run's words, the same on every machine; runs that it takes for equal are
+        compared by their digests."""
+        return _of_stretches(self.word_hashes, *self.runs.T).view(np.int64)
 
     def digest(self, run: int) -> bytes:
         a, z = self.runs[run].tolist()
         return hashlib.md5(" ".join(self.words[a:z]).encode("utf-8", "surrogatepass")).digest()
 
 
+def _of_stretches(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash (uint64) of each stretch of values: sums of values times powers of an odd number, shifted to the
+    stretch's start by the inverse power, then mixed so that all bits depend on all values."""
+    n = len(values)
+    power, inverse = (np.cumprod(np.append(np.uint64(1), np.full(n, b, np.uint64)), dtype=np.uint64) for b in (RADIX, np.uint64(pow(int(RADIX), -1, 1 << 64))))
+    sums = np.append(np.uint64(0), np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64))
+    h = (sums[ends] - sums[starts]) * inverse[starts]
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xC2B2AE3D27D4EB4F)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(32))
+
+
 def _together(texts: list) -> Iterator[list[int]]:
     """Places of texts of about TOGETHER characters in all; null and empty ones are left out."""
     part, size = [], 0
