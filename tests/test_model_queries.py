@@ -131,7 +131,8 @@ def test_fitted_queries_agree_with_the_data(spark, sf, members):
     assert set(weights) == set(models.COLS) and abs(sum(weights.values()) - 1) < 1e-9 and max(weights, key=weights.get) in ("fga", "fgm")
     future = registry.QUERIES["fit_regressors"](spark, sf).collect()
     dates = dict(zip(m.member_id, m.event_date, strict=True))
-    assert all((r.future_date - dates[r.member_id]).days == 30 for r in future)
+    assert {(r.member_id, r.days) for r in future} == {(k, d) for k in y for d in (30, 20, 10)} and len(future) == 3 * len(y)
+    assert all((r.future_date - dates[r.member_id]).days == r.days for r in future)
     assert np.mean([(r.predicted_pts - y[r.member_id]) ** 2 for r in future]) < 0.3 * np.var(list(y.values()))
     (line,) = registry.QUERIES["fit_linear"](spark, sf).collect()
     assert line.r2 > 0.5 and line.mae <= line.rmse
