@@ -150,14 +150,14 @@ def fit_regressors(spark: S, sf: str) -> DataFrame:
 
 @query()
 def fit_categories(spark: S, sf: str) -> DataFrame:
-    """Lines' cents by linear regression and by boosted trees, from numbers and categories of which a chi-square
-    test against dear lines keeps eight."""
-    b = box(spark, sf).select("cents", (F.col("fga") / 10).cast("int").alias("tens"), "line_no", "disc", "season_type", "status", (F.col("cents") > 3_000_000).cast("int").alias("dear"), "event_date")
+    """Members' points by linear regression and by boosted trees, from numbers and categories of which a chi-square
+    test against high points keeps eight."""
+    b = box(spark, sf).select("pts", (F.col("fga") / 10).cast("int").alias("tens"), "line_no", "disc", "season_type", "status", (F.col("pts") > 30).cast("int").alias("high"), "event_date")
     train, test = M.time_split(written(b, "lines"), "event_date", "1997-01-01")
     out = None
     for kind in ("linear", "gbt"):
-        model = M.fit_regression(train, "cents", ["tens", "line_no", "disc"], ["season_type", "status"], kind, 2, 1, 8, "dear")
-        one = M.regression_metrics(model.transform(test), "cents", "prediction", 4).select(F.lit(kind).alias("kind"), "*")
+        model = M.fit_regression(train, "pts", ["tens", "line_no", "disc"], ["season_type", "status"], kind, 2, 1, 8, "high")
+        one = M.regression_metrics(model.transform(test), "pts", "prediction", 4).select(F.lit(kind).alias("kind"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 

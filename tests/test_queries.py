@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, sf, con, name):
 
 
 #: Run and held against numpy or a definition in test_model_queries.py and test_vectors.py.
-ELSEWHERE = set("compare_models embed_text embed_text_svd feature_importance fit_classifier fit_classifier_shuffled fit_linear fit_regressors gmm_assign kmeans_assign spectral_features stack_models wave_features".split())
+ELSEWHERE = set("compare_models embed_text embed_text_svd feature_importance fit_categories fit_classifier fit_classifier_shuffled fit_linear fit_regressors gmm_assign kmeans_assign spectral_features stack_models wave_features".split())
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL) - ELSEWHERE))

@@ -91,3 +91,8 @@ def test_categories_help(spark, kind):
     df = spark.createDataFrame([(int(a), "xyz"[c], float(3 * a + 10 * c), int(c == 2)) for a, c in zip(rng.integers(0, 3, 300), rng.integers(0, 3, 300), strict=True)], "a int, c string, y double, top int")
     model = M.fit_regression(df, "y", ["a"], ["c"], kind, 2, 1, 3, "top")
     assert M.regression_metrics(model.transform(df), "y", "prediction").first().r2 > 0.7
+
+
+def test_categories_query(spark, sf):
+    rows = {r.kind: r for r in registry.QUERIES["fit_categories"](spark, sf).collect()}
+    assert set(rows) == {"linear", "gbt"} and all(r.r2 > 0.8 and r.mae <= r.rmse for r in rows.values())
