@@ -175,12 +175,27 @@ WITH lines AS (
   SELECT *, coalesce(sum(CAST(is_end AS INT)) OVER (PARTITION BY s, doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends
 ), chunks AS (
   SELECT doc_id, s, chunk, string_agg(line, chr(10) ORDER BY i) AS body, min(i) AS a, max(i) AS z FROM numbered GROUP BY ALL
+), around AS (
+  SELECT *, coalesce(greatest(0, lag(a) OVER c - 2), a) AS low, coalesce(lead(z) OVER c, z) AS high FROM chunks WINDOW c AS (PARTITION BY doc_id, s ORDER BY chunk)
 ), units AS (
-  SELECT DISTINCT doc_id, a, z, body FROM chunks WHERE z > a AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) <> ''
+  SELECT doc_id, a, z, body, min(low) AS low, max(high) AS high FROM around WHERE z > a AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY ALL
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, a) AS n FROM units
-), gone_line AS (
+  SELECT *, row_number() OVER f AS n, first_value(doc_id) OVER f AS k_doc, first_value(a) OVER f AS k_a, first_value(z) OVER f AS k_z, first_value(low) OVER f AS k_low, first_value(high) OVER f AS k_high
+  FROM units WINDOW f AS (PARTITION BY body ORDER BY doc_id, a)
+), found_line AS (
   SELECT DISTINCT doc_id, CAST(unnest(range(a, z + 1)) AS INT) AS i FROM ranked WHERE n > 1
+), sides AS (
+  SELECT doc_id, a AS edge, k_doc, k_a AS k_edge, -1 AS way, least(a - low, k_a - k_low) AS far FROM ranked WHERE n > 1
+  UNION SELECT doc_id, z, k_doc, k_z, 1, least(high - z, k_high - k_z) FROM ranked WHERE n > 1
+), steps AS (
+  SELECT s.*, unnest(range(1, far + 1)) AS j FROM sides s LEFT JOIN found_line g ON g.doc_id = s.doc_id AND g.i = s.edge + s.way WHERE g.doc_id IS NULL
+), same AS (
+  SELECT s.*, p.line, bool_and(p.line = q.line) OVER (PARTITION BY s.doc_id, edge, k_doc, k_edge, way, far ORDER BY j) AS alike
+  FROM steps s JOIN place p ON p.doc_id = s.doc_id AND p.i = edge + way * j JOIN place q ON q.doc_id = k_doc AND q.i = k_edge + way * j
+), longer AS (
+  SELECT doc_id, edge, way, max(j) AS m FROM same WHERE alike AND trim(line, ' ' || chr(9) || chr(13)) <> '' GROUP BY ALL
+), gone_line AS (
+  SELECT doc_id, i FROM found_line UNION SELECT doc_id, CAST(edge + way * unnest(range(1, m + 1)) AS INT) FROM longer
 ), kept AS (
   SELECT p.doc_id, string_agg(line, chr(10) ORDER BY p.i) AS text FROM place p LEFT JOIN gone_line g ON g.doc_id = p.doc_id AND g.i = p.i WHERE g.doc_id IS NULL GROUP BY p.doc_id
 ), island AS (

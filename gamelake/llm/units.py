@@ -26,6 +26,8 @@ from gamelake.llm.common import bounded_batches, fresh, materialise
 
 SPANS = "array<struct<start_char:int,end_char:int>>"
 UNIT = "doc_id long, text_hash long, unit int, start_char int, end_char int, n_lines int, n_words int, digest binary"
+#: Where the lines around a chunk begin and end that it may be extended by.
+AROUND = ("from_char", "to_char")
 #: Least words of a line, and of a run of pieces: a passage of over 50 words holds at least one such
 #: run, while common turns of phrase are shorter.
 MIN_WORDS, PASSAGE_WORDS = 25, 20
@@ -40,26 +42,26 @@ SEEDS = (1, 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
-def _rows(found: list[tuple], ids: pa.Array, hashes: pa.Array) -> pa.RecordBatch:
-    """found: (row of the batch, unit, start, end, lines, words, digest)."""
+def _rows(found: list[tuple], ids: pa.Array, hashes: pa.Array, more: Sequence[str] = ()) -> pa.RecordBatch:
+    """found: (row of the batch, unit, start, end, lines, words, digest, and the numbers named in more)."""
     at = pa.array([x[0] for x in found], pa.int32())
-    kinds = (pa.int32(),) * 5 + (pa.binary(),)
+    kinds = (pa.int32(),) * 5 + (pa.binary(),) + (pa.int32(),) * len(more)
     return pa.RecordBatch.from_arrays(
         [ids.take(at), hashes.take(at), *(pa.array([x[k + 1] for x in found], t) for k, t in enumerate(kinds))],
-        ["doc_id", "text_hash", "unit", "start_char", "end_char", "n_lines", "n_words", "digest"],
+        ["doc_id", "text_hash", "unit", "start_char", "end_char", "n_lines", "n_words", "digest", *more],
     )
 
 
-def _cut(docs: DataFrame, units_of) -> DataFrame:
-    """units_of: text -> iterator of (unit, start, end, lines, words, digest)."""
+def _cut(docs: DataFrame, units_of, more: Sequence[str] = ()) -> DataFrame:
+    """units_of: text -> iterator of (unit, start, end, lines, words, digest, and the numbers named in more)."""
     bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(i, *u) for i, t in enumerate(batch.column("text").to_pylist()) if t for u in units_of(t)]
-            yield _rows(found, batch.column("doc_id"), batch.column("text_hash"))
+            yield _rows(found, batch.column("doc_id"), batch.column("text_hash"), more)
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(cut, UNIT)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(cut, ", ".join([UNIT, *(f"{c} int" for c in more)]))
 
 
 def line_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -202,30 +204,36 @@ def chunk_units(docs: DataFrame, seeds: Sequence[int] = SEEDS) -> DataFrame:
     """One row for each content-defined chunk of at least two lines, not all of them blank, with the
     MD5 of its bytes; chunk offsets leave out the line break after the last line. Each seed cuts the
     lines in another way, so that a short passage, too, likely holds a whole chunk of some; what several
-    seeds cut is one unit."""
+    seeds cut is one unit. from_char and to_char bound the lines by which a match may be extended: those of
+    the chunk before and two more, and those of the chunk after (of several seeds, the farthest)."""
 
     def chunks(text: str) -> Iterator[tuple]:
         lines = text.split("\n")
         if len(lines) < 2:
             return
         hashes = np.array([int.from_bytes(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()[:4]) for x in lines], np.uint32)
-        starts, found = np.cumsum([0, *(len(x) + 1 for x in lines)]).tolist(), set()
+        starts, found = np.cumsum([0, *(len(x) + 1 for x in lines)]).tolist(), {}
         for seed in seeds:
-            ends = chunk_ends(hashes, seed)
-            found.update((a, z) for a, z in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True) if z > a)
-        for a, z in sorted(found):
+            ends = chunk_ends(hashes, seed).tolist()
+            firsts = [0, *(e + 1 for e in ends[:-1])]
+            for k, (a, z) in enumerate(zip(firsts, ends, strict=True)):
+                if z > a:
+                    low, high = found.get((a, z), (a, z))
+                    found[a, z] = min(low, max(0, firsts[k - 1] - 2) if k else a), max(high, ends[min(k + 1, len(ends) - 1)])
+        for (a, z), (low, high) in sorted(found.items()):
             body = text[starts[a] : starts[z + 1] - 1]
             if body.strip():
-                yield a, starts[a], starts[z + 1] - 1, z - a + 1, len(body.split()), hashlib.md5(body.encode("utf-8", "surrogatepass")).digest()
+                yield a, starts[a], starts[z + 1] - 1, z - a + 1, len(body.split()), hashlib.md5(body.encode("utf-8", "surrogatepass")).digest(), starts[low], starts[high + 1] - 1
 
-    return _cut(docs, chunks)
+    return _cut(docs, chunks, AROUND)
 
 
 def _repeats(units: DataFrame) -> DataFrame:
     """Every unit that is not the first of its digest, with the first one's place. The grouping is
     partly done before its shuffle, so that a common unit costs one row a task. Its result is written
     before the join: only the side with the units is skewed then, and adaptive execution can split it."""
-    place = F.struct(F.col("doc_id").alias("kept_doc_id"), F.col("text_hash").alias("kept_hash"), F.col("start_char").alias("kept_start_char"), F.col("end_char").alias("kept_end_char"))
+    names = {"doc_id": "kept_doc_id", "text_hash": "kept_hash", "start_char": "kept_start_char", "end_char": "kept_end_char", **{c: f"kept_{c}" for c in AROUND if c in units.columns}}
+    place = F.struct(*(F.col(c).alias(name) for c, name in names.items()))
     first = materialise(units.groupBy("digest").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").select("digest", "kept"), "first")
     return (
         units.join(first, "digest")
@@ -256,13 +264,17 @@ def repeated_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFr
     return _repeats(materialise(passage_units(docs, min_words), "units"))
 
 
-def united(spans: DataFrame) -> DataFrame:
-    """doc_id, text_hash, start_char, end_char: spans of a document that overlap or have one character between them as one."""
+def _runs(spans: DataFrame) -> DataFrame:
+    """spans with ``run``, the same for spans of a document that overlap or have one character between them."""
     at = Window.partitionBy("doc_id", "text_hash").orderBy("start_char", "end_char")
     reach = F.max("end_char").over(at.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce((F.col("start_char") > F.col("reach") + 1).cast("int"), F.lit(1))
-    marked = spans.select("doc_id", "text_hash", "start_char", "end_char").distinct().withColumn("reach", reach)
-    runs = marked.withColumn("run", F.sum(opens).over(at.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.withColumn("reach", reach).withColumn("run", F.sum(opens).over(at.rowsBetween(Window.unboundedPreceding, 0))).drop("reach")
+
+
+def united(spans: DataFrame) -> DataFrame:
+    """doc_id, text_hash, start_char, end_char: spans of a document that overlap or have one character between them as one."""
+    runs = _runs(spans.select("doc_id", "text_hash", "start_char", "end_char").distinct())
     return runs.groupBy("doc_id", "text_hash", "run").agg(F.min("start_char").alias("start_char"), F.max("end_char").alias("end_char")).drop("run")
 
 
@@ -316,7 +328,8 @@ def _without(text: Column, spans: Column) -> Column:
 
 def repeated_chunks(docs: DataFrame, seeds: Sequence[int] = SEEDS) -> DataFrame:
     """One row for each content-defined chunk of lines whose bytes equal those of an earlier ranked
-    one, in the columns of ``repeated_lines``. Chunks of several seeds overlap: ``united`` gives the
+    one, in the columns of ``repeated_lines`` and with from_char, to_char, kept_from_char and kept_to_char
+    (see ``chunk_units``). Chunks of several seeds overlap: ``united`` gives the
     lines that repeat, each of which has an equal one of a lower rank.
 
     Chunks with equal MD5 digests are looked up in their documents and compared byte by byte; those
@@ -345,9 +358,61 @@ def repeated_chunks(docs: DataFrame, seeds: Sequence[int] = SEEDS) -> DataFrame:
     return found.join(differ, found["doc_id"].eqNullSafe(differ["doc_id"]) & same, "left_anti")
 
 
+def _same_lines(own: Column, kept: Column, before: Column) -> Column:
+    """How many characters two texts have in common in whole lines, read from their ends where before
+    is true, else from their starts; lines of blanks at the far end don't count. Each line counts its break."""
+    a, b = (F.split(x, "\n") for x in (own, kept))
+    a, b = (F.when(before, F.reverse(x)).otherwise(x) for x in (a, b))
+    unlike = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+    shared = F.when(unlike > 0, F.slice(a, 1, (unlike - 1).cast("int"))).otherwise(a)
+    last = F.coalesce(F.array_max(F.transform(shared, lambda x, i: F.when(x.rlike("[^ \\t\\r]"), i + 1).otherwise(0))), F.lit(0))
+    return F.aggregate(F.slice(shared, 1, last), F.lit(0), lambda n, x: n + F.length(x) + 1)
+
+
+def extensions(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, text_hash, start_char, end_char: whole lines beside the chunks of ``repeated_chunks`` that
+    equal, byte by byte, the lines beside the kept chunk, as far as from_char and to_char of both reach.
+
+    A passage that two documents share holds, of each seed, the same chunks but for those that its first and last
+    lines are in; these lie in the chunks beside its outermost whole ones (and, at the front, in two more
+    lines), so that this much is looked at, at the ends of what repeats without a gap. Each such line, too, has an equal
+    one of a lower rank. Lines of blanks at the far end stay. found is a written table. Only documents with such an
+    end, or the kept place of one, move; a kept place is one row however many repeat it."""
+    ends = Window.partitionBy("doc_id", "text_hash", "run")
+    edges = _runs(found).withColumns({"low": F.min("start_char").over(ends), "high": F.max("end_char").over(ends)})
+    sides = F.array(
+        F.struct(F.lit(True).alias("before"), F.col("start_char").alias("edge"), F.col("from_char").alias("a"), (F.col("start_char") - 1).alias("z"), F.col("kept_from_char").alias("kept_a"), (F.col("kept_start_char") - 1).alias("kept_z"), (F.col("start_char") == F.col("low")).alias("open")),
+        F.struct(F.lit(False).alias("before"), F.col("end_char").alias("edge"), (F.col("end_char") + 1).alias("a"), F.col("to_char").alias("z"), (F.col("kept_end_char") + 1).alias("kept_a"), F.col("kept_to_char").alias("kept_z"), (F.col("end_char") == F.col("high")).alias("open")),
+    )
+    # a side of no line has z < a, as there is no line break
+    sided = edges.select("doc_id", "text_hash", "kept_doc_id", "kept_hash", F.explode(sides).alias("s")).select("doc_id", "text_hash", "kept_doc_id", "kept_hash", "s.*")
+    wide = materialise(sided.filter("open and z >= a and kept_z >= kept_a").drop("open").distinct(), "sides")
+    place = wide.select("doc_id", "text_hash", "a", "z").union(wide.select("kept_doc_id", "kept_hash", "kept_a", "kept_z"))
+    wanted = place.groupBy(F.col("doc_id").alias("in_doc"), F.col("text_hash").alias("in_hash")).agg(F.collect_set(F.struct("a", "z")).alias("places"))
+    near = docs.filter(sharing.may_hold(docs, sharing.bitmap(_documents_of(place)), _document(docs)))
+    own = near.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    parts = (
+        own.join(wanted.hint("merge"), own["doc_id"].eqNullSafe(wanted["in_doc"]) & (own["text_hash"] == wanted["in_hash"]))
+        .select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_hash"), "text", F.explode("places").alias("p"))
+        .select("of_doc", "of_hash", F.col("p.a").alias("of_a"), F.col("p.z").alias("of_z"), F.expr("substring(text, p.a + 1, p.z - p.a)").alias("part"))
+    )
+    parts = materialise(parts.dropDuplicates(["of_doc", "of_hash", "of_a", "of_z"]), "beside")
+
+    def with_part(df: DataFrame, doc: str, text: str, a: str, z: str, name: str) -> DataFrame:
+        same = df[doc].eqNullSafe(parts["of_doc"]) & (df[text] == parts["of_hash"]) & (df[a] == parts["of_a"]) & (df[z] == parts["of_z"])
+        return df.join(parts, same).select(*df.columns, F.col("part").alias(name))
+
+    both = with_part(with_part(wide, "doc_id", "text_hash", "a", "z", "own"), "kept_doc_id", "kept_hash", "kept_a", "kept_z", "kept")
+    n = both.withColumn("n", _same_lines(F.col("own"), F.col("kept"), F.col("before"))).filter("n > 0")
+    return n.select("doc_id", "text_hash", F.expr("if(before, edge - n, edge + 1)").alias("start_char"), F.expr("if(before, edge - 1, edge + n)").alias("end_char"))
+
+
 def drop_repeated_chunks(docs: DataFrame, offsets: str | None = "removed_spans") -> DataFrame:
-    """docs without the union of the chunks of ``repeated_chunks``; see ``remove_spans``, also for odd rows."""
-    return remove_spans(docs, materialise(united(repeated_chunks(docs)), "spans"), offsets)
+    """docs without the union of the chunks of ``repeated_chunks`` and their ``extensions``; see
+    ``remove_spans``, also for odd rows."""
+    found = materialise(repeated_chunks(docs), "found")
+    spans = found.select("doc_id", "text_hash", "start_char", "end_char").union(extensions(docs, found))
+    return remove_spans(docs, materialise(united(spans), "spans"), offsets)
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, offsets: str | None = "removed_spans") -> DataFrame:

@@ -235,24 +235,53 @@ def chunks_of(text, seeds=units.SEEDS):
     return out
 
 
+def around(text):
+    """(first, last) of a chunk -> the lines that an extension may reach, of all seeds."""
+    out = {}
+    for seed in units.SEEDS:
+        h = np.array([int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in text.split("\n")], np.uint32)
+        ends = units.chunk_ends(h, seed).tolist()
+        for k, z in enumerate(ends):
+            a = ends[k - 1] + 1 if k else 0
+            low = max(0, (ends[k - 2] + 1 if k > 1 else 0) - 2) if k else 0
+            out.setdefault((a, z), []).append((low, ends[k + 1] if k + 1 < len(ends) else z))
+    return {c: (min(x[0] for x in v), max(x[1] for x in v)) for c, v in out.items()}
+
+
 def without_repeats(docs):
     """docs: (doc_id, text) in order of rank -> texts."""
-    seen, out = set(), {}
+    seen, out, all_lines = {}, {}, {}
     for doc, text in docs:
         if text is None:
             out[doc] = None
             continue
-        gone = set()
+        found, gone, lines, reach = [], set(), text.split("\n"), None
+        all_lines[doc] = lines
         for (first, last), body in sorted(chunks_of(text).items()):
+            reach = reach or around(text)
             if body in seen:
                 gone.update(range(first, last + 1))
-            seen.add(body)
+                found.append((first, last, reach[first, last], seen[body]))
+            else:
+                seen[body] = doc, first, last, reach[first, last]
+        more = set()
+        for first, last, (low, high), (k_doc, k_first, k_last, (k_low, k_high)) in found:
+            for edge, k_edge, way, far in ((first, k_first, -1, min(first - low, k_first - k_low)), (last, k_last, 1, min(high - last, k_high - k_last))):
+                if edge + way not in gone:
+                    same = 0
+                    while same < far and lines[edge + way * (same + 1)] == all_lines[k_doc][k_edge + way * (same + 1)]:
+                        same += 1
+                    while same and not lines[edge + way * same].strip(" \t\r"):
+                        same -= 1
+                    more.update(edge + way * j for j in range(1, same + 1))
+        gone |= more
         out[doc] = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
     return out
 
 
 def test_short_passages_of_lines_are_caught(spark):
-    """Share of passages, in other surroundings, of which something is removed, by their lines."""
+    """Share of passages, in other surroundings, that are removed as a whole, by their lines; and no line
+    of the surroundings ever is."""
     rng = random.Random(3)
     line = lambda: f"line {rng.random()}"
     data, of = [], {}
@@ -260,12 +289,29 @@ def test_short_passages_of_lines_are_caught(spark):
         for _ in range(60):
             passage = [line() for _ in range(size)]
             for _ in range(2):
-                of[len(data)] = (size, least, len(data) % 2)
-                data.append((len(data), "\n".join([*(line() for _ in range(rng.randint(1, 8))), *passage, *(line() for _ in range(rng.randint(1, 8)))])))
-    found = {r.doc_id: len(r.removed_spans) for r in units.drop_repeated_chunks(spark.createDataFrame(data, "doc_id long, text string")).collect()}
-    assert not any(n for d, n in found.items() if of[d][2] == 0)
+                head, tail = [line() for _ in range(rng.randint(1, 8))], [line() for _ in range(rng.randint(1, 8))]
+                of[len(data)] = (size, len(data) % 2, "\n".join([*head, *tail]))
+                data.append((len(data), "\n".join([*head, *passage, *tail])))
+    whole, texts = Counter(), dict(data)
+    for r in units.drop_repeated_chunks(spark.createDataFrame(data, "doc_id long, text string")).collect():
+        size, second, bare = of[r.doc_id]
+        assert r.text == texts[r.doc_id] or (second and r.text == bare)
+        whole[size] += second and r.text == bare
     for size, least in ((3, 0.35), (5, 0.8), (8, 0.97)):
-        assert sum(n > 0 for d, n in found.items() if of[d][0] == size) >= least * 60
+        assert whole[size] >= least * 60, whole
+
+
+def test_matches_grow_by_equal_lines_only(spark):
+    """Lines of blanks at the far end and lines that differ in one byte stay; both ends of a text may be reached."""
+    rng = random.Random(11)
+    body = [f"line {rng.random()}" for _ in range(12)]
+    cases = {2: ["own", "", *body, "", "end"], 3: ["own", *body[:-1], body[-1] + "."], 4: body, 5: ["x", *body[:6], "other", *body[6:], "y"]}
+    data = [(1, "\n".join(["first", "", *body, "", "last"])), *((d, "\n".join(x)) for d, x in cases.items()), (6, None), (7, ""), (4, "\n".join(body))]
+    got = [(r.doc_id, r.text) for r in units.drop_repeated_chunks(spark.createDataFrame(data, "doc_id long, text string")).collect()]
+    assert got.count((4, "")) == 2 and (2, "own\n\n\nend") in got and (6, None) in got and (7, "") in got
+    assert (3, "own\n" + body[-1] + ".") in got
+    want = without_repeats(sorted(dict(data).items()))
+    assert dict(got) == want and got.count((1, data[0][1])) == 1
 
 
 def test_repeated_chunks(spark, sf, odd, empty):
@@ -294,7 +340,7 @@ def test_chunks_resist_shifts():
 def test_byte_comparison_keeps_chunks_that_only_hash_alike(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a\nb"), (2, "c\nd")], "doc_id long, text string")
     real = units._cut
-    monkeypatch.setattr(units, "_cut", lambda d, f: real(d, f).withColumn("digest", F.lit(b"same")))
+    monkeypatch.setattr(units, "_cut", lambda *a: real(*a).withColumn("digest", F.lit(b"same")))
     assert {r.text for r in units.drop_repeated_chunks(docs).collect()} == {"a\nb", "c\nd"}
 
 
