@@ -16,8 +16,9 @@ COLS = ["fga", "fgm", "fg3m", "reb", "ast", "tov"]
 
 
 def _members(spark: S, sf: str) -> DataFrame:
-    """One row of averages per member."""
-    return box(spark, sf).groupBy("member_id").agg(*(F.avg(c).alias(c) for c in COLS), F.avg("pts").alias("pts"), F.max("event_date").alias("event_date"), (F.avg((F.col("outcome") == "R").cast("int")) > 0.25).cast("int").alias("win"))
+    """One row of averages per member, written: models read it in every round, and its few files give few tasks."""
+    rows = box(spark, sf).groupBy("member_id").agg(*(F.avg(c).alias(c) for c in COLS), F.avg("pts").alias("pts"), F.max("event_date").alias("event_date"), (F.avg((F.col("outcome") == "R").cast("int")) > 0.25).cast("int").alias("win"))
+    return written(rows, "members")
 
 
 @query(f"{WITH}, r AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY md5(concat_ws('-', CAST(member_id AS VARCHAR), CAST(event_id AS VARCHAR), '42')), member_id, event_id) AS n FROM box) SELECT member_id, season, event_id, pts FROM r WHERE n <= 100")
@@ -117,7 +118,7 @@ def fit_classifier_shuffled(spark: S, sf: str) -> DataFrame:
 @query()
 def search_classifier(spark: S, sf: str) -> DataFrame:
     """Every setting of the search with its rung, fold scores and, for the winner, the hold-out's AUC."""
-    m = written(_members(spark, sf), "members")
+    m = _members(spark, sf)
     m = windows.time_holdout(m, "event_date", 0.1)
     train = windows.time_folds(m.filter("not is_holdout"), "event_date", 3)
     return M.halving_search(train, m.filter("is_holdout"), "win", COLS, "member_id", "fold", many=6)[1]
@@ -126,7 +127,7 @@ def search_classifier(spark: S, sf: str) -> DataFrame:
 @query()
 def score_and_store(spark: S, sf: str) -> DataFrame:
     """Scores with label texts, stored as historical and future rows and read back."""
-    m = written(_members(spark, sf), "members")
+    m = _members(spark, sf)
     model = M.fit_classifier(m, "win", COLS, rounds=5, depths=(2,))
     done = M.score(m, model, "classification").select("member_id", "event_date", "score", "predicted_label", "prediction_type")
     past, future = M.split_by_time(done, "event_date", "1998-01-01", scratch(spark, "scores"))
@@ -136,7 +137,7 @@ def score_and_store(spark: S, sf: str) -> DataFrame:
 @query()
 def fit_regressors(spark: S, sf: str) -> DataFrame:
     """Current rows of a history of members, whose points and rebounds are told for 30, 20 and 10 days ahead."""
-    m = written(_members(spark, sf), "members")
+    m = _members(spark, sf)
     history = scd.scd2_start(m, ["member_id"], ["pts", "reb"], F.col("event_date"))
     now = history.filter("is_current").select("member_id", "event_date", *COLS, "pts")
     x = ["fga", "fgm", "fg3m", "ast", "tov"]
@@ -193,7 +194,7 @@ def standardised_features(spark: S, sf: str) -> DataFrame:
     """Assembled columns with mean 0 and deviation 1."""
     from pyspark.ml.functions import vector_to_array
 
-    m = written(_members(spark, sf), "members")
+    m = _members(spark, sf)
     x = M.feature_pipeline(COLS).fit(m).transform(m).select("member_id", vector_to_array("features").alias("x"))
     return x.select("member_id", *((F.round(F.col("x")[i], 4) + 0.0).alias(c) for i, c in enumerate(COLS)))
 
@@ -204,7 +205,7 @@ def standardised_features(spark: S, sf: str) -> DataFrame:
 )
 def labelled_scores(spark: S, sf: str) -> DataFrame:
     """Scores over a threshold as label texts, stored by time and read back."""
-    m = written(_members(spark, sf), "members").withColumn("score", F.col("pts") / 60)
+    m = _members(spark, sf).withColumn("score", F.col("pts") / 60)
     told = m.select("member_id", "event_date", "score", scalars.decode_prediction(F.col("score"), 0.5, ("loss", "win")).alias("predicted_label"), F.lit("classification").alias("prediction_type"))
     past, future = M.split_by_time(told, "event_date", "2001-07-01", scratch(spark, "labels"))
     return past.withColumn("kept_in", F.lit("historical")).unionByName(future.withColumn("kept_in", F.lit("future")))
@@ -212,7 +213,7 @@ def labelled_scores(spark: S, sf: str) -> DataFrame:
 
 @query(f"{_MEMBER_SQL} SELECT CASE WHEN event_date < DATE '2001-07-01' THEN 'train' ELSE 'test' END AS side, count(*) AS n, min(event_date) AS earliest, max(event_date) AS latest FROM m GROUP BY ALL")
 def sides_of_a_split(spark: S, sf: str) -> DataFrame:
-    train, test = M.time_split(written(_members(spark, sf), "members"), "event_date", "2001-07-01")
+    train, test = M.time_split(_members(spark, sf), "event_date", "2001-07-01")
     side = lambda df, name: df.agg(F.count("*").alias("n"), F.min("event_date").alias("earliest"), F.max("event_date").alias("latest")).select(F.lit(name).alias("side"), "*")
     return side(train, "train").unionByName(side(test, "test"))
 

@@ -170,3 +170,9 @@ def test_classifier_queries(spark, sf, members, name):
 
 def test_wave_fft_of_equal_rows():
     assert np.allclose(features.wave_fft(np.ones((3, 5)))[:, 1:], 0)
+
+
+def test_members_are_written_once(spark, sf):
+    """Models read their rows many times: from the written table, not by the join of lines and orders."""
+    files = models._members(spark, sf).inputFiles()
+    assert files and not any("lineitem" in f or "orders" in f for f in files)
