@@ -52,8 +52,8 @@ def scd_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: st
 def asof_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "", parts: int | None = None, cuts: Sequence[float] | None = None) -> DataFrame:
     """As ``scd_join`` for a dimension whose ranges of a key don't overlap (versions): facts and versions of a
     key in one order of dates, in which each fact takes the last version before it. The work grows with
-    facts plus versions, whatever the history of a key, and a key's rows are spread over segments of dates
-    (``scans``), so that a few keys can hold all facts. Ranges that end before they start hold no date. Facts
+    facts plus versions, whatever the history of a key, and a large key's rows are spread over segments of
+    dates (``scans``), so that a few keys can hold all facts. Ranges that end before they start hold no date. Facts
     with a null key or date match nothing and pass by. Without ``cuts`` fact is read once more for them."""
     keys = [key] if isinstance(key, str) else list(key)
     theirs = keys if dim_key is None else [dim_key] if isinstance(dim_key, str) else list(dim_key)
@@ -65,7 +65,12 @@ def asof_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: s
     d = dim.filter(F.col(start) <= F.col(end)).select(*(F.col(k).alias(n) for k, n in zip(theirs, names, strict=True)), F.col(start).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"))
     f = fact.filter(there).select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_fact"))
     both = f.unionByName(d, allowMissingColumns=True)
-    seen = scans.last_before(both, names, ["_at", "_kind"], "_at", "_version", "_seen", scans.cut_points(fact, date, parts) if cuts is None else cuts).filter(F.col("_kind") == 1)
+    last = lambda rows, some: scans.last_before(rows, names, ["_at", "_kind"], "_at", "_version", "_seen", some)
+    if parts is None and cuts is None:
+        seen = scans.by_size(both, names, lambda rows, some: last(rows, scans.cut_points(rows, "_at", some)))
+    else:
+        seen = last(both, scans.cut_points(fact, date, parts) if cuts is None else cuts)
+    seen = seen.filter(F.col("_kind") == 1)
     holds = F.col("_seen._to") >= F.col("_at")
     found = seen.select("_fact.*", *(F.when(holds, F.col(f"_seen.{prefix}{c}")).alias(f"{prefix}{c}") for c in cols))
     return found.unionByName(fact.filter(~there), allowMissingColumns=True)

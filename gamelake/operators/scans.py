@@ -5,11 +5,14 @@ the leading order column, each (key, segment) is a window of its own, a few valu
 scanned in order (a row for each segment, at most ``MOST_CUTS`` + 1 a key), and what they carry is joined
 to the segment's rows. A third of all rows under one key is then spread over as many tasks as there are
 segments; rows that share a value of the leading column stay together.
+
+Only keys with more than ``WHOLE`` rows are cut (``by_size``): the others, most often all, are one window each,
+whose rows meet no segment's totals and stay where they are for what follows by key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +20,13 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gamelake.operators import windows
 from gamelake.sources.tables import written
 
 #: Cuts at most; they are literals in the plan.
 MOST_CUTS = 127
+#: Rows of a key that one window takes.
+WHOLE = 100_000
 
 
 def number(df: DataFrame, by: str) -> Column:
@@ -46,6 +52,22 @@ def cut_points(df: DataFrame, by: str, parts: int | None = None) -> list[float]:
     return sorted(set(found or ()))
 
 
+def by_size(df: DataFrame, keys: Sequence[str], run: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """run(rows, parts) with one part for the keys of at most ``WHOLE`` rows and with as many as shuffles have
+    partitions for those with more. df is read once more, to count."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not keys:
+        return run(df, parts)
+    large = written(df.groupBy(*(F.col(k).alias(f"_l{i}") for i, k in enumerate(keys))).agg(F.count("*").alias("_n")).filter(F.col("_n") > WHOLE), "large")
+    if large.isEmpty():
+        return run(df, 1)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(F.col(f"_l{i}"))
+    few = F.broadcast(large.drop("_n"))  # a row for WHOLE rows of df at most
+    return run(df.join(few, same, "left_anti"), 1).unionByName(run(df.join(few, same, "left_semi"), parts))
+
+
 def segment(x: Column, cuts: Sequence[float], first: int = 0) -> Column:
     """How many cuts are smaller than x, by halving; null is before all."""
     if not cuts:
@@ -73,6 +95,11 @@ def _across() -> WindowSpec:
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, sums: Mapping[str, Column], parts: int | None = None) -> DataFrame:
     """df with the running sum of each column of ``sums``, from a key's first row to this one. ``by`` leads the
     order; without keys the sums run over the whole table. Nulls count as 0."""
+    if parts is None:
+        return by_size(df, keys, lambda rows, some: running_sums(rows, keys, order, by, sums, some))
+    if parts == 1:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({n: F.sum(F.coalesce(c, F.lit(0))).over(whole) for n, c in sums.items()})
     cut = segmented(df, keys, by, cut_points(df, by, parts))
     upto = _local().orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({n: F.sum(F.coalesce(c, F.lit(0))).over(upto) for n, c in sums.items()})
@@ -90,6 +117,10 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 def block_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, attrs: Sequence[str], name: str = "block", parts: int | None = None, cuts: Sequence[float] | None = None) -> DataFrame:
     """df with the number (from 1) of the row's block of equal attributes in its key's order; nulls compare as
     values. Segments compare their first attributes with the last ones before them. ``cuts``: those to use."""
+    if parts is None and cuts is None:
+        return by_size(df, keys, lambda rows, some: block_ids(rows, keys, order, by, attrs, name, some))
+    if parts == 1 and cuts is None:
+        return windows.block_id(windows.change_flag(df, keys, order, attrs, "_change"), keys, order, "_change", name).drop("_change")
     cut = segmented(df, keys, by, cut_points(df, by, parts) if cuts is None else cuts)
     w = _local().orderBy(*order)
     same = F.lit(True)
@@ -110,6 +141,8 @@ def block_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
 
 def last_before(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, value: str, name: str, cuts: Sequence[float]) -> DataFrame:
     """df with the last value that isn't null up to this row in its key's order."""
+    if not cuts:
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     cut = segmented(df, keys, by, cuts)
     upto = _local().orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumn(name, F.last(value, ignorenulls=True).over(upto))
@@ -137,15 +170,9 @@ def folded(x: np.ndarray, alpha: float, before: float) -> np.ndarray:
     return out.ravel()[:n]
 
 
-def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, col: str, span: int = 3, digits: int = 6, parts: int | None = None) -> DataFrame:
-    """df with the exponential moving average of each row, s = a x + (1 - a) s' with a = 2 / (span + 1), from the
-    key's first value on; null values leave it as it is. One pass whatever the span: rows go by in order, a
-    batch at a time, each segment from zero on; what came before a segment is added to its rows by the
-    weight that is left of it. (``windows.ema`` looks back some 22 times its span at every row.)"""
-    alpha, name = 2.0 / (span + 1), f"{col}_ema{span}"
-    cut, w = segmented(df, keys, by, cut_points(df, by, parts)), _local().orderBy(*order)
-    value = F.col(col).cast("double")
-    marked = cut.withColumns({"_x": F.when(~F.isnan(value), value), "_opens": F.row_number().over(w) == 1, "_ends": F.lead(F.lit(1)).over(w).isNull()})
+def _folded_rows(marked: DataFrame, alpha: float) -> DataFrame:
+    """Ordered rows with _x and _opens (the first of a window), and with _own, the average from zero on up to the
+    row, and _many, the values in it."""
     schema = T.StructType([*marked.schema.fields, T.StructField("_own", T.DoubleType()), T.StructField("_many", T.LongType())])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +181,8 @@ def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: s
             x = batch.column(batch.schema.get_field_index("_x")).to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(batch.column(batch.schema.get_field_index("_opens")).to_numpy(zero_copy_only=False))
             own, count = np.empty(len(x)), np.empty(len(x), np.int64)
-            for a, z in zip(np.append(0, edges), np.append(edges, len(x)), strict=True):
-                if a in edges:
+            for at, (a, z) in enumerate(zip(np.append(0, edges), np.append(edges, len(x)), strict=True)):
+                if at:  # what comes before the first edge goes on from the last batch
                     last, many = 0.0, 0
                 there = ~np.isnan(x[a:z])
                 count[a:z] = many + np.cumsum(there)
@@ -165,13 +192,32 @@ def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: s
                     last, many = got[-1], int(count[z - 1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own), pa.array(count)], [*batch.schema.names, "_own", "_many"])
 
-    done = marked.mapInArrow(fold, schema)
+    return marked.mapInArrow(fold, schema)
+
+
+def ema(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: str, col: str, span: int = 3, digits: int = 6, parts: int | None = None) -> DataFrame:
+    """df with the exponential moving average of each row, s = a x + (1 - a) s' with a = 2 / (span + 1), from the
+    key's first value on; null values leave it as it is. One pass whatever the span: rows go by in order, a
+    batch at a time, each segment from zero on; what came before a segment is added to its rows by the
+    weight that is left of it. (``windows.ema`` looks back some 22 times its span at every row.)"""
+    if parts is None:
+        return by_size(df, keys, lambda rows, some: ema(rows, keys, order, by, col, span, digits, some))
+    alpha, name = 2.0 / (span + 1), f"{col}_ema{span}"
+    left = lambda n: F.pow(F.lit(1.0 - alpha), n.cast("double"))
+    value = F.col(col).cast("double")
+    x, opens = F.when(~F.isnan(value), value), lambda w: F.row_number().over(w) == 1
+    if parts == 1:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        first = F.first(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        done = _folded_rows(df.withColumns({"_x": x, "_opens": opens(w), "_first": first}), alpha)
+        return done.withColumn(name, F.when(F.col("_many") > 0, F.round(F.col("_own") + left(F.col("_many")) * F.col("_first"), digits))).drop("_x", "_opens", "_first", "_own", "_many")
+    cut, w = segmented(df, keys, by, cut_points(df, by, parts)), _local().orderBy(*order)
+    done = _folded_rows(cut.withColumns({"_x": x, "_opens": opens(w), "_ends": F.lead(F.lit(1)).over(w).isNull()}), alpha)
     first = cut.select("_key", "_seg", F.struct(*order, F.when(~F.isnan(value), value).alias("_x")).alias("_r")).filter(F.col("_r._x").isNotNull()).groupBy("_key", "_seg").agg(F.min("_r")["_x"].alias("_first"))
     ends = done.filter("_ends").select("_key", "_seg", "_own", "_many").join(first, ["_key", "_seg"], "left")
     earlier = F.collect_list(F.struct("_own", "_many")).over(_across().rowsBetween(Window.unboundedPreceding, -1))
     opening = F.first("_first", ignorenulls=True).over(_across().rowsBetween(Window.unboundedPreceding, 0))
     state = ends.select("_key", "_seg", earlier.alias("_earlier"), opening.alias("_opening"))
-    left = lambda n: F.pow(F.lit(1.0 - alpha), n.cast("double"))
     carried = state.select("_key", "_seg", F.aggregate("_earlier", F.col("_opening"), lambda s, e: e["_own"] + left(e["_many"]) * s).alias("_carried"), F.aggregate("_earlier", F.lit(0).cast("long"), lambda s, e: s + e["_many"]).alias("_before"))
     out = done.join(carried, ["_key", "_seg"])
     total = F.round(F.col("_own") + left(F.col("_many")) * F.col("_carried"), digits)

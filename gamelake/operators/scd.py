@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamelake.functions.scalars import row_hash, row_hash256, surrogate_key
@@ -62,10 +62,18 @@ def scd2_from_events(df: DataFrame, keys: Sequence[str], date: str, attrs: Seque
     """One row per block of constant attributes: start_date, end_date, next_start (of the next block),
     is_current (the key's last block), row_hash and version_key.
 
-    Blocks are numbered over segments of dates (``scans``), grouped, and each meets the next one by its
-    number, so no step holds a key's history in one task. df is read more than once."""
+    The blocks of a large key are numbered over segments of dates (``scans``), grouped, and each meets the next
+    one by its number, so no step holds its history in one task; those of other keys are windows by key
+    after one shuffle. df is read more than once."""
+    if parts is None and cuts is None:
+        return scans.by_size(df, keys, lambda rows, some: scd2_from_events(rows, keys, date, attrs, order, some))
     total = [F.col(date), *order, *(F.col(a) for a in attrs)]
     blocks = windows.block_ranges(scans.block_ids(df, keys, total, date, attrs, parts=parts, cuts=cuts), keys, date, attrs)
+    if parts == 1 and cuts is None:
+        after = F.lead("start_date").over(Window.partitionBy(*keys).orderBy("block"))
+        last = F.lead(F.lit(True)).over(Window.partitionBy(*keys).orderBy("block")).isNull()
+        out = blocks.withColumns({"next_start": after, "is_current": last})
+        return out.withColumns({"row_hash": row_hash([*keys, *attrs]), "version_key": surrogate_key([*keys, "block"])})
     after = blocks.select(*(F.col(k).alias(f"_{k}") for k in keys), (F.col("block") - 1).alias("_block"), F.col("start_date").alias("next_start"), F.lit(True).alias("_there"))
     meets = F.col("block") == F.col("_block")
     for k in keys:

@@ -194,3 +194,21 @@ def test_grouped_ar_odd_series(spark):
     assert {k for k, _ in got} == {0, 2}  # two points, or none, have no model
     assert got[0, 0].ar_order == 0 and abs(got[0, 0].coefficient - 5) < 1e-12
     assert got[2, 1].ar_order == 1 and abs(got[2, 1].coefficient + 1) < 1e-6
+
+
+def test_only_large_keys_are_cut(hot, monkeypatch):
+    """Keys of few rows are one window each, without a join with totals; those above the bound are still cut, and
+    both give the same rows."""
+    run = [
+        lambda: scans.ema(hot, ["k"], ["day", "id"], "day", "v", 100),
+        lambda: scans.row_numbers(hot, ["k"], ["day", "id"], "day"),
+        lambda: scans.block_ids(hot, ["k"], [F.col("day"), F.col("id")], "day", ["attr"]),
+        lambda: scd.scd2_from_events(hot, ["k"], "day", ["attr"], ["id"]),
+    ]
+    whole = [f() for f in run]
+    assert not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in whole)
+    monkeypatch.setattr(scans, "WHOLE", 1000)
+    cut = [f() for f in run]
+    assert all("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in cut)
+    for a, b in zip(whole, cut, strict=True):
+        assert rows_of(a) == rows_of(b.select(a.columns))
