@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.operators.windows import dedupe_latest
@@ -102,7 +102,7 @@ def box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("*", *(F.expr(e).alias(n) for n, e in DERIVED.items()))
 
 
-def group_events(df: DataFrame) -> DataFrame:
-    """Member rows summed to (group, season, event)."""
+def group_events(df: DataFrame, *more: Column) -> DataFrame:
+    """Member rows summed to (group, season, event), with further aggregates."""
     keys = ("group_id", "season", "season_type", "event_id", "event_date")
-    return df.groupBy(*keys).agg(*(F.sum(s).alias(s) for s in STATS), F.min("outcome").alias("outcome"))
+    return df.groupBy(*keys).agg(*(F.sum(s).alias(s) for s in STATS), F.min("outcome").alias("outcome"), *more)

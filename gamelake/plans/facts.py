@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake.functions import scalars
-from gamelake.operators import aggregates, joins, project, scans, scd, windows
+from gamelake.operators import aggregates, joins, project, scd, windows
 from gamelake.plans import star
 from gamelake.plans.base import BOX_SQL, GROUP_SQL, ORDER, STATS, WITH, box, group_events, query, raw, table, written  # noqa: F401
 
@@ -148,9 +148,8 @@ versions AS (SELECT {key}, CAST(block AS BIGINT) AS block, {attr}, start_date, e
 _STATUS = "status_events AS (SELECT group_id, event_date, event_id, min(status) AS status FROM box GROUP BY ALL)"
 
 
-def _group_versions(b: DataFrame, cuts: list[float] | None = None) -> DataFrame:
-    events = b.groupBy("group_id", "event_date", "event_id").agg(F.min("status").alias("status"))
-    return star.dim_scd2(events, "group_id", "event_date", ["status"], ["event_id"], cuts)
+def _group_versions(events: DataFrame) -> DataFrame:
+    return star.dim_scd2(events.select("group_id", "event_date", "event_id", "status"), "group_id", "event_date", ["status"], ["event_id"])
 
 
 @query(f"{WITH}, {_scd_sql('member_id', 'group_id')} SELECT * FROM versions")
@@ -161,7 +160,7 @@ def dim_member_scd2(spark: S, sf: str) -> DataFrame:
 
 @query(f"{WITH}, {_STATUS}, {_scd_sql('group_id', 'status', 'status_events')} SELECT * FROM versions")
 def dim_group_scd2(spark: S, sf: str) -> DataFrame:
-    return _group_versions(written(box(spark, sf).select("group_id", "event_date", "event_id", "status"), "box"))
+    return _group_versions(written(box(spark, sf).groupBy("group_id", "event_date", "event_id").agg(F.min("status").alias("status")), "statuses"))
 
 
 _FACT = ("fga", "fgm", "pts", "reb", "ast")
@@ -184,10 +183,9 @@ SELECT g.*, v.version_key, md5(CAST(g.season AS VARCHAR) || '_' || g.season_type
 FROM g LEFT JOIN versions v ON v.group_id = g.group_id AND g.event_date BETWEEN v.start_date AND v.valid_to LEFT JOIN p ON p.season = g.season AND p.season_type = g.season_type AND g.event_date BETWEEN p.s AND p.e"""
 )
 def fact_group(spark: S, sf: str) -> DataFrame:
-    b = written(box(spark, sf).select("group_id", "season", "season_type", "event_id", "event_date", "status", "outcome", *STATS), "box")
-    events = b.select("event_id").distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
-    cuts = scans.cut_points(b, "event_date")
-    return star.fact_group(group_events(b), written(_group_versions(b, cuts), "versions"), star.dim_period(b), events, cuts)
+    groups = written(group_events(box(spark, sf), F.min("status").alias("status")), "groups")
+    events = groups.select("event_id").distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
+    return star.fact_group(groups.drop("status"), written(_group_versions(groups), "versions"), star.dim_period(groups), events)
 
 
 _NATIONS = """nation_events AS (SELECT sn.n_name AS nation, CAST(o_orderdate AS DATE) AS event_date, l_orderkey AS event_id, min(l_linestatus) AS status
