@@ -183,9 +183,11 @@ SELECT g.*, v.version_key, md5(CAST(g.season AS VARCHAR) || '_' || g.season_type
 FROM g LEFT JOIN versions v ON v.group_id = g.group_id AND g.event_date BETWEEN v.start_date AND v.valid_to LEFT JOIN p ON p.season = g.season AND p.season_type = g.season_type AND g.event_date BETWEEN p.s AND p.e"""
 )
 def fact_group(spark: S, sf: str) -> DataFrame:
-    groups = written(group_events(box(spark, sf), F.min("status").alias("status")), "groups")
-    events = groups.select("event_id").distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
-    return star.fact_group(groups.drop("status"), written(_group_versions(groups), "versions"), star.dim_period(groups), events)
+    events = table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id")).distinct().withColumn("event_key", scalars.surrogate_key(["event_id"]))
+    # rows lie by event until they are written, so they meet their events where they are
+    keyed = joins.dimension_join(group_events(box(spark, sf), F.min("status").alias("status")), events, "event_id", ["event_key"])
+    groups = written(keyed, "groups")
+    return star.fact_group(groups.drop("status"), written(_group_versions(groups), "versions"), star.dim_period(groups))
 
 
 _NATIONS = """nation_events AS (SELECT sn.n_name AS nation, CAST(o_orderdate AS DATE) AS event_date, l_orderkey AS event_id, min(l_linestatus) AS status

@@ -45,12 +45,13 @@ def fact_member(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     return marked.select("fact_key", "member_id", "group_id", "event_id", "event_date", "season", *measures, "row_hash", F.min("event_date").over(w).alias("block_start"), F.max("event_date").over(w).alias("block_end"))
 
 
-def fact_group(groups: DataFrame, dim_group: DataFrame, dim_season: DataFrame, dim_events: DataFrame) -> DataFrame:
-    """Group rows with foreign keys: the group's version at the date, the season, the event."""
+def fact_group(groups: DataFrame, dim_group: DataFrame, dim_season: DataFrame) -> DataFrame:
+    """Group rows, which have their event_key (join it while they lie by event), with the other foreign keys: the
+    group's version at the date, the season."""
     f = joins.asof_join(groups, dim_group, "group_id", "event_date", "start_date", "valid_to", ["version_key"])
     s = dim_season.withColumnRenamed("season_type", "_type")
     f = joins.scd_join(f.withColumn("_type", F.col("season_type")), s, ["season", "_type"], "event_date", "start_date", "end_date", ["season_key"]).drop("_type")
-    return joins.dimension_join(f, dim_events, "event_id", ["event_key"]).withColumn("fact_key", readable_key(["group_id", "season", "event_id"]))
+    return f.select(*(c for c in f.columns if c != "event_key"), "event_key", readable_key(["group_id", "season", "event_id"]).alias("fact_key"))
 
 
 def side_versions(events: DataFrame, dim: DataFrame, alternate: str, sides: Sequence[str] = ("home", "away")) -> DataFrame:
