@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from gamelake.sources.tables import written
 
 SEED = 42
+#: Texts whose products with Q are in memory at once.
+SLICE = 256
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,13 @@ def times(ids: np.ndarray, w: np.ndarray, row: np.ndarray, n: int, q: np.ndarray
     return out
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of ``SLICE`` rows: products have a row for each word, so a whole batch of long texts would
+    take gigabytes."""
+    for first in range(0, batch.num_rows, SLICE):
+        yield batch.slice(first, SLICE)
+
+
 def _product(counts: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     """A'(A q), added up in the cluster."""
     sent = counts.sparkSession.sparkContext.broadcast((idf, q))
@@ -72,7 +81,7 @@ def _product(counts: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, q = sent.value
         total = np.zeros_like(q)
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole)):
             ids, w, row = rows_of(batch, idf)
             y = times(ids, w, row, batch.num_rows, q)
             order = np.argsort(ids, kind="stable")
@@ -119,8 +128,7 @@ def embed(df: DataFrame, col: str, model: TextModel, name: str = "vector") -> Da
         m = sent.value
         for ids, tfs in parts:
             batch = pa.RecordBatch.from_arrays([pa.array(list(ids), pa.list_(pa.int32())), pa.array(list(tfs), pa.list_(pa.int32()))], ["_ids", "_tfs"])
-            i, w, row = rows_of(batch, m.idf)
-            v = times(i, w, row, batch.num_rows, m.components)
+            v = np.concatenate([np.zeros((0, m.components.shape[1])), *(times(*rows_of(piece, m.idf), piece.num_rows, m.components) for piece in slices(batch))])
             yield pd.Series(list(v / np.maximum(np.sqrt(np.square(v).sum(1, keepdims=True)), 1e-300)))
 
     return counted.withColumn(name, told("_ids", "_tfs")).drop("_ids", "_tfs")

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,12 @@ def test_categories_help(spark, kind):
 def test_categories_query(spark, sf):
     rows = {r.kind: r for r in registry.QUERIES["fit_categories"](spark, sf).collect()}
     assert set(rows) == {"linear", "gbt"} and all(r.r2 > 0.8 and r.mae <= r.rmse for r in rows.values())
+
+
+def test_products_take_a_slice_of_texts_at_a_time():
+    batch = pa.RecordBatch.from_arrays([pa.array([[i % 7, 8] for i in range(600)], pa.list_(pa.int32())), pa.array([[1, 2]] * 600, pa.list_(pa.int32()))], ["_ids", "_tfs"])
+    idf, q = np.arange(1.0, 10.0), np.random.default_rng(1).normal(size=(9, 3))
+    pieces = list(vectors.slices(batch))
+    assert max(p.num_rows for p in pieces) <= vectors.SLICE < 600
+    whole = vectors.times(*vectors.rows_of(batch, idf), 600, q)
+    assert np.allclose(np.concatenate([vectors.times(*vectors.rows_of(p, idf), p.num_rows, q) for p in pieces]), whole)
