@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gamelake.operators import scans
@@ -28,14 +28,17 @@ def attach_sides(events: DataFrame, sides: DataFrame, event: str, name: str, hom
 
 
 def opponent_join(df: DataFrame, keys: Sequence[str], ident: str, cols: Sequence[str], prefix: str = "opp_") -> DataFrame:
-    """Each row with every other row of the same keys (and another ident), or with nulls if there is none:
-    a self-join on the keys with a residual inequality. df is read twice, so pass a written table where
-    it is costly. Rows with a null key have no opponent."""
-    other = df.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(ident).alias(f"{prefix}{ident}"), *(F.col(c).alias(f"{prefix}{c}") for c in cols))
-    cond = df[ident] != other[f"{prefix}{ident}"]
+    """Each row with every other row of the same keys (and another ident), or with nulls if there is none. df is
+    read once: a key's rows are listed where they lie together, which takes no shuffle where df lies by one of
+    the keys, and each row meets the list (of k rows that give k (k - 1)). A join's and the shares' code in one
+    method would be longer than the JVM compiles. Rows with a null key have no opponent."""
+    there = F.lit(True)
     for k in keys:
-        cond = cond & (df[k] == other[f"_{k}"])
-    return df.join(other, cond, "left").drop(*(f"_{k}" for k in keys))
+        there = there & F.col(k).isNotNull()
+    other = F.struct(F.col(ident).alias(f"{prefix}{ident}"), *(F.col(c).alias(f"{prefix}{c}") for c in cols))
+    sides = F.collect_list(F.when(there, other)).over(Window.partitionBy(*keys))
+    met = df.withColumn("_sides", sides).withColumn("_sides", F.filter("_sides", lambda s: s[f"{prefix}{ident}"] != F.col(ident)))
+    return met.select(*df.columns, F.inline_outer("_sides"))
 
 
 def scd_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], date: str, start: str, end: str, cols: Sequence[str], dim_key: str | Sequence[str] | None = None, prefix: str = "") -> DataFrame:

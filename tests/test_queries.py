@@ -40,3 +40,16 @@ def test_entry_module_without_text_operators(absent):
     """A package that only the text operators need is absent: the other queries are there."""
     code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; from gamelake.plans import registry as r; assert set(r.QUERIES) <= set(e.queries()) and set(r.ORACLE_SQL) <= set(e.oracle_sql()); assert 'pipeline' not in e.queries()"
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+def test_group_advanced_is_compiled(spark, sf):
+    """No method over 8,000 bytes, which the JVM would interpret, and no join of the groups with themselves."""
+    df = registry.QUERIES["group_advanced"](spark, sf)
+    df.collect()
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan parquet") == 2  # lines, orders
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = registry.QUERIES["group_advanced"](spark, sf)._jdf.queryExecution().debug().codegenToSeq()
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
