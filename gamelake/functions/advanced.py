@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gamelake.functions.scalars import possessions, safe_ratio
+from gamelake.functions.scalars import possessions, safe_ratio, whole_ratio
 
 #: Statistics whose share of a group or of a whole event is computed.
 SHARES = ("fg3a", "fg3m", "ast", "stl", "tov", "pts", "fga", "fgm", "fta", "ftm", "oreb", "dreb", "reb", "blk")
@@ -35,9 +35,10 @@ def shares(own: str, whole: str, suffix: str, stats: Sequence[str] = SHARES) ->
     return [_ratio(F.col(f"{own}{s}"), F.col(f"{whole}{s}")).alias(f"{s}_{suffix}") for s in stats]
 
 
-def game_shares(own: str, other: str, suffix: str, stats: Sequence[str] = SHARES) -> list[Column]:
-    """own_x / (own_x + other_x); a missing opponent counts as 0."""
-    return [_ratio(F.col(f"{own}{s}"), F.col(f"{own}{s}") + F.coalesce(F.col(f"{other}{s}"), F.lit(0))).alias(f"{s}_{suffix}") for s in stats]
+def game_shares(own: str, other: str, suffix: str, stats: Sequence[str] = SHARES, whole: bool = False) -> list[Column]:
+    """own_x / (own_x + other_x); a missing opponent counts as 0. whole: statistics are whole numbers."""
+    ratio = whole_ratio if whole else _ratio
+    return [ratio(F.col(f"{own}{s}"), F.col(f"{own}{s}") + F.coalesce(F.col(f"{other}{s}"), F.lit(0))).alias(f"{s}_{suffix}") for s in stats]
 
 
 def group_rates(p: str = "") -> list[Column]:

@@ -83,10 +83,11 @@ def group_advanced(groups: DataFrame, prefix: str = "opp_") -> DataFrame:
     before the join. A missing opponent has id -1 and statistics of 0."""
     keys, c = ["season", "event_id", "season_type"], F.col
     own = [advanced.true_shooting(c("pts"), c("fga"), c("fta")).alias("true_shooting"), advanced.effective_fg(c("fgm"), c("fg3m"), c("fga")).alias("effective_fg"), *advanced.group_rates()]
+    whole = all(t in ("int", "bigint") for n, t in groups.dtypes if n in advanced.SHARES)
     rated = groups.select("group_id", *keys, *advanced.SHARES, *own)
     j = joins.opponent_join(rated, keys, "group_id", advanced.SHARES, prefix)
     ready = ["true_shooting", "effective_fg", "three_point_rate", "turnover_pct", "offensive_rating", "free_throw_rate"]
-    return j.select("group_id", *keys, F.coalesce(c(f"{prefix}group_id"), F.lit(-1)).alias("opponent_id"), *ready, *advanced.game_shares("", prefix, "game_share"))
+    return j.select("group_id", *keys, F.coalesce(c(f"{prefix}group_id"), F.lit(-1)).alias("opponent_id"), *ready, *advanced.game_shares("", prefix, "game_share", whole=whole))
 
 
 def split_star(df: DataFrame, dims: dict[str, Sequence[str]], fact: Sequence[str]) -> dict[str, DataFrame]:

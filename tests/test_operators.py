@@ -490,3 +490,11 @@ def test_models(spark):
     assert stacked.r2 > 0.9
     m = M.interval_metrics(spark.createDataFrame([(5.0, 0.0, 10.0), (20.0, 0.0, 10.0)], "y double, l double, h double"), "y", "l", "h").first()
     assert (m.picp, m.winkler) == (0.5, 110.0)
+
+
+def test_whole_ratio_is_the_rounded_ratio(spark):
+    """Ties included: odd numbers over 32, 160, 800 and 20,000."""
+    df = spark.range(40_000).select((F.col("id") * 7919 % 20_011 - 3000).alias("n"), F.element_at(F.array(*(F.lit(d) for d in (32, 160, 800, 20_000, 0, -32, 7, 9_973))), (F.col("id") % 8 + 1).cast("int")).alias("d"))
+    df = df.unionByName(spark.createDataFrame([(None, 3), (3, None)], "n long, d int"))
+    slow = F.when(F.col("n").isNull() & F.col("d").isNotNull(), 0.0).otherwise(scalars.safe_ratio(F.col("n"), F.col("d"), 4, 0.0))
+    assert df.filter(~scalars.whole_ratio(F.col("n"), F.col("d")).eqNullSafe(slow)).count() == 0
