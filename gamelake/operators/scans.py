@@ -12,6 +12,7 @@ whose rows meet no segment's totals and stay where they are for what follows by
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -25,6 +26,8 @@ from gamelake.sources.tables import written
 
 #: Cuts at most; they are literals in the plan.
 MOST_CUTS = 127
+#: Days from the first cut to the last that a table of days has at most.
+MOST_DAYS = 20_000
 #: Rows of a key that one window takes.
 WHOLE = 100_000
 
@@ -79,6 +82,12 @@ def segment(x: Column, cuts: Sequence[float], first: int = 0) -> Column:
 def segmented(df: DataFrame, keys: Sequence[str], by: str, cuts: Sequence[float]) -> DataFrame:
     """df with _key (a struct, so that null keys are equal) and _seg."""
     key = F.struct(*(F.col(k) for k in keys)) if keys else F.struct(F.lit(0).alias("_"))
+    if cuts and dict(df.dtypes)[by] == "date":  # by a table of days: halving in a wide stage is longer than the JVM compiles
+        first, last = int(cuts[0]), int(cuts[-1]) + 1
+        if last - first <= MOST_DAYS:
+            upto = [bisect_left(cuts, day) for day in range(first, last + 1)]
+            place = F.greatest(F.lit(0), F.least(F.unix_date(F.col(by)) - first, F.lit(last - first)))
+            return df.withColumns({"_key": key, "_seg": F.coalesce(F.get(F.lit(upto), F.when(F.col(by).isNotNull(), place)), F.lit(0))})
     return df.withColumns({"_key": key, "_seg": segment(number(df, by), cuts)})
 
 

@@ -78,9 +78,11 @@ def matchups(spark: S, sf: str) -> DataFrame:
     lines, orders, nation = table(spark, sf, "lineitem"), table(spark, sf, "orders"), table(spark, sf, "nation")
     cust = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("c_name"))
     supp = table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("s_nation"))
-    # what a line tells is its supplier's nation and the form of the text: few pairs an order meet the other tables
-    told = lines.join(supp, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nation", (F.col("l_suppkey") % 2 == 0).alias("away_form")).distinct()
-    j = told.join(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey")).join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    # what a line tells is its supplier's nation and the form of the text: few pairs an order, which meet the orders
+    # (those with their customers first) where they lie by order, as does what follows by event
+    told = lines.join(supp, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nation", (F.col("l_suppkey") % 2 == 0).alias("away_form")).repartition("l_orderkey").distinct()
+    owned = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    j = told.join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
     text = F.concat("c_name", F.when(F.col("away_form"), " @ ").otherwise(" vs. "), "s_nation")
     return j.select(F.col("l_orderkey").alias("event_id"), F.to_date("o_orderdate").alias("event_date"), F.year("o_orderdate").alias("season"), F.col("o_orderpriority").alias("season_type"), text.alias("matchup"))
 

@@ -5,6 +5,7 @@ Each model is DataFrames in, DataFrame out, so that Catalyst sees the whole chai
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from gamelake.functions import advanced
 from gamelake.functions.scalars import home_away, readable_key, row_hash, surrogate_key
 from gamelake.operators import aggregates, joins, scd, windows
+from gamelake.sources.tables import written
 
 OPEN_END = "9999-12-31"
 
@@ -56,10 +58,14 @@ def fact_group(groups: DataFrame, dim_group: DataFrame, dim_season: DataFrame) -
 
 def side_versions(events: DataFrame, dim: DataFrame, alternate: str, sides: Sequence[str] = ("home", "away")) -> DataFrame:
     """Events with the version that each side had at the date, found by an alternate key of the dimension
-    (a name or abbreviation): one role-playing interval join for each side."""
-    out = events
+    (a name or abbreviation). A version is told by side and date, so the versions are found once for the
+    different pairs of all sides, by one ordered pass, and each side joins them."""
+    pairs = [events.select(F.col(side).alias("_side"), F.col("event_date").alias("_date")) for side in sides]
+    at = written(reduce(DataFrame.union, pairs).distinct(), "pairs")
+    held, out = written(joins.asof_join(at, dim, "_side", "_date", "start_date", "valid_to", ["version_key"], alternate), "held"), events
     for side in sides:
-        out = joins.asof_join(out, dim, side, "event_date", "start_date", "valid_to", ["version_key"], alternate, f"{side}_")
+        own = held.select(F.col("_side").alias(f"_{side}"), F.col("_date"), F.col("version_key").alias(f"{side}_version_key"))
+        out = out.join(own, (out[side] == own[f"_{side}"]) & (out["event_date"] == own["_date"]), "left").drop(f"_{side}", "_date")
     return out
 
 

@@ -498,3 +498,14 @@ def test_whole_ratio_is_the_rounded_ratio(spark):
     df = df.unionByName(spark.createDataFrame([(None, 3), (3, None)], "n long, d int"))
     slow = F.when(F.col("n").isNull() & F.col("d").isNotNull(), 0.0).otherwise(scalars.safe_ratio(F.col("n"), F.col("d"), 4, 0.0))
     assert df.filter(~scalars.whole_ratio(F.col("n"), F.col("d")).eqNullSafe(slow)).count() == 0
+
+
+def test_sides_meet_their_versions_once(spark):
+    """Versions are found for different sides and dates; sides or dates that are null have none."""
+    d = dt.date
+    dim = spark.createDataFrame([("x", d(2024, 1, 1), d(2024, 1, 4), "x1"), ("x", d(2024, 1, 5), d(9999, 12, 31), "x2"), ("y", d(2024, 1, 3), d(9999, 12, 31), "y1")], "nick string, start_date date, valid_to date, version_key string")
+    events = [(1, d(2024, 1, 4), "x", "y"), (2, d(2024, 1, 5), "y", "x"), (3, d(2024, 1, 2), "y", "x"), (4, None, "x", "y"), (5, d(2024, 1, 5), None, "z"), (6, d(2024, 1, 4), "x", "y")]
+    out = star.side_versions(spark.createDataFrame(events, "e int, event_date date, home string, away string"), dim, "nick")
+    assert out.columns == ["e", "event_date", "home", "away", "home_version_key", "away_version_key"]
+    assert {r.e: r[4:] for r in out.collect()} == {1: ("x1", "y1"), 2: ("y1", "x2"), 3: (None, "x1"), 4: (None, None), 5: (None, None), 6: ("x1", "y1")}
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()  # events pass by: only pairs are ordered

@@ -212,3 +212,14 @@ def test_only_large_keys_are_cut(hot, monkeypatch):
     assert all("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in cut)
     for a, b in zip(whole, cut, strict=True):
         assert rows_of(a) == rows_of(b.select(a.columns))
+
+
+def test_days_lie_in_the_segments_of_their_numbers(spark):
+    """The table of days gives what halving gives, before, at and after all cuts and for nulls, in short code."""
+    days = spark.range(400).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") - 100).alias("d"))
+    days = days.unionByName(spark.createDataFrame([(None,), (dt.date(1, 1, 1),), (dt.date(9999, 12, 31),)], "d date"))
+    cuts = [float(19723 + k * k // 60) for k in range(127)]
+    for some in (sorted(set(cuts)), cuts[:1]):
+        cut = scans.segmented(days, [], "d", some)
+        assert cut.filter(~F.col("_seg").eqNullSafe(scans.segment(scans.number(days, "d"), some))).count() == 0
+        assert len(cut._jdf.queryExecution().optimizedPlan().toString()) < 2500
