@@ -51,7 +51,7 @@ def safe_ratio(n: Column, d: Column, digits: int = 3, zero: float | None = None)
 
 
 def whole_ratio(n: Column, d: Column, digits: int = 4) -> Column:
-    """As ``safe_ratio`` for whole numbers (below 10^11 - 10^digits), with 0 where d is zero or null: n 10^digits / d is
+    """As ``safe_ratio`` for whole numbers (below 10^11), with 0 where d is zero or null: n 10^digits / d is
     a tie if and only if its double is one, so that adding a half rounds as decimals do, at a small part of
     their cost."""
     q = n.cast("double") * float(10**digits) / F.when(d != 0, d.cast("double"))
