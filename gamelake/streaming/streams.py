@@ -6,14 +6,12 @@ in one row, so a batch that is replayed after a failure is skipped if and only i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gamelake.operators import scd
 from gamelake.operators.project import extend_schema, parse_json
@@ -119,31 +117,25 @@ def stream_merge_tables(df: DataFrame, root: str, checkpoint: str, merges: Mappi
 
 
 def session_totals(df: DataFrame, keys: Sequence[str], ts: str, value: str, gap: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Running count, total and last time of each key, for update mode: a row for each key that a batch has. State
-    that has had no row for ``gap`` of event time is dropped, and a key that comes back opens a new session, so
-    state grows with the keys that are alive; a key's totals are the sums over its sessions. Rows later than
-    ``delay`` are dropped. Null times are left out; null values count as 0."""
-    kinds = dict(df.dtypes)
-    wait = int(pd.Timedelta(gap).total_seconds() * 1_000)
-    own = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
-    rows = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).cast("timestamp").alias("_ts"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_v")).withWatermark("_ts", delay)
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        first, n, total, last = state.get if state.exists else (None, 0, 0.0, None)  # "first" stays: it names the session
-        for part in parts:
-            begin, end = int(part["_us"].min()), int(part["_us"].max())
-            first, last = begin if first is None else first, end if last is None else max(last, end)
-            n, total = n + len(part), total + float(part["_v"].sum())
-        state.update((first, n, total, last))
-        state.setTimeoutTimestamp(max(last // 1_000 + wait, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(*key, first, n, total, last)], columns=names)
-
-    names = [*keys, "session_start", "n", "total", "last_seen"]
-    out = rows.groupBy(*keys).applyInPandasWithState(update, f"{own}, session_start long, n long, total double, last_seen long", "first long, n long, total double, last long", "update", GroupStateTimeout.EventTimeTimeout)
-    return out.withColumns({c: F.timestamp_micros(c) for c in ("session_start", "last_seen")})
+    """Running count, total, first and last time of each key in each period of ``gap`` of event time, for update
+    mode: a row for each key and period that a batch has; ``session_start`` is the period's. The state of periods
+    that the watermark has passed is dropped, so state grows with the keys that are alive; rows later than
+    ``delay`` that belong to them are, too. A session is a chain of periods, as no two rows of one are ``gap``
+    apart: ``chained`` joins them, a key's totals are the sums over them. Null times are left out; null values
+    count as 0. No Python runs for a key: one of its own cost some milliseconds in each batch."""
+    rows = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).cast("timestamp").alias("_ts"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_v")).withWatermark("_ts", delay)
+    out = rows.groupBy(*keys, F.window("_ts", gap).alias("_w")).agg(F.count("*").alias("n"), F.sum("_v").alias("total"), F.min("_ts").alias("first_seen"), F.max("_ts").alias("last_seen"))
+    return out.select(*keys, F.col("_w.start").alias("session_start"), "n", "total", "first_seen", "last_seen")
+
+
+def chained(periods: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
+    """Sessions of the rows of ``session_totals``: a key's next one opens where ``gap`` or more lies between two
+    periods' rows."""
+    w = Window.partitionBy(*keys).orderBy("session_start")
+    opens = F.coalesce(F.col("first_seen") - F.expr(f"INTERVAL {gap}") >= F.lag("last_seen").over(w), F.lit(True))
+    marked = periods.withColumn("_opens", opens.cast("int")).withColumn("_session", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = marked.groupBy(*keys, "_session").agg(F.min("first_seen").alias("session_start"), F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("last_seen").alias("last_seen"))
+    return out.drop("_session")
 
 
 def stream_changes(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], buckets: int = 64, once: bool = False, seen: Callable[[int, int], None] | None = None) -> StreamingQuery:
