@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from math import exp, lgamma, log
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import ChiSqSelector, OneHotEncoder, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler, VectorIndexer, Word2Vec
+from pyspark.ml.feature import ChiSqSelector, OneHotEncoder, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler, VectorIndexer, VectorSlicer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamelake.functions.scalars import decode_prediction
@@ -27,11 +28,64 @@ def feature_pipeline(cols: Sequence[str], out: str = "features") -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="keep"), StandardScaler(inputCol="_raw", outputCol=out, withMean=True)])
 
 
-def regression_stages(numeric: Sequence[str], categories: Sequence[str], degree: int = 2, top: int | None = None, label: str | None = None) -> list:
-    """Index and one-hot the categories, expand the numbers, scale, index small domains, select by chi-square."""
+def counted(df: DataFrame, cols: Sequence[str], name: str = "weight") -> DataFrame:
+    """The different rows of some columns and how often each is there, a double: what models read instead of rows
+    that repeat, with the same sums."""
+    return df.groupBy(*cols).agg(F.count("*").cast("double").alias(name))
+
+
+def chi_square_p(statistic: float, degrees: int) -> float:
+    """1 - the chi-square distribution at a statistic, by the series of the lower or the fraction of the upper
+    incomplete gamma function."""
+    a, x = degrees / 2.0, statistic / 2.0
+    if degrees < 1 or x <= 0:
+        return 1.0
+    head = exp(a * log(x) - x - lgamma(a))
+    if x < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-17:
+            n += 1
+            term *= x / n
+            total += term
+        return 1.0 - head * total
+    tiny, b = 1e-300, x + 1 - a
+    c, d = 1 / tiny, 1 / b
+    h = d
+    for i in range(1, 10_000):
+        b += 2
+        d = 1 / ((-i * (i - a) * d + b) or tiny)
+        c = (b - i * (i - a) / c) or tiny
+        h *= d * c
+        if abs(d * c - 1) < 1e-16:
+            break
+    return 1.0 - (1.0 - head * h)  # to the digits of the distribution, as Spark has it, so that ties are the same
+
+
+class WeightedChiSq(Estimator):
+    """``ChiSqSelector`` (numTopFeatures) of rows that each stand for ``weight`` rows. Counts are grouped by feature,
+    value and label; a row a feature reaches the driver."""
+
+    def __init__(self, top: int, features: str, out: str, label: str, weight: str) -> None:
+        super().__init__()
+        self.top, self.features, self.out, self.label, self.weight = top, features, out, label, weight
+
+    def _fit(self, df: DataFrame) -> VectorSlicer:
+        each = df.select(F.posexplode(vector_to_array(self.features)).alias("i", "v"), F.col(self.label).alias("y"), F.col(self.weight).alias("w"))
+        cells = each.groupBy("i", "v", "y").agg(F.sum("w").alias("o"))
+        over = lambda *c: F.sum("o").over(Window.partitionBy("i", *c))
+        parts = cells.withColumn("_p", F.col("o") * F.col("o") / over("v") / over("y")).groupBy("i").agg(F.sum("_p").alias("p"), F.sum("o").alias("n"), F.count_distinct("v").alias("r"), F.count_distinct("y").alias("c"))
+        told = [(chi_square_p(t["n"] * (t["p"] - 1.0), (t["r"] - 1) * (t["c"] - 1)), t["i"]) for t in parts.collect()]
+        return VectorSlicer(inputCol=self.features, outputCol=self.out, indices=sorted(i for _, i in sorted(told)[: self.top]))
+
+
+def regression_stages(numeric: Sequence[str], categories: Sequence[str], degree: int = 2, top: int | None = None, label: str | None = None, weight: str | None = None) -> list:
+    """Index and one-hot the categories, expand the numbers, scale, index small domains, select by chi-square. With
+    weights categories are in alphabetic order, and the scale is that of the different rows, a unit on which
+    neither the selection nor a standardised or tree model depends."""
     stages: list = []
     if categories:
-        stages += [StringIndexer(inputCols=list(categories), outputCols=[f"{c}_ix" for c in categories], handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}_ix" for c in categories], outputCols=[f"{c}_hot" for c in categories])]
+        stages += [StringIndexer(inputCols=list(categories), outputCols=[f"{c}_ix" for c in categories], handleInvalid="keep", stringOrderType="alphabetAsc" if weight else "frequencyDesc"), OneHotEncoder(inputCols=[f"{c}_ix" for c in categories], outputCols=[f"{c}_hot" for c in categories])]
     stages += [
         VectorAssembler(inputCols=list(numeric), outputCol="_n"),
         PolynomialExpansion(degree=degree, inputCol="_n", outputCol="_p"),
@@ -39,7 +93,9 @@ def regression_stages(numeric: Sequence[str], categories: Sequence[str], degree:
         StandardScaler(inputCol="_all", outputCol="_s"),
         VectorIndexer(inputCol="_s", outputCol="_x" if top else "features", maxCategories=4, handleInvalid="keep"),
     ]
-    if top:
+    if top and weight:
+        stages.append(WeightedChiSq(top, "_x", "features", label, weight))
+    elif top:
         stages.append(ChiSqSelector(numTopFeatures=top, featuresCol="_x", outputCol="features", labelCol=label))
     return stages
 
@@ -76,13 +132,17 @@ def time_split(df: DataFrame, date: str, cutoff: str, share: float = 0.8) -> tup
     return df.filter(place), df.filter(~place)
 
 
-def fit_regression(df: DataFrame, target: str, numeric: Sequence[str], categories: Sequence[str] = (), kind: str = "linear", folds: int = 3, degree: int = 2, top: int | None = None, chi_label: str | None = None) -> PipelineModel:
+def fit_regression(df: DataFrame, target: str, numeric: Sequence[str], categories: Sequence[str] = (), kind: str = "linear", folds: int = 3, degree: int = 2, top: int | None = None, chi_label: str | None = None, weight: str | None = None, fold: str | None = None) -> PipelineModel:
     """Linear or boosted-tree regression; its parameters by cross-validated error. With ``top`` only as many
-    features stay, those with the strongest chi-square test against ``chi_label`` (a column of classes)."""
+    features stay, those with the strongest chi-square test against ``chi_label`` (a column of classes). With
+    ``weight`` each row stands for so many equal ones (``counted``). ``fold``: a column of fold numbers, which
+    rows must have before they are counted."""
     est = LinearRegression(labelCol=target) if kind == "linear" else GBTRegressor(labelCol=target, seed=SEED, maxIter=10)
     grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.1]).build() if kind == "linear" else ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).build()
-    pipe = Pipeline(stages=[*regression_stages(numeric, categories, degree, top, chi_label), est])
-    return CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=target), numFolds=folds, seed=SEED).fit(df).bestModel
+    own = {"weightCol": weight} if weight else {}
+    pipe = Pipeline(stages=[*regression_stages(numeric, categories, degree, top, chi_label, weight), est.setParams(**own)])
+    dealt = {"foldCol": fold} if fold else {}
+    return CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=target, **own), numFolds=folds, seed=SEED, **dealt).fit(df).bestModel
 
 
 def lasso_select(df: DataFrame, label: str, cols: Sequence[str], threshold: float = 1e-4, folds: int = 3, strengths: Sequence[float] = (0.01, 0.1, 1.0)) -> DataFrame:
@@ -179,14 +239,18 @@ def score(df: DataFrame, model: PipelineModel, tag: str, labels: tuple[str, str]
     return model.transform(df).withColumns({"score": p, "predicted_label": decode_prediction(p, threshold, labels), "prediction_type": F.lit(tag)}).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int = 6) -> DataFrame:
-    """RMSE, MAE, R2 and MAPE (without zero targets), in one aggregate."""
+def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int = 6, weight: str | None = None) -> DataFrame:
+    """RMSE, MAE, R2 and MAPE (without zero targets), in one aggregate; with ``weight`` each row stands for so many."""
+    w = F.col(weight) if weight else F.lit(1)
+    total = (lambda x: F.sum(w * x)) if weight else F.sum
+    many = (lambda x: F.sum(F.when(x.isNotNull(), w))) if weight else F.count
+    mean: Callable[[Column], Column] = (lambda x: total(x) / many(x)) if weight else F.avg
     e, t = F.col(y).cast("double") - F.col(yhat).cast("double"), F.col(y).cast("double")
     return df.agg(
-        F.round(F.sqrt(F.avg(e * e)), digits).alias("rmse"),
-        F.round(F.avg(F.abs(e)), digits).alias("mae"),
-        F.round(1 - F.sum(e * e) / (F.sum(t * t) - F.sum(t) * F.sum(t) / F.count(t)), digits).alias("r2"),
-        F.round(F.avg(F.when(t != 0, F.abs(e / t))), digits).alias("mape"),
+        F.round(F.sqrt(mean(e * e)), digits).alias("rmse"),
+        F.round(mean(F.abs(e)), digits).alias("mae"),
+        F.round(1 - total(e * e) / (total(t * t) - total(t) * total(t) / many(t)), digits).alias("r2"),
+        F.round(mean(F.when(t != 0, F.abs(e / t))), digits).alias("mape"),
     )
 
 

@@ -106,3 +106,36 @@ def test_products_take_a_slice_of_texts_at_a_time():
     assert max(p.num_rows for p in pieces) <= vectors.SLICE < 600
     whole = vectors.times(*vectors.rows_of(batch, idf), 600, q)
     assert np.allclose(np.concatenate([vectors.times(*vectors.rows_of(p, idf), p.num_rows, q) for p in pieces]), whole)
+
+
+@pytest.mark.parametrize("kind", ["linear", "gbt"])
+def test_counted_rows_give_the_fit_of_all_rows(spark, kind):
+    """Weights, folds and the chi-square selection: as with every row, in another order of the categories at most."""
+    rng = np.random.default_rng(4)
+    a, b, c, k = rng.integers(0, 4, 900), rng.integers(0, 9, 900), rng.integers(0, 3, 900), rng.integers(0, 2, 900)
+    rows = [(int(x), int(y), "xyz"[z], float(3 * x + y % 4 + 10 * z), int(z == 2), int(f)) for x, y, z, f in zip(a, b, c, k, strict=True)]
+    df = spark.createDataFrame(rows, "a int, b int, c string, y double, top int, f int")
+    few = M.counted(df, df.columns)
+    args = ["a", "b"], ["c"], kind, 2, 1, 3, "top"
+    whole, less = M.fit_regression(df, "y", *args, fold="f"), M.fit_regression(few, "y", *args, weight="weight", fold="f")
+    assert few.count() < 300 and few.agg({"weight": "sum"}).first()[0] == 900
+    one, two = M.regression_metrics(whole.transform(df), "y", "prediction", 4).first(), M.regression_metrics(less.transform(few), "y", "prediction", 4, "weight").first()
+    assert np.allclose(one, two, atol=2e-4) and one.r2 > 0.7
+
+
+def test_chi_square_selection_of_counted_rows(spark):
+    from pyspark.ml.feature import ChiSqSelector, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 3, 2000)
+    rows = [(int(t), int(rng.integers(0, 4)), int((t + rng.integers(0, 3)) % 5), int(t == 1 and rng.random() < 0.2), int(rng.integers(0, 2))) for t in y]
+    df = spark.createDataFrame(rows, "y int, a int, b int, c int, d int")
+    to = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="x")
+    few = to.transform(M.counted(df, df.columns))
+    want = ChiSquareTest.test(to.transform(df), "x", "y", flatten=True).orderBy("featureIndex").collect()
+    assert np.allclose([M.chi_square_p(r.statistic, r.degreesOfFreedom) for r in want], [r.pValue for r in want], atol=1e-12)
+    assert [M.chi_square_p(s, 5) for s in (0.0, 1e4)] == [1.0, 0.0]
+    for top in (1, 2, 3):
+        got = M.WeightedChiSq(top, "x", "z", "y", "weight")._fit(few).getIndices()
+        assert got == list(ChiSqSelector(numTopFeatures=top, featuresCol="x", outputCol="z", labelCol="y").fit(to.transform(df)).selectedFeatures)
