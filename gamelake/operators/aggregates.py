@@ -80,9 +80,11 @@ def outcome_pivot(df: DataFrame, keys: Sequence[str], outcome: str, measure: str
     )
 
 
-def summary(df: DataFrame, keys: Sequence[str], event: str, measures: Sequence[str], digits: int = 2) -> DataFrame:
-    """Number of different events and rounded averages."""
-    return df.groupBy(*keys).agg(F.count_distinct(event).alias("events"), *(F.round(F.avg(c), digits).alias(f"avg_{c}") for c in measures))
+def summary(df: DataFrame, keys: Sequence[str], event: str, measures: Sequence[str], digits: int = 2, unique: bool = False) -> DataFrame:
+    """Number of different events and rounded averages. ``unique``: no key has two rows of an event, so that its events
+    are counted without a group, and a shuffled row, for each."""
+    many = F.count if unique else F.count_distinct
+    return df.groupBy(*keys).agg(many(event).alias("events"), *(F.round(F.avg(c), digits).alias(f"avg_{c}") for c in measures))
 
 
 def leaders(df: DataFrame, by: Sequence[str], metric: Column, name: str, k: int, order: Sequence[str] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ import sys
 
 import pytest
 
+from gamelake.operators import aggregates as A
 from gamelake.plans import registry
 from tests.oracle import assert_same, connect
 
@@ -53,3 +54,12 @@ def test_group_advanced_is_compiled(spark, sf):
         assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_season_summary_groups_no_events(spark, sf):
+    """Members' rows have an event once: two groupings, partial and final, and a shuffle beside that of the lines."""
+    plan = registry.QUERIES["season_summary"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(") == 2 and plan.count("Exchange hashpartitioning(member_id") == 1
+    rows = spark.createDataFrame([(1, 7, 2), (1, 8, 4), (1, None, 3), (2, 7, 1)], "k int, e int, x int")
+    both = [sorted(map(tuple, A.summary(rows, ["k"], "e", ["x"], unique=u).collect())) for u in (False, True)]
+    assert both[0] == both[1] == [(1, 2, 3.0), (2, 1, 1.0)]
