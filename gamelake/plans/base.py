@@ -71,6 +71,18 @@ IDS = {
     "cust_id": "o_custkey",
 }
 
+_ROUNDED = "CASE WHEN abs({0} - rint({0})) = 0.5 THEN {0} + signum({0}) * 0.5 ELSE rint({0}) END"
+#: The same values in Spark's terms where its own form goes through decimals, one object or more a row: ``round`` of a
+#: double and division by 2.0. (A half is exact in a double, and so is the difference to the nearest whole number.)
+NATIVE = {
+    "disc": f"CAST({_ROUNDED.format('l_discount * 100')} AS INT)",
+    "tax": f"CAST({_ROUNDED.format('l_tax * 100')} AS INT)",
+    "cents": f"CAST({_ROUNDED.format('l_extendedprice * 100')} AS BIGINT)",
+    "fgm": "shiftright(fga, 1)",
+    "ftm": "shiftright(tax, 1)",
+    "pts": "2 * shiftright(fga, 1) + fga % 5 + shiftright(tax, 1)",
+}
+
 RAW_SQL = f"""SELECT *, {', '.join(f'{e} AS {n}' for n, e in DERIVED.items())} FROM (
   SELECT {', '.join(f'{e} AS {n}' for n, e in (IDS | MEASURES).items())} FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 ORDER = ("line_no", "group_id", "fga", "cents", "disc", "tax", "outcome", "status")
@@ -80,11 +92,15 @@ WITH = f"WITH raw AS ({RAW_SQL}), box AS ({BOX_SQL})"
 GROUP_SQL = "SELECT group_id, season, season_type, event_id, event_date, " + ", ".join(f"CAST(sum({s}) AS BIGINT) AS {s}" for s in STATS) + ", min(outcome) AS outcome FROM box GROUP BY group_id, season, season_type, event_id, event_date"
 
 
+def _columns(terms: dict[str, str]) -> list[Column]:
+    return [F.expr(NATIVE.get(n, e)).alias(n) for n, e in terms.items()]
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line with its order's columns; both sides are read with the needed columns only."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     both = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    return both.select(*(F.expr(e).alias(n) for n, e in (IDS | MEASURES).items())).select("*", *(F.expr(e).alias(n) for n, e in DERIVED.items()))
+    return both.select(*_columns(IDS | MEASURES)).select("*", *_columns(DERIVED))
 
 
 def box(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,11 +111,11 @@ def box(spark: SparkSession, sf_dir: str) -> DataFrame:
     follows. Derived columns are made of what is left."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     own = {n: e for n, e in (IDS | MEASURES).items() if "o_" not in e}
-    named = lines.select("l_orderkey", *(F.expr(e).alias(n) for n, e in own.items() if n != "event_id")).repartition("l_orderkey")
+    named = lines.select("l_orderkey", *_columns({n: e for n, e in own.items() if n != "event_id"})).repartition("l_orderkey")
     latest = dedupe_latest(named, ["l_orderkey", "member_id"], [F.col(c).desc() for c in ORDER])
     both = latest.join(orders, latest["l_orderkey"] == orders["o_orderkey"])
     rows = both.select(*(F.col(n) if n in own and n != "event_id" else F.expr(e).alias(n) for n, e in (IDS | MEASURES).items()))
-    return rows.select("*", *(F.expr(e).alias(n) for n, e in DERIVED.items()))
+    return rows.select("*", *_columns(DERIVED))
 
 
 def group_events(df: DataFrame, *more: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gamelake.operators import features, windows
 from gamelake.operators import ml as M
-from gamelake.plans import models, registry
+from gamelake.plans import base, models, registry
 from gamelake.plans.base import box
 
 
@@ -176,3 +176,20 @@ def test_members_are_written_once(spark, sf):
     """Models read their rows many times: from the written table, not by the join of lines and orders."""
     files = models._members(spark, sf).inputFiles()
     assert files and not any("lineitem" in f or "orders" in f for f in files)
+
+
+def test_measures_go_through_no_decimals(spark, sf):
+    """Measures of lines have the values of their SQL, also at halves, beside them, below zero and for nulls, without a
+    decimal for each row."""
+    plan = box(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan and " round(" not in plan and "(round(" not in plan
+    x = [v / 1000 for v in range(-60, 61, 5)] + [0.285, 1.005, 1.115, -1.115, *(float(v) for v in (np.nextafter(0.5, 0) / 100, np.nextafter(0.005, 0), np.nextafter(0.005, 1))), 104949.495, 9e13 + 0.005, None]
+    lines = spark.createDataFrame([(v, v, v) for v in x], "l_discount double, l_tax double, l_extendedprice double")
+    lines = lines.withColumn("l_discount", F.when(F.abs("l_discount") < 1e6, F.col("l_discount"))).withColumn("l_tax", F.col("l_discount"))
+    scaled = ("disc", "tax", "cents")
+    rows = lines.select(*(F.expr(base.MEASURES[n]).alias(n) for n in scaled), *(F.expr(base.NATIVE[n]).alias(f"own_{n}") for n in scaled)).collect()
+    assert len(rows) == len(x) and all(r[n] == r[f"own_{n}"] for r in rows for n in scaled)
+    small = spark.createDataFrame([(a, b) for a in (-3, -2, -1, 0, 1, 2, 49, 50, None) for b in (-1, 0, 7, None)], "fga int, tax int")
+    derived = ("fgm", "ftm", "pts")
+    told = small.select(*(F.expr(base.DERIVED[n]).alias(n) for n in derived), *(F.expr(base.NATIVE[n]).alias(f"own_{n}") for n in derived))
+    assert all(dict(told.dtypes)[n] == dict(told.dtypes)[f"own_{n}"] for n in derived) and all(r[n] == r[f"own_{n}"] for r in told.collect() for n in derived)
