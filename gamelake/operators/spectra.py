@@ -25,31 +25,36 @@ from gamelake.sources.tables import written
 
 #: Values of a chunk (a multiple of 4), and short transforms of one group.
 CHUNK, TILE = 8192, 64
+#: Values of the series of one length that are transformed at once.
+STACK = 1 << 20
 
 
 def haar_coefficients(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Second-level means, second-level details and first-level details; an odd last value is repeated."""
+    """Of a series, or of each row: second-level means, second-level details and first-level details; an odd last
+    value is repeated."""
 
     def level(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        v = np.append(v, v[-1]) if len(v) % 2 else v
-        return (v[::2] + v[1::2]) / np.sqrt(2.0), (v[::2] - v[1::2]) / np.sqrt(2.0)
+        v = np.concatenate((v, v[..., -1:]), axis=-1) if v.shape[-1] % 2 else v
+        return (v[..., ::2] + v[..., 1::2]) / np.sqrt(2.0), (v[..., ::2] - v[..., 1::2]) / np.sqrt(2.0)
 
     means, first = level(x)
     return (*level(means), first)
 
 
-def largest(x: np.ndarray, top: int) -> list[float]:
-    """The largest magnitudes, falling."""
-    return np.sort(np.abs(x))[::-1][:top].tolist()
+def largest(x: np.ndarray, top: int) -> list:
+    """The largest magnitudes, falling, of a series or of each row."""
+    return np.sort(np.abs(x), axis=-1)[..., ::-1][..., :top].tolist()
 
 
-def average_of(x: np.ndarray, alpha: float, opens: bool) -> float:
-    """What a chunk adds to the exponential average at its own end; the first value of a series has full weight."""
-    tail = x[-min(len(x), 1 + int(np.ceil(np.log(1e-30) / np.log1p(-alpha)))) :] if alpha < 1 else x[-1:]
-    weights = alpha * (1 - alpha) ** np.arange(len(tail) - 1, -1, -1.0)
-    if opens and len(tail) == len(x):
-        weights[0] = (1 - alpha) ** (len(x) - 1)
-    return float(weights @ tail)
+def average_of(x: np.ndarray, alpha: float, opens: bool) -> np.ndarray:
+    """What a chunk, or each row, adds to the exponential average at its own end; the first value of a series has
+    full weight."""
+    many = x.shape[-1]
+    size = min(many, 1 + int(np.ceil(np.log(1e-30) / np.log1p(-alpha)))) if alpha < 1 else 1
+    weights = alpha * (1 - alpha) ** np.arange(size - 1, -1, -1.0)
+    if opens and size == many:
+        weights[0] = (1 - alpha) ** (many - 1)
+    return x[..., many - size :] @ weights
 
 
 def _sizes(n: int) -> tuple[int, int, int]:
@@ -148,28 +153,66 @@ def spectral_features(df: DataFrame, key: str, order: Sequence[str], cols: Seque
     values = placed.select(key, (F.col("_n") - 1).alias("j"), each.alias("e")).select(key, "e.measure", "j", "e.v", F.floor(F.col("j") / CHUNK).alias("chunk"))
     chunk = values.groupBy(key, "measure", "chunk").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "v"))), lambda s: s["v"]).alias("x"))
     chunks = written(chunk, "chunks")
+    several = chunks.filter(F.col("chunk") > 0).select(F.col(key).alias("_k")).distinct()
+    if several.isEmpty():
+        return _of_one_chunk(chunks, key, alpha, top)
+    own = chunks[key].eqNullSafe(several["_k"])
+    return _of_one_chunk(chunks.join(several, own, "left_anti"), key, alpha, top).unionByName(_of_several_chunks(chunks.join(several, own, "left_semi"), key, kind, alpha, top))
+
+
+_FOUND = "ema double, fourier array<double>, haar2 array<double>, wave array<double>"
+
+
+def _features(df: DataFrame, key: str, top: int) -> DataFrame:
+    padded = lambda c: F.slice(F.concat(F.col(c), F.array_repeat(F.lit(0.0), top)), 1, top).alias(c)
+    return df.select(key, "measure", "n", "ema", *(padded(c) for c in ("fourier", "haar2", "wave")))
+
+
+def _of_one_chunk(chunks: DataFrame, key: str, alpha: float, top: int) -> DataFrame:
+    """Features of series that are one chunk: where they lie, those of equal length at once."""
+
+    @F.pandas_udf(_FOUND)
+    def whole(x: pd.Series) -> pd.DataFrame:
+        lists, size = x.to_numpy(), x.map(len).to_numpy()
+        out = {c: np.empty(len(x), object) for c in ("ema", "fourier", "haar2", "wave")}
+        for n in np.unique(size):
+            same = np.flatnonzero(size == n)
+            step = max(1, STACK // int(n))
+            for at in (same[i : i + step] for i in range(0, len(same), step)):
+                v = np.stack(lists[at]).astype(float)
+                means, second, first = haar_coefficients(v)
+                out["ema"][at] = average_of(v, alpha, True)
+                for c, found in (("fourier", np.fft.rfft(v, axis=1)), ("haar2", second), ("wave", np.concatenate((means, second, first), axis=1))):
+                    for i, told in zip(at, largest(found, top), strict=True):
+                        out[c][i] = told
+        return pd.DataFrame(out).astype({"ema": float})
+
+    return _features(chunks.select(key, "measure", F.size("x").cast("long").alias("n"), whole("x").alias("f")).select(key, "measure", "n", "f.*"), key, top)
+
+
+def _of_several_chunks(chunks: DataFrame, key: str, kind: str, alpha: float, top: int) -> DataFrame:
+    """Features of series of several chunks: what each chunk has is grouped by series."""
     sizes = chunks.groupBy(F.col(key).alias("_k"), F.col("measure").alias("_m")).agg(F.sum(F.size("x")).alias("n"))
     sized = chunks.join(sizes, chunks[key].eqNullSafe(sizes["_k"]) & (chunks["measure"] == sizes["_m"])).drop("_k", "_m")
 
-    @F.pandas_udf("ema double, fourier array<double>, haar2 array<double>, wave array<double>")
+    @F.pandas_udf(_FOUND)
     def inside(x: pd.Series, place: pd.Series, n: pd.Series) -> pd.DataFrame:
         out = []
         for v, c, size in zip(x, place, n, strict=True):
             v = np.asarray(v, float)
             means, second, first = haar_coefficients(v)
             after = int(size) - int(c) * CHUNK - len(v)
-            ema = average_of(v, alpha, c == 0) * (1 - alpha) ** after
-            out.append((ema, largest(np.fft.rfft(v), top) if size <= CHUNK else [], largest(second, top), largest(np.concatenate((means, second, first)), top)))
+            ema = float(average_of(v, alpha, c == 0)) * (1 - alpha) ** after
+            out.append((ema, [], largest(second, top), largest(np.concatenate((means, second, first)), top)))
         return pd.DataFrame(out, columns=["ema", "fourier", "haar2", "wave"])
 
     parts = sized.select(key, "measure", "n", inside("x", "chunk", "n").alias("f")).select(key, "measure", "n", "f.*")
     told = F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("values")) for c in ("fourier", "haar2", "wave")))
     found = parts.select(key, "measure", F.explode(told).alias("t")).select(key, "measure", F.col("t.kind").alias("kind"), F.explode("t.values").alias("value"))
-    spectra = _long_spectra(sized.filter(F.col("n") > CHUNK), key, kind, top)
+    spectra = _long_spectra(sized, key, kind, top)
     found = found.unionByName(spectra.select(key, "measure", F.lit("fourier").alias("kind"), "value"))
     best = found.withColumn("at", F.row_number().over(Window.partitionBy(key, "measure", "kind").orderBy(F.desc("value")))).filter(F.col("at") <= top)
     listed = best.groupBy(key, "measure").agg(*(F.sort_array(F.collect_list(F.when(F.col("kind") == c, F.col("value"))), asc=False).alias(c) for c in ("fourier", "haar2", "wave")))
     ends = parts.groupBy(F.col(key).alias("_k"), F.col("measure").alias("_m")).agg(F.max("n").alias("n"), F.sum("ema").alias("ema"))
     out = listed.join(ends, listed[key].eqNullSafe(ends["_k"]) & (listed["measure"] == ends["_m"]))
-    padded = lambda c: F.slice(F.concat(F.col(c), F.array_repeat(F.lit(0.0), top)), 1, top).alias(c)
-    return out.select(key, "measure", "n", "ema", *(padded(c) for c in ("fourier", "haar2", "wave")))
+    return _features(out, key, top)

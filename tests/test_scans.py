@@ -134,6 +134,29 @@ def test_long_spectra_equal_numpy(spark, n):
         assert abs(got[k].ema - s) < 1e-9
 
 
+def test_series_of_one_chunk_stay_where_they_lie(spark, monkeypatch):
+    """No shuffle follows the written chunks, whose equal lengths are transformed at once; beside longer series they
+    have the same features."""
+    rng = np.random.default_rng(7)
+    series = {k: rng.normal(3, 40, n) for k, n in enumerate([1, 2, 3, 3, 4, 5, 5, 64, 300])}
+    df = spark.createDataFrame([(k, i, float(v)) for k, x in series.items() for i, v in enumerate(x)] + [(None, i, float(i)) for i in range(3)], "k int, o int, v double")
+    alone = spectra.spectral_features(df, "k", ["o"], ["v"])
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: r for r in alone.collect()}
+    assert len(got) == len(series) + 1 and got[None].n == 3
+    for k, x in series.items():
+        assert np.allclose(got[k].fourier, np.append(np.sort(np.abs(np.fft.rfft(x)))[::-1], [0.0, 0.0])[:3]) and got[k].n == len(x)
+        s = x[0]
+        for v in x[1:]:
+            s = 0.5 * s + 0.5 * v
+        assert abs(got[k].ema - s) < 1e-9
+    monkeypatch.setattr(spectra, "STACK", 7)
+    assert {r.k: r for r in spectra.spectral_features(df, "k", ["o"], ["v"]).collect()} == got
+    long = spark.createDataFrame([(100, i, float(i % 11)) for i in range(spectra.CHUNK + 5)], "k int, o int, v double")
+    both = {r.k: r for r in spectra.spectral_features(df.unionByName(long), "k", ["o"], ["v"]).collect()}
+    assert both.pop(100).n == spectra.CHUNK + 5 and both == got
+
+
 # series models
 
 
