@@ -149,9 +149,12 @@ def spectral_features(df: DataFrame, key: str, order: Sequence[str], cols: Seque
     kind, alpha = dict(df.dtypes)[key], 2.0 / (span + 1)
     rows = written(df.select(key, *dict.fromkeys([*order, *cols])), "series")
     placed = scans.row_numbers(rows, [key], order, order[0], "_n")
-    each = F.explode(F.array(*(F.struct(F.lit(c).alias("measure"), F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("v")) for c in cols)))
-    values = placed.select(key, (F.col("_n") - 1).alias("j"), each.alias("e")).select(key, "e.measure", "j", "e.v", F.floor(F.col("j") / CHUNK).alias("chunk"))
-    chunk = values.groupBy(key, "measure", "chunk").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "v"))), lambda s: s["v"]).alias("x"))
+    told = {f"v{i}": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for i, c in enumerate(cols)}
+    values = placed.select(key, (F.col("_n") - 1).alias("j"), *(v.alias(n) for n, v in told.items()), F.floor((F.col("_n") - 1) / CHUNK).alias("chunk"))
+    lists = values.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(F.struct("j", *told))).alias("s"))
+    of = lambda n: F.transform("s", lambda s: s[n]).alias("x")
+    # one list for all columns is sorted and grouped, then each has its own
+    chunk = lists.select(key, "chunk", F.inline(F.array(*(F.struct(F.lit(c).alias("measure"), of(n)) for c, n in zip(cols, told, strict=True)))))
     chunks = written(chunk, "chunks")
     several = chunks.filter(F.col("chunk") > 0).select(F.col(key).alias("_k")).distinct()
     if several.isEmpty():
