@@ -193,3 +193,15 @@ def test_measures_go_through_no_decimals(spark, sf):
     derived = ("fgm", "ftm", "pts")
     told = small.select(*(F.expr(base.DERIVED[n]).alias(n) for n in derived), *(F.expr(base.NATIVE[n]).alias(f"own_{n}") for n in derived))
     assert all(dict(told.dtypes)[n] == dict(told.dtypes)[f"own_{n}"] for n in derived) and all(r[n] == r[f"own_{n}"] for r in told.collect() for n in derived)
+
+
+@pytest.mark.parametrize("fold", ["fold", None])
+def test_classifiers_are_fitted_on_kept_rows(spark, members, monkeypatch, fold):
+    """Rows are assembled once, and every fit reads those that are kept, not the plan of folds and columns."""
+    df, seen, fit = windows.time_folds(members[1], "event_date", 3), [], M.GBTClassifier._fit
+    monkeypatch.setattr(M.GBTClassifier, "_fit", lambda self, d: (seen.append(d._jdf.queryExecution().withCachedData().toString()), fit(self, d))[1])
+    asked = []
+    monkeypatch.setattr(M.VectorAssembler, "transform", lambda self, d, params=None, whole=M.VectorAssembler.transform: (asked.append(1), whole(self, d))[1])
+    model = M.fit_classifier(df, "win", models.COLS, fold, rounds=2)
+    assert len(seen) == (5 if fold else 3) and all("InMemoryRelation" in p and "features" in p.split("InMemoryRelation")[1] for p in seen)
+    assert len(asked) == 1 and len(model.stages) == 2
